@@ -1,12 +1,16 @@
 """Queries of this subpackage, by name, and the SQL that gives the same rows."""
 
-from . import bpe, exact_dedup
+from . import bpe, exact_dedup, minhash, substring_dedup
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op6_minhash_near_dedup": minhash.op6_minhash_near_dedup,
+    "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op9_bpe_round_trip": bpe.op9_bpe_round_trip,
 }
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op6_minhash_near_dedup": minhash.ORACLE_SQL,
+    "op7_substring_dedup": substring_dedup.ORACLE_SQL,
 }
