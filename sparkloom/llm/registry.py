@@ -1,10 +1,11 @@
 """Queries of this subpackage, by name, and the SQL that gives the same rows."""
 
-from . import bpe, exact_dedup, minhash, quality, substring_dedup, toxicity
+from . import bpe, decontaminate, exact_dedup, minhash, quality, substring_dedup, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
     "op5_quality": quality.op5_quality,
     "op6_minhash_near_dedup": minhash.op6_minhash_near_dedup,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,

@@ -23,6 +23,8 @@ _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_NOT_ALNUM = _SPACE.copy()
+_NOT_ALNUM[:48] = _NOT_ALNUM[58:65] = _NOT_ALNUM[91:97] = _NOT_ALNUM[123:128] = True
 _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -79,14 +81,15 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words(texts: pa.Array, lower: bool) -> Words:
+def words(texts: pa.Array, lower: bool, bare: bool = False) -> Words:
+    """Words of each text. bare: ASCII characters other than letters and digits part words as well."""
     data, offsets = flat(texts)
     n = len(data)
     edge = np.ones(n + 1, bool)
     if n:
         edge[1:n] = False
         edge[offsets] = True
-        space = _SPACE[data]
+        space = (_NOT_ALNUM if bare else _SPACE)[data]
         before = np.ones(n, bool)
         before[1:] = space[:-1]
         start = np.flatnonzero(~space & (before | edge[:n]))
