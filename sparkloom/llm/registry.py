@@ -1,6 +1,6 @@
 """Queries of this subpackage, by name, and the SQL that gives the same rows."""
 
-from . import bpe, decontaminate, exact_dedup, minhash, quality, substring_dedup, toxicity
+from . import bpe, decontaminate, exact_dedup, minhash, pii, quality, substring_dedup, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_minhash_near_dedup": minhash.op6_minhash_near_dedup,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op9_bpe_round_trip": bpe.op9_bpe_round_trip,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLES = {
