@@ -18,7 +18,7 @@ SHINGLE = 5
 SLOTS = 125
 BANDS = 25
 #: Two sets linked at 0.85 differ in 9.4 of 125 signature bits on average, deviation 3; more than this many rule a link out.
-MOST_BITS = 36
+MOST_BITS = 30
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -149,8 +149,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_bands = save(_buckets(classes))
     links = None
     found = None
-    for step in range(3):
-        pairs = _candidates(of_bands, found, step)
+    for step in range(4):
+        pairs = _with_hubs(of_bands, links, found, step) if step < 3 else _still_apart(flat, of_bands, found, percent)
         confirmed = save(_verified(spark, flat, pairs, percent))
         links = confirmed if links is None else links.unionByName(confirmed)
         found = connected(links, "a", "b")
@@ -184,22 +184,45 @@ def _close(a: str, b: str) -> F.Column:
     return sizes & (differ <= MOST_BITS)
 
 
-def _candidates(members: DataFrame, found: DataFrame | None, step: int) -> DataFrame:
-    """Pairs (a, b) to verify: members with a hub of their bucket in the first steps; then all that are still apart."""
+def _with_hubs(members: DataFrame, links: DataFrame | None, found: DataFrame | None, step: int) -> DataFrame:
+    """Pairs (a, b): members of a bucket with a hub of it. Two hubs are drawn; the third is the member with most links."""
     if step < 2:
         hub = f"hub{step}"
-        pairs = members.filter(F.col("rep") != F.col(f"{hub}.rep"))
-        pairs = pairs.select("rep", "b1", "b2", "n_shingles", *[F.col(f"{hub}.{c}").alias(f"h_{c}") for c in ("rep", "b1", "b2", "n_shingles")])
-        pairs = pairs.filter(_close("", "h_")).select(F.least("rep", "h_rep").alias("a"), F.greatest("rep", "h_rep").alias("b")).distinct()
-        if found is not None:
-            pairs = _apart(pairs, found)
-        return pairs
+        pairs = members.select("rep", "b1", "b2", "n_shingles", *[F.col(f"{hub}.{c}").alias(f"h_{c}") for c in ("rep", "b1", "b2", "n_shingles")])
+    else:
+        degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("degree"))
+        own = members.select("key", "rep", "b1", "b2", "n_shingles")
+        best = own.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", "rep", "b1", "b2", "n_shingles")).alias("hub"), F.count("*").alias("n"))
+        pairs = join_counted(own, best, "key", "n").filter("hub is not null")
+        pairs = pairs.select("rep", "b1", "b2", "n_shingles", *[F.col(f"hub.{c}").alias(f"h_{c}") for c in ("rep", "b1", "b2", "n_shingles")])
+    pairs = pairs.filter((F.col("rep") != F.col("h_rep")) & _close("", "h_"))
+    pairs = pairs.select(F.least("rep", "h_rep").alias("a"), F.greatest("rep", "h_rep").alias("b")).distinct()
+    return pairs if found is None else _apart(pairs, found)
+
+
+def _still_apart(flat: DataFrame, members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket's members in different components that the shingles of their own do not rule out.
+
+    A shingle that only one of these documents has is in no intersection. With c the smaller number of
+    other shingles, a pair shares at most c, and its union has at least n + n' - c: an exact bound, which
+    leaves out members of large groups that are linked with none of them.
+    """
     lone = members.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     # a bucket whose members are all in one component has nothing left to compare
-    split = lone.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
-    rest = save(lone.join(split.select("key"), "key", "left_semi").select("key", "rep", "component", "b1", "b2", "n_shingles"))
-    other = rest.select("key", *[F.col(c).alias(f"o_{c}") for c in ("rep", "component", "b1", "b2", "n_shingles")])
-    pairs = rest.join(other, "key").filter((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")) & _close("", "o_"))
+    split = lone.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
+    rest = save(lone.join(split, "key", "left_semi").select("key", "rep", "component", "b1", "b2", "n_shingles"))
+    ids = rest.select(F.col("rep").alias("id")).distinct()
+    table = flat.sparkSession.sparkContext.broadcast(bloom.gather(_hashed_ids(ids), "h"))
+    sets = _sets_of(flat.filter("id is not null"), table).join(ids, "id", "left_semi")
+    own = sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other"))
+    own = own.filter("id = other").groupBy("id").agg(F.count("*").alias("own")).withColumnRenamed("id", "rep")
+    rest = rest.join(own, "rep", "left").withColumn("common", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
+    # nothing a member shares with others could fill enough of its own set
+    rest = save(rest.filter(100 * F.col("common") >= percent * F.col("n_shingles")).select("key", "rep", "component", "b1", "b2", "n_shingles", "common"))
+    other = rest.select("key", *[F.col(c).alias(f"o_{c}") for c in ("rep", "component", "b1", "b2", "n_shingles", "common")])
+    shared = F.least("common", "o_common")
+    enough = 100 * shared >= percent * (F.col("n_shingles") + F.col("o_n_shingles") - shared)
+    pairs = rest.join(other, "key").filter((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")) & enough & _close("", "o_"))
     return pairs.select(F.col("rep").alias("a"), F.col("o_rep").alias("b")).distinct()
 
 
