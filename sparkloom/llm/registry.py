@@ -1,14 +1,16 @@
 """Queries of this subpackage, by name, and the SQL that gives the same rows."""
 
-from . import bpe, decontaminate, exact_dedup, minhash, pii, quality, substring_dedup, toxicity
+from . import bpe, decontaminate, exact_dedup, line_dedup, lm_score, minhash, pii, quality, substring_dedup, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
+    "op4_lm_scoring": lm_score.op4_lm_scoring,
     "op5_quality": quality.op5_quality,
     "op6_minhash_near_dedup": minhash.op6_minhash_near_dedup,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_bpe_round_trip": bpe.op9_bpe_round_trip,
     "op10_pii": pii.op10_pii,
 }
