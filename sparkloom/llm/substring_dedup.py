@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .scratch import join_counted, save
+from .scratch import save
 from .words import chunks, grams, words
 
 WINDOW = 35
 SEED = 20
-#: So many of the most frequent seeds go by their windows instead of by the seed, so that no task gathers one.
-HOT_SEEDS = 1000
+#: So many of the most frequent seeds are dealt out in parts, so that no task gathers one; and in how many parts.
+HOT_SEEDS, PARTS = 1000, 64
+#: Seeds that occur no more often than this go to a task whole.
+HOT_FROM = 1000
 
 
 def anchors(hashes: np.ndarray, window: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +71,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     counted = docs.select("text").mapInArrow(seeds, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
     repeated = save(counted.filter("n > 1"))
     table = spark.sparkContext.broadcast(bloom.gather(repeated, "seed"))
-    hot = np.sort(np.array([r.seed for r in repeated.filter("n > 1000").orderBy(F.desc("n"), "seed").limit(HOT_SEEDS).collect()], np.int64).view(np.uint64))
+    hot = np.sort(np.array([r.seed for r in repeated.filter(F.col("n") > HOT_FROM).orderBy(F.desc("n"), "seed").limit(HOT_SEEDS).collect()], np.int64).view(np.uint64))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,36 +89,60 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
                 ids, hs = part.column("id"), part.column("h")
                 # windows that follow one another on one anchor make one row
                 first = np.ones(len(inside), bool)
-                first[1:] = (at[1:] != at[:-1]) | (inside[1:] != inside[:-1] + 1) | (doc[1:] != doc[:-1]) | common[1:]
+                first[1:] = (at[1:] != at[:-1]) | (inside[1:] != inside[:-1] + 1) | (doc[1:] != doc[:-1])
                 rows = np.flatnonzero(first)
-                key = np.where(common[rows], whole[rows], keys[rows])
                 ends = np.append(rows[1:], len(inside)).astype(np.int32)
                 packed = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(np.append(np.int32(0), ends * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(whole))])
                 take = pa.array(doc[rows])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(common[rows]), pa.array(key.view(np.int64)), ids.take(take), hs.take(take), pa.array(pos[rows].astype(np.int32)), packed],
+                    [pa.array(common[rows]), pa.array(keys[rows].view(np.int64)), ids.take(take), hs.take(take), pa.array(pos[rows].astype(np.int32)), packed],
                     ["hot", "key", "id", "h", "pos", "windows"],
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
     found = save(docs.select("id", "h", "text").mapInArrow(extend, f"hot boolean, key long, id {kind}, h long, pos int, windows binary"))
 
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by seed; those of a seed are compared window by window."""
+    names = ["kind", "id", "h", "pos", "mask", "window", "n"]
+
+    def settle(batches: Iterator[pa.RecordBatch], part: bool) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by seed; those of a seed are compared window by window.
+
+        Kind 0: window starts that are repeated. Of a part of a seed's rows, also kind 1: a window met once
+        here, which other parts may hold; and kind 2: a window met more than once, for those.
+        """
         held: pa.Table | None = None
 
         def judged(t: pa.Table) -> Iterator[pa.RecordBatch]:
             t = t.combine_chunks()
             sizes = pc.binary_length(t["windows"]).to_numpy() // 8
             flat = np.frombuffer(b"".join(t["windows"].to_pylist()), np.uint64)
-            _, back, counts = np.unique(flat, return_inverse=True, return_counts=True)
+            distinct, back, counts = np.unique(flat, return_inverse=True, return_counts=True)
             again = counts[back] > 1
             start = np.cumsum(sizes) - sizes
             bit = np.arange(len(flat)) - np.repeat(start, sizes)
             mask = np.bitwise_or.reduceat(again.astype(np.int64) << bit, start)
-            keep = pa.array(mask != 0)
-            t = t.append_column("mask", pa.array(mask)).filter(keep).select(["id", "h", "pos", "mask"])
-            yield from t.to_batches()
+            hit = np.flatnonzero(mask)
+            ids, hs, pos = (t[c].combine_chunks() for c in ("id", "h", "pos"))
+
+            def rows(kind, at, mask, pos, window, n):
+                none = [None] * n if at is None else None
+                where = None if at is None else pa.array(at)
+                return pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(n, kind, np.int32)), pa.array(none, ids.type) if at is None else ids.take(where), pa.array(none, pa.int64()) if at is None else hs.take(where),
+                        pa.array(pos, pa.int32()), pa.array(mask, pa.int64()), pa.array(window, pa.int64()), pa.array(np.full(n, 2 if kind == 2 else 1, np.int64)),
+                    ],
+                    names,
+                )
+
+            zeros = np.zeros(len(flat), np.int64)
+            yield rows(0, hit, mask[hit], pos.to_numpy()[hit], zeros[: len(hit)], len(hit))
+            if part:
+                single = np.flatnonzero(~again)
+                own = np.repeat(np.arange(len(sizes)), sizes)[single]
+                yield rows(1, own, np.ones(len(single), np.int64), (pos.to_numpy()[own] + bit[single]).astype(np.int32), flat[single].view(np.int64), len(single))
+                many = distinct[counts > 1].view(np.int64)
+                yield rows(2, None, zeros[: len(many)], zeros[: len(many)].astype(np.int32), many, len(many))
 
         for batch in batches:
             t = pa.Table.from_batches([batch])
@@ -131,15 +157,16 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
         if held is not None and held.num_rows:
             yield from judged(held)
 
-    shape = f"id {kind}, h long, pos int, mask long"
-    cold = (
-        found.filter("not hot").select("key", "id", "h", "pos", "windows")
-        .repartition("key").sortWithinPartitions("key").mapInArrow(settle, shape)
-    )
-    by_window = found.filter("hot").select("key", "id", "h", "pos")
-    facts = by_window.groupBy("key").agg(F.count("*").alias("n"), F.lit(1).cast("long").alias("mask")).filter("n > 1")
-    warm = join_counted(by_window, facts, "key", "n").filter("mask is not null").select("id", "h", "pos", "mask")
-    return cold.unionByName(warm)
+    shape = f"kind int, id {kind}, h long, pos int, mask long, window long, n long"
+    rows = found.select("hot", "key", "id", "h", "pos", "windows")
+    cold = rows.filter("not hot").drop("hot").repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: settle(b, False), shape)
+    # a window is open in a part only if it was met there once, so that it has PARTS open rows at most
+    dealt = rows.filter("hot").drop("hot").repartition("key", F.pmod("h", F.lit(PARTS))).sortWithinPartitions("key")
+    warm = save(dealt.mapInArrow(lambda b: settle(b, True), shape))
+    met = warm.filter("kind > 0").groupBy("window").agg(F.sum("n").alias("met")).filter("met > 1")
+    late = warm.filter("kind = 1").join(met, "window")
+    columns = ["id", "h", "pos", "mask"]
+    return cold.select(columns).unionByName(warm.filter("kind = 0").select(columns)).unionByName(late.select(columns))
 
 
 def _flat_docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
