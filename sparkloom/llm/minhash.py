@@ -254,6 +254,12 @@ def _hashed_ids(ids: DataFrame) -> DataFrame:
     return ids.mapInArrow(run, "h long")
 
 
+def one_of_each(spark, docs: DataFrame) -> DataFrame:
+    """docs with one document, that of the smallest id, of each group of near duplicates; all columns stay."""
+    gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
 def op6_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
