@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .plans import linkage_queries, text_queries
 
+_PARTS = (text_queries, linkage_queries)
 
-def FLAGSHIP(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+QUERIES = {name: run for part in _PARTS for name, run in part.QUERIES.items()}
+ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
+
+#: The query that shows the library at a glance: linkage with conflict rules.
+FLAGSHIP = QUERIES["J8_conflict_resolution"]
