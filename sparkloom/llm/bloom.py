@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import to_arrays
+
 WORDS = 1 << 20
 
 
@@ -28,14 +27,9 @@ def gather(hashes: DataFrame, column: str, words: int = WORDS) -> np.ndarray:
         mask = mask.bitwiseOR(F.expr(f"shiftleft(1L, cast(shiftright({column}, {shift}) & 63 as int))"))
     parts = hashes.select(h.bitwiseAND(F.lit(words - 1)).cast("int").alias("at"), mask.alias("mask")).groupBy("at").agg(F.bit_or("mask").alias("mask"))
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = [batch.column(i).to_numpy().tobytes() for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in raw], ["at", "mask"])
-
+    rows = to_arrays(parts)
     table = np.zeros(words, np.uint64)
-    for row in parts.mapInArrow(packed, "at binary, mask binary").collect():
-        table[np.frombuffer(row["at"], np.int32)] = np.frombuffer(row["mask"], np.uint64)
+    table[rows["at"]] = rows["mask"].view(np.uint64)
     return table
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +59,16 @@ def join_counted(rows: DataFrame, facts: DataFrame, key: str, count: str, hot: i
     joined = marked.join(cold, F.col("_cold_key") == F.col("_fact_key"), "left")
     found = F.coalesce(F.col("_hot"), F.col("_cold"))
     return joined.select(*rows.columns, *[found[v].alias(v) for v in values])
+
+
+def to_arrays(df: DataFrame) -> dict[str, np.ndarray]:
+    """Numeric columns of a table of bounded size as arrays; tasks pack them, so that the driver holds the bytes once."""
+    names = df.columns
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([c.to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for c in batch.columns], names)
+
+    kinds = {"int": np.int32, "bigint": np.int64, "double": np.float64}
+    rows = df.mapInArrow(pack, ", ".join(f"`{c}` binary" for c in names)).collect()
+    return {c: np.frombuffer(b"".join(r[c] for r in rows), kinds[t]) for c, t in df.dtypes}
