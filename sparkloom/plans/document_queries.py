@@ -48,12 +48,12 @@ ORACLES["A14_document_context"] = "SELECT CASE WHEN doc_id % 3 = 0 THEN 'supplem
 
 def _located(s, d):
     items = table(s, d, "benchmark")
-    needle = F.when(F.col("item_id") % 2 == 0, F.upper(F.left("text", F.lit(60)))).otherwise(F.regexp_replace(F.left("text", F.lit(60)), " ", "  "))
+    needle = F.when(F.col("item_id") % 2 == 0, F.regexp_replace(F.left("text", F.lit(60)), "e", "E")).otherwise(F.regexp_replace(F.left("text", F.lit(60)), " ", "  "))
     return D.located(items.select(F.col("item_id").alias("id"), F.trim(F.regexp_replace(needle, r"\S+$", "")).alias("needle")), table(s, d, "documents").select("doc_id", "text"))
 
 
 QUERIES["J18_text_location"] = _located
-ORACLES["J18_text_location"] = r"""WITH n AS (SELECT item_id AS id, trim(regexp_replace(CASE WHEN item_id % 2 = 0 THEN upper(left(text, 60)) ELSE replace(left(text, 60), ' ', '  ') END, '\S+$', '')) AS needle FROM benchmark),
+ORACLES["J18_text_location"] = r"""WITH n AS (SELECT item_id AS id, trim(regexp_replace(CASE WHEN item_id % 2 = 0 THEN replace(left(text, 60), 'e', 'E') ELSE replace(left(text, 60), ' ', '  ') END, '\S+$', '')) AS needle FROM benchmark),
 h AS (SELECT id, doc_id, strpos(text, needle) AS e, strpos(lower(text), lower(needle)) AS l, strpos(trim(regexp_replace(lower(text), '\s+', ' ', 'g')), trim(regexp_replace(lower(needle), '\s+', ' ', 'g'))) AS p FROM n, documents),
 b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY doc_id) AS k FROM h WHERE e > 0 OR l > 0 OR p > 0)
 SELECT id, doc_id, CAST(CASE WHEN e > 0 THEN 1 WHEN l > 0 THEN 2 ELSE 3 END AS INTEGER) AS tier, CAST(CASE WHEN e > 0 THEN e WHEN l > 0 THEN l ELSE p END AS INTEGER) AS "at" FROM b WHERE k = 1"""
