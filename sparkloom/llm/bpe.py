@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces whose encoding a worker keeps. Beyond it the older half is forgotten and made anew when met.
 KEPT_PIECES = 150_000
-_CHUNK_CHARS = 1 << 21
+_CHUNK_CHARS = 1 << 20
 
 
 def byte_symbols() -> dict[str, int]:

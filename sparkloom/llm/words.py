@@ -17,7 +17,7 @@ U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = 0xD1342543DE82EF95 | 1
 _SEGMENT = 1 << 18
-_CHUNK = 1 << 22
+_CHUNK = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -137,7 +137,7 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
 
 
 def chunks(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with a few MB of text each; a longer document is a slice of its own."""
+    """Slices of a batch with about a MB of text each; a longer document is a slice of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     group = (np.cumsum(sizes) // _CHUNK) if len(sizes) else sizes
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
