@@ -5,19 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df, written in the shared folder that spark.checkpoint.dir names (or one of our own where it is unset) and read again."""
-    spark = df.sparkSession
+def fresh_path(spark: SparkSession) -> str:
+    """A path in the shared folder that spark.checkpoint.dir names, or in one of our own where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not _own:
             _own.append("file://" + tempfile.mkdtemp(prefix="spark-stage-", dir="/tmp"))
         root = _own[0]
-    path = f"{root.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/stage-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df, written in the shared folder and read again."""
+    path = fresh_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
