@@ -94,3 +94,41 @@ def context_labels(cells: DataFrame, most: int = 12) -> DataFrame:
     texts = cells.filter((percent_number(F.col("value")) == "") & (F.trim("value") != "")).groupBy("sheet", F.trim("value").alias("label")).agg(F.min(F.struct("r", "c")).alias("at"))
     ranked = texts.withColumn("n", F.row_number().over(Window.partitionBy("sheet").orderBy("at"))).filter(F.col("n") <= most)
     return ranked.groupBy("sheet").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "label"))), lambda x: x["label"]), "|").alias("labels"))
+
+
+def block_features(cells: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Per block the shares of filled, numeric and text cells, blank rows inside, and rows near the top that look like headers."""
+    b = blocks.select("sheet", "r1", "r2", "c1", "c2")
+    filled = cells.filter(F.trim("value") != "").withColumn("number", percent_number(F.col("value")) != "")
+    inside = filled.join(b, "sheet").filter("r between r1 and r2 and c between c1 and c2")
+    key = ["sheet", "r1", "r2", "c1", "c2"]
+    per_row = inside.groupBy(*key, "r").agg(F.count_if("number").alias("n"), F.count_if(~F.col("number")).alias("t"))
+    header = (F.col("r") <= F.col("r1") + 3) & (F.col("t") >= 1) & (F.col("t") >= F.col("n"))
+    per = per_row.groupBy(*key).agg(F.sum("n").alias("numbers"), F.sum("t").alias("texts"), F.count("*").alias("filled_rows"), F.count_if(header).alias("header_rows"))
+    cols = inside.groupBy(*key).agg(F.count_distinct("c").alias("filled_cols"))
+    area = (F.col("r2") - F.col("r1") + 1) * (F.col("c2") - F.col("c1") + 1)
+    out = per.join(cols, key)
+    return out.select(
+        *key, ((F.col("numbers") + F.col("texts")) / area).alias("filled"), (F.col("numbers") / area).alias("numeric"), (F.col("texts") / area).alias("text"),
+        (F.col("r2") - F.col("r1") + 1 - F.col("filled_rows")).alias("empty_rows"), (F.col("c2") - F.col("c1") + 1 - F.col("filled_cols")).alias("empty_cols"), "header_rows",
+    )
+
+
+def block_route(features: DataFrame) -> DataFrame:
+    """Blocks that are worth reading, with the route: complex_layout or regular_table; sparse ones are skipped."""
+    kept = features.filter("filled >= 0.03 and (numeric > 0 or header_rows >= 1 or text >= 0.08)")
+    route = F.when(F.col("filled") < 0.08, "too_sparse").when((F.col("header_rows") >= 2) | (F.col("empty_cols") >= 1), "complex_layout").otherwise("regular_table")
+    return kept.withColumn("route", route)
+
+
+def with_context(cells: DataFrame, blocks: DataFrame, up: int = 2) -> DataFrame:
+    """Blocks grown by rows above that fill a third of their columns (the topmost of ``up`` rows that does), then by a filled column to the left."""
+    key = ["sheet", "r1", "r2", "c1", "c2"]
+    filled = cells.filter(F.trim("value") != "").select("sheet", "r", "c")
+    b = blocks.select(*key)
+    above = b.join(filled, "sheet").filter(f"r < r1 and r >= r1 - {up} and c between c1 and c2").groupBy(*key, "r").agg(F.count("*").alias("n"))
+    need = F.greatest(F.lit(1), F.floor((F.col("c2") - F.col("c1") + 1) / 3))
+    top = above.filter(F.col("n") >= need).groupBy(*key).agg(F.min("r").alias("top"))
+    grown = b.join(top, key, "left").withColumn("new_r1", F.coalesce("top", "r1"))
+    left = grown.join(filled, "sheet").filter("c = c1 - 1 and r between new_r1 and r2").select(*key).distinct().withColumn("left", F.lit(1))
+    return grown.join(left, key, "left").select(*key, "new_r1", (F.col("c1") - F.coalesce("left", F.lit(0))).alias("new_c1"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import keywords
 from ..operators import documents as D
 from .inputs import table
 
@@ -69,3 +70,24 @@ QUERIES["J16_all_terms_sentences"] = _groups
 ORACLES["J16_all_terms_sentences"] = """WITH g(grp, a, b, c) AS (VALUES ('en', 'the ', 'that', ''), ('de', 'und', 'der', 'die'), ('fr', 'les ', 'qui', '')),
 h AS (SELECT grp, conv_id, turn FROM g, conversations WHERE contains(lower(text), a) AND contains(lower(text), b) AND contains(lower(text), c)),
 k AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY conv_id, turn) AS n, count(*) OVER (PARTITION BY grp) AS hits FROM h) SELECT grp, conv_id AS doc_id, turn AS sentence_no, hits FROM k WHERE n = 1"""
+
+
+def _turns(s, d):
+    return table(s, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("sid"), F.col("text").alias("sentence"), (F.col("conv_id") % 40).cast("string").alias("hint"), "role")
+
+
+def _support(s, d):
+    items = table(s, d, "benchmark").select(F.col("item_id").alias("id"), (F.col("item_id") % 40).cast("string").alias("item"), keywords(F.col("text")).alias("words"))
+    return D.supporting_sentences(items, _turns(s, d).select("sid", "hint", keywords(F.col("sentence")).alias("words"))).select("id", "sid", "score", "rank")
+
+
+QUERIES["J14_supporting_sentences"] = _support
+_WORDS = "list_distinct(list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda w: length(w) >= 3 AND w NOT IN ('figure', 'fig', 'table', 'the', 'and', 'with', 'from', 'that', 'this', 'for', 'lnpdb')))"
+ORACLES["J14_supporting_sentences"] = f"""WITH i AS (SELECT item_id AS id, unnest({_WORDS}) AS w FROM benchmark), t AS (SELECT conv_id * 1000 + turn AS sid, unnest({_WORDS}) AS w FROM conversations),
+z AS (SELECT id, sid, sum(CASE WHEN length(w) >= 5 THEN 3 ELSE 1 END) AS score FROM i JOIN t USING (w) GROUP BY ALL UNION ALL SELECT item_id, conv_id * 1000 + turn, 8 FROM benchmark JOIN conversations ON item_id % 40 = conv_id % 40),
+y AS (SELECT id, sid, CAST(sum(score) AS BIGINT) AS score FROM z GROUP BY ALL HAVING sum(score) >= 6)
+SELECT id, sid, score, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, sid) AS INTEGER) AS rank FROM y QUALIFY rank <= 3"""
+QUERIES["J15_required_term_sentences"] = lambda s, d: D.dose_sentences(_turns(s, d), "the", ("ing", "tion"), {"erly": 5, "ble": 3}, ["role"]).select("role", "sid", "score", "rank")
+ORACLES["J15_required_term_sentences"] = """WITH h AS (SELECT role, conv_id * 1000 + turn AS sid, CAST(10 + CASE WHEN contains(lower(text), 'erly') THEN 5 ELSE 0 END + CASE WHEN contains(lower(text), 'ble') THEN 3 ELSE 0 END AS INTEGER) AS score
+  FROM conversations WHERE contains(lower(text), 'the') AND (contains(lower(text), 'ing') OR contains(lower(text), 'tion')))
+SELECT *, CAST(row_number() OVER (PARTITION BY role ORDER BY score DESC, sid) AS INTEGER) AS rank FROM h QUALIFY rank <= 2"""

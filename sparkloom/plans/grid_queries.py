@@ -57,3 +57,43 @@ SELECT sheet, r, c, value, coalesce(row_label, '') AS row_label, coalesce(col_la
 QUERIES["R7_context_labels"] = lambda s, d: G.context_labels(sheets(s, d))
 ORACLES["R7_context_labels"] = f"""WITH {SHEETS_SQL}, f AS (SELECT sheet, value, min(r * 1000 + c) AS p FROM cells WHERE starts_with(value, 'w') GROUP BY ALL),
 k AS (SELECT *, row_number() OVER (PARTITION BY sheet ORDER BY p) AS n FROM f) SELECT sheet, string_agg(value, '|' ORDER BY n) AS labels FROM k WHERE n <= 12 GROUP BY sheet"""
+_BLOCKS = BANDS_SQL + """, bl AS (SELECT DISTINCT sheet, r1, r2, c1, c2 FROM cb JOIN cx USING (sheet, r1, c)), fi AS (SELECT sheet, r, c, NOT starts_with(value, 'w') AS num FROM cells)"""
+_FEATURES = _BLOCKS + """, ro AS (SELECT bl.*, r, count_if(num) AS n, count_if(NOT num) AS t FROM fi JOIN bl ON fi.sheet = bl.sheet AND r BETWEEN r1 AND r2 AND c BETWEEN c1 AND c2 GROUP BY ALL),
+co AS (SELECT bl.*, count(DISTINCT c) AS k FROM fi JOIN bl ON fi.sheet = bl.sheet AND r BETWEEN r1 AND r2 AND c BETWEEN c1 AND c2 GROUP BY ALL),
+fe AS (SELECT ro.sheet, ro.r1, ro.r2, ro.c1, ro.c2, sum(n + t) / ((ro.r2 - ro.r1 + 1) * (ro.c2 - ro.c1 + 1)) AS filled, sum(n) / ((ro.r2 - ro.r1 + 1) * (ro.c2 - ro.c1 + 1)) AS numeric, sum(t) / ((ro.r2 - ro.r1 + 1) * (ro.c2 - ro.c1 + 1)) AS text,
+  ro.r2 - ro.r1 + 1 - count(*) AS empty_rows, ro.c2 - ro.c1 + 1 - any_value(k) AS empty_cols, count_if(r <= ro.r1 + 3 AND t >= 1 AND t >= n) AS header_rows FROM ro JOIN co ON ro.sheet = co.sheet AND ro.r1 = co.r1 AND ro.c1 = co.c1 GROUP BY ro.sheet, ro.r1, ro.r2, ro.c1, ro.c2)"""
+
+
+def _features(s, d):
+    cells = sheets(s, d)
+    f = G.block_features(cells, G.bands(cells))
+    return f.select("sheet", "r1", "c1", *[F.round(c, 4).alias(c) for c in ("filled", "numeric", "text")], "empty_rows", "empty_cols", "header_rows")
+
+
+QUERIES["G4_block_features"] = _features
+ORACLES["G4_block_features"] = f'WITH {_FEATURES} SELECT sheet, r1, c1, round(filled, 4) AS filled, round("numeric", 4) AS "numeric", round(text, 4) AS text, empty_rows, empty_cols, header_rows FROM fe'
+ORACLES["G4_block_features"] = ORACLES["G4_block_features"].replace("AS numeric,", 'AS "numeric",')
+
+
+def _routes(s, d):
+    cells = sheets(s, d)
+    return G.block_route(G.block_features(cells, G.bands(cells))).select("sheet", "r1", "c1", "route")
+
+
+QUERIES["G5_block_routes"] = _routes
+ORACLES["G5_block_routes"] = f"""WITH {_FEATURES.replace('AS numeric,', 'AS "numeric",')} SELECT sheet, r1, c1, CASE WHEN filled < 0.08 THEN 'too_sparse' WHEN header_rows >= 2 OR empty_cols >= 1 THEN 'complex_layout' ELSE 'regular_table' END AS route
+FROM fe WHERE filled >= 0.03 AND ("numeric" > 0 OR header_rows >= 1 OR text >= 0.08)"""
+
+
+def _grown(s, d):
+    """Bands cut by dropping some cells, grown again over the cells that were dropped."""
+    cells = sheets(s, d)
+    return G.with_context(cells, G.bands(cells.filter("r % 6 > 1 and c % 5 > 0")))
+
+
+QUERIES["G7_block_context"] = _grown
+ORACLES["G7_block_context"] = f"""WITH {BANDS_SQL.replace('FROM (SELECT DISTINCT sheet, r FROM cells)', 'FROM (SELECT DISTINCT sheet, r FROM part_of)').replace('FROM cells JOIN rb', 'FROM part_of AS cells JOIN rb').replace('rr AS (', 'part_of AS (SELECT * FROM cells WHERE r % 6 > 1 AND c % 5 > 0), rr AS (', 1)},
+bl AS (SELECT DISTINCT sheet, r1, r2, c1, c2 FROM cb JOIN cx USING (sheet, r1, c)),
+up AS (SELECT bl.sheet, bl.r1, bl.r2, bl.c1, bl.c2, r FROM bl JOIN cells x ON x.sheet = bl.sheet AND r < r1 AND r >= r1 - 2 AND c BETWEEN c1 AND c2 GROUP BY ALL HAVING count(*) >= greatest(1, (bl.c2 - bl.c1 + 1) // 3)),
+g AS (SELECT bl.*, coalesce((SELECT min(r) FROM up WHERE up.sheet = bl.sheet AND up.r1 = bl.r1 AND up.r2 = bl.r2 AND up.c1 = bl.c1 AND up.c2 = bl.c2), bl.r1) AS new_r1 FROM bl)
+SELECT *, c1 - CASE WHEN EXISTS (SELECT 1 FROM cells x WHERE x.sheet = g.sheet AND x.c = g.c1 - 1 AND x.r BETWEEN new_r1 AND r2) THEN 1 ELSE 0 END AS new_c1 FROM g"""
