@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,16 +69,18 @@ def machine_scores(rows: np.ndarray, cols: np.ndarray, n: int, bias: float, w: n
     return bias + linear + 0.5 * ((total * total).sum(1) - squares)
 
 
-def fit(docs: list[set[int]], toxic: np.ndarray, epochs: int = 12, seed: int = 7) -> dict:
+def fit(docs: list[np.ndarray], toxic: np.ndarray, epochs: int = 12, seed: int = 7) -> dict:
     """Choose the telling terms, then fit weights and factors by AdaGrad on mini-batches. Learns nothing from no rows."""
     n = len(docs)
     if n == 0 or toxic.min() == toxic.max():
         rate = (toxic.sum() + 0.5) / (n + 1)
         return {"bias": float(np.log(rate / (1 - rate))) if n else -3.0, "wanted": np.full(PLACES, -1, np.int32), "w": np.zeros(1), "v": np.zeros((1, FACTORS))}
-    rows = np.repeat(np.arange(n), [len(d) for d in docs])
-    cols = np.fromiter((c for d in docs for c in d), np.int64, len(rows))
-    on = np.bincount(cols, toxic[rows], PLACES)
-    all_ = np.bincount(cols, minlength=PLACES)
+    on, all_ = np.zeros(PLACES), np.zeros(PLACES)
+    for i in range(0, n, 1000):
+        part = docs[i : i + 1000]
+        cols = np.concatenate(part)
+        on += np.bincount(cols, np.repeat(toxic[i : i + 1000], [len(d) for d in part]), PLACES)
+        all_ += np.bincount(cols, minlength=PLACES)
     off = all_ - on
     pos, neg = toxic.sum(), n - toxic.sum()
     # signed root of the log-likelihood gain of knowing a term
@@ -90,9 +93,9 @@ def fit(docs: list[set[int]], toxic: np.ndarray, epochs: int = 12, seed: int = 7
     wanted = np.full(PLACES, -1, np.int32)
     wanted[chosen] = np.arange(len(chosen))
     m = max(1, len(chosen))
-    keep = wanted[cols] >= 0
-    rows, cols = rows[keep], wanted[cols[keep]].astype(np.int64)
-    ptr = np.searchsorted(rows, np.arange(n + 1))
+    few = [wanted[d][wanted[d] >= 0] for d in docs]
+    ptr = np.append(0, np.cumsum([len(d) for d in few]))
+    cols = np.concatenate(few).astype(np.int64)
     rng = np.random.default_rng(seed)
     w, v = np.zeros(m), rng.normal(0, 0.02, (m, FACTORS))
     bias = float(np.log((pos + 0.5) / (neg + 0.5)))
@@ -133,13 +136,13 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
             yield pa.RecordBatch.from_arrays([pa.array(sets, pa.binary()), batch.column(1).cast(pa.int32())], ["terms", "toxic"])
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, toxic = [], []
+        docs, toxic = [], []
         for batch in batches:
-            sets += [set(np.frombuffer(b, np.int32).tolist()) for b in batch.column(0).to_pylist()]
+            docs += [np.sort(np.frombuffer(b, np.int32)) for b in batch.column(0).to_pylist()]
             toxic += batch.column(1).to_pylist()
         # rows may come in any order: learning starts from one that depends on their content
-        order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), hash(tuple(sorted(sets[i]))), toxic[i]))
-        model = fit([sets[i] for i in order], np.array([toxic[i] for i in order], float))
+        order = sorted(range(len(docs)), key=lambda i: (len(docs[i]), zlib.crc32(docs[i].tobytes()), toxic[i]))
+        model = fit([docs[i] for i in order], np.array([toxic[i] for i in order], float))
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (np.float64(model["bias"]).tobytes(), model["wanted"].tobytes(), model["w"].tobytes(), model["v"].tobytes())], ["bias", "wanted", "w", "v"])
 
     terms = few.mapInArrow(hashed, "terms binary, toxic int").coalesce(1)
