@@ -128,3 +128,41 @@ def block_items(tables: list[DataFrame], block: str, items: str) -> DataFrame:
         each = t.select(block, F.explode(F.split(items, "[|;,]")).alias("item")).select(block, F.trim("item").alias("item")).filter("item <> ''")
         out = each if out is None else out.unionByName(each)
     return out.groupBy(block).agg(F.array_join(F.array_sort(F.collect_set("item")), "|").alias("items"))
+
+
+def sheet_keys(rows: DataFrame, by: list[str], text: str) -> DataFrame:
+    """P10: the figure key that each sheet's rows name most often, with confidence and whether to look at it.
+
+    Equals go to the first key. A key that all keyed rows agree on is high, a majority medium, else low.
+    """
+    keyed = rows.select(*by, item_key(F.col(text)).alias("key"))
+    counts = keyed.filter("key <> ''").groupBy(*by, "key").agg(F.count("*").alias("n"))
+    best = counts.groupBy(*by).agg(F.min(F.struct((-F.col("n")).alias("m"), "key")).alias("b"), F.sum("n").alias("keyed"), F.count("*").alias("keys"))
+    out = keyed.groupBy(*by).agg(F.count("*").alias("rows")).join(best, by, "left")
+    top = -F.col("b.m")
+    band = F.when(F.col("keys") == 1, "high").when(2 * top > F.col("keyed"), "medium").otherwise("low")
+    return out.select(*by, F.coalesce("b.key", F.lit("")).alias("figure_key"), band.alias("confidence"), (band == "low").alias("needs_review"))
+
+
+def example_values(df: DataFrame, columns: list[str], order: str, most: int = 30) -> DataFrame:
+    """Per column the first distinct values that say something, in the order of the rows."""
+    cells = df.select(F.col(order).alias("pos"), *[given(F.col(c)).alias(c) for c in columns]).unpivot(["pos"], columns, "column", "value")
+    first = cells.filter(~F.lower(F.trim("value")).isin("", "na", "n/a", "nan", "none")).groupBy("column", F.trim("value").alias("value")).agg(F.min("pos").alias("pos"))
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy("pos", "value"))).filter(F.col("rank") <= most)
+    return ranked.groupBy("column").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "value"))), lambda x: x["value"]), "|").alias("values"))
+
+
+def asset_items(rows: DataFrame, selected: DataFrame, asset: str, item: str) -> DataFrame:
+    """Per asset the selected items that show it; a panel suffix names the panel, an asset of one item needs none."""
+    kept = rows.join(selected.select(item), item, "left_semi")
+    per = kept.groupBy(asset).agg(F.array_sort(F.collect_set(item)).alias("items"))
+    return per.select(asset, F.array_join("items", "|").alias("items"), F.array_join(F.transform("items", lambda x: F.regexp_extract(x, "[0-9]([a-z])$", 1)), "").alias("panels"), (F.size("items") == 1).alias("single"))
+
+
+def completeness(df: DataFrame, required: list[str], allowed: dict[str, list[str]], references: DataFrame, key: str) -> DataFrame:
+    """One line per check of a stage's output: rows, missing columns, values not allowed, referenced keys that are not there."""
+    missing = ",".join(c for c in required if c not in df.columns)
+    bad = [F.count_if(~given(F.col(c)).isin(*v)).alias(f"bad_{c}") for c, v in allowed.items()]
+    own = df.agg(F.count("*").alias("rows"), *bad)
+    lost = references.select(key).distinct().join(df.select(key), key, "left_anti").agg(F.count("*").alias("lost"))
+    return own.crossJoin(F.broadcast(lost)).withColumn("missing_columns", F.lit(missing))

@@ -89,3 +89,30 @@ ORACLES["A7_extraction_verdicts"] = f"""WITH {NUMBERS_SQL}, p AS (SELECT id % 7
 SELECT block, count(*) AS "rows", count_if(n) AS numbers, count_if(l) AS labels, CASE WHEN count_if(n) = 0 AND count_if(l) = 0 THEN 'empty' WHEN count_if(n) = 0 THEN 'no_numbers' WHEN count_if(l) = 0 THEN 'no_labels' ELSE 'ok' END AS verdict FROM p GROUP BY block"""
 QUERIES["A4_block_items"] = lambda s, d: C.block_items([table(s, d, "part").select("p_brand", F.concat_ws("; ", "p_type", F.split("p_name", " ")[0]).alias("x")), table(s, d, "part").filter("p_size < 5").select("p_brand", F.concat(F.lit(",small|"), F.col("p_type")).alias("x"))], "p_brand", "x")
 ORACLES["A4_block_items"] = "SELECT p_brand, string_agg(DISTINCT x, '|' ORDER BY x) AS items FROM (SELECT p_brand, unnest([p_type, split_part(p_name, ' ', 1)]) AS x FROM part UNION ALL SELECT p_brand, 'small' FROM part WHERE p_size < 5) GROUP BY 1"
+
+
+def _sheet_keys(s, d):
+    rows = table(s, d, "part").select("p_brand", F.when(F.col("p_size") % 4 == 0, "").otherwise(F.concat(F.lit("Fig. "), (F.col("p_size") % 4).cast("string"), F.lit(" of it"))).alias("t"))
+    return C.sheet_keys(rows, ["p_brand"], "t")
+
+
+QUERIES["P10_sheet_keys"] = _sheet_keys
+ORACLES["P10_sheet_keys"] = """WITH k AS (SELECT p_brand, p_size % 4 AS k, count(*) AS n FROM part WHERE p_size % 4 <> 0 GROUP BY ALL), b AS (SELECT p_brand, k, n, sum(n) OVER (PARTITION BY p_brand) AS t, count(*) OVER (PARTITION BY p_brand) AS c FROM k QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, k) = 1)
+SELECT p.p_brand, coalesce('figure ' || k, '') AS figure_key, CASE WHEN c IS NULL THEN 'low' WHEN c = 1 THEN 'high' WHEN 2 * n > t THEN 'medium' ELSE 'low' END AS confidence, c IS NULL OR (c > 1 AND 2 * n <= t) AS needs_review FROM (SELECT DISTINCT p_brand FROM part) p LEFT JOIN b ON b.p_brand = p.p_brand"""
+QUERIES["P11_example_values"] = lambda s, d: C.example_values(table(s, d, "part").select("p_partkey", "p_name", F.when(F.col("p_size") % 2 == 0, "N/A").otherwise(F.col("p_type")).alias("kind")), ["p_name", "kind"], "p_partkey")
+ORACLES["P11_example_values"] = """WITH c AS (SELECT 'p_name' AS col, p_name AS v, min(p_partkey) AS pos FROM part GROUP BY 2 UNION ALL SELECT 'kind', p_type, min(p_partkey) FROM part WHERE p_size % 2 <> 0 GROUP BY 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY col ORDER BY pos, v) AS n FROM c) SELECT col AS "column", string_agg(v, '|' ORDER BY n) AS "values" FROM r WHERE n <= 30 GROUP BY col"""
+
+
+def _asset_items(s, d):
+    rows = table(s, d, "part").select(F.col("p_type").alias("asset"), F.concat(F.lit("figure "), (F.col("p_size") % 6).cast("string"), F.when(F.col("p_size") % 2 == 0, "b").otherwise("")).alias("item"))
+    chosen = rows.filter("item > 'figure 2'").select("item").distinct()
+    return C.asset_items(rows, chosen, "asset", "item")
+
+
+QUERIES["J31_asset_items"] = _asset_items
+ORACLES["J31_asset_items"] = """WITH r AS (SELECT DISTINCT p_type AS asset, 'figure ' || (p_size % 6) || CASE WHEN p_size % 2 = 0 THEN 'b' ELSE '' END AS item FROM part)
+SELECT asset, string_agg(item, '|' ORDER BY item) AS items, string_agg(regexp_extract(item, '[0-9]([a-z])$', 1), '' ORDER BY item) AS panels, count(*) = 1 AS single FROM r WHERE item > 'figure 2' GROUP BY asset"""
+QUERIES["A12_stage_completeness"] = lambda s, d: C.completeness(table(s, d, "orders"), ["o_orderkey", "o_note", "o_clerk"], {"o_orderstatus": ["F", "O"], "o_orderpriority": ["1-URGENT"]}, table(s, d, "lineitem").select((F.col("l_orderkey") + 5).alias("o_orderkey")), "o_orderkey")
+ORACLES["A12_stage_completeness"] = """SELECT count(*) AS "rows", count_if(o_orderstatus NOT IN ('F', 'O')) AS bad_o_orderstatus, count_if(o_orderpriority <> '1-URGENT') AS bad_o_orderpriority,
+  (SELECT count(DISTINCT l_orderkey + 5) FROM lineitem WHERE l_orderkey + 5 NOT IN (SELECT o_orderkey FROM orders)) AS lost, 'o_note,o_clerk' AS missing_columns FROM orders"""
