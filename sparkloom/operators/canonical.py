@@ -59,7 +59,7 @@ def target_rows(df: DataFrame, value_column: str, source: str, row: str, mapped:
     text = given(F.col(f"`{value_column}`"))
     payload = F.create_map(*[x for c in inside.columns for x in (F.lit(c), given(F.col(f"`{c}`")))])
     return df.select(
-        F.concat(F.lit(prefix), F.lpad(F.col(row).cast("string"), 8, "0")).alias("lnpdb_row_id"), F.col(source).alias("source_file"), F.col(row).alias("source_row"), *names,
+        F.concat(F.lit(prefix), F.lpad(F.col(row).cast("string"), 8, "0")).alias("target_row_id"), F.col(source).alias("source_file"), F.col(row).alias("source_row"), *names,
         key.alias("figure_key"), F.coalesce(F.nullif(key, F.lit("")), F.lit(UNKNOWN)).alias("partition_key"), text.alias("existing_value_text"), payload.alias("payload"),
     )
 

@@ -26,11 +26,11 @@ SELECT 'EV' || lpad(CAST(id AS VARCHAR), 8, '0') AS expval_id, label AS figure_n
 def _targets(s, d):
     """The row's own key, else the mapped one."""
     rows = labels_of_parts(s, d).select(F.col("label").alias("Item_ID"), F.when(F.col("id") % 2 == 0, "3.5").otherwise("").alias("experimental_value"), F.lit("t.csv").alias("src"), F.col("id").alias("row"))
-    return C.target_rows(rows, "experimental_value", "src", "row", F.when(F.col("row") % 3 == 0, "figure 77").otherwise("")).select("lnpdb_row_id", "item_id", "existing_value_text", F.col("figure_key").contains("77").alias("mapped"), (F.col("partition_key") == C.UNKNOWN).alias("unknown"))
+    return C.target_rows(rows, "experimental_value", "src", "row", F.when(F.col("row") % 3 == 0, "figure 77").otherwise("")).select("target_row_id", "item_id", "existing_value_text", F.col("figure_key").contains("77").alias("mapped"), (F.col("partition_key") == C.UNKNOWN).alias("unknown"))
 
 
 QUERIES["F4_target_rows"] = _targets
-ORACLES["F4_target_rows"] = f"""WITH {LABELS_SQL}, {ITEM_KEY_SQL} SELECT 'LN' || lpad(CAST(m.id AS VARCHAR), 8, '0') AS lnpdb_row_id, label AS item_id, CASE WHEN m.id % 2 = 0 THEN '3.5' ELSE '' END AS existing_value_text,
+ORACLES["F4_target_rows"] = f"""WITH {LABELS_SQL}, {ITEM_KEY_SQL} SELECT 'LN' || lpad(CAST(m.id AS VARCHAR), 8, '0') AS target_row_id, label AS item_id, CASE WHEN m.id % 2 = 0 THEN '3.5' ELSE '' END AS existing_value_text,
   item_key = '' AND m.id % 3 = 0 AS mapped, item_key = '' AND m.id % 3 <> 0 AS unknown FROM m JOIN i ON i.id = m.id"""
 
 
