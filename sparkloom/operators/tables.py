@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import comparison_text, given, matcher_text, number
+from ..sources.stage import written
 
 #: Words for a missing value in experiment keys.
 NA_WORDS = ("", "na", "n/a", "nan", "none", "null", "not available", "not applicable", "not reported", "unknown", "-")
@@ -74,7 +75,8 @@ def sequence_ids(df: DataFrame, order: list[str], prefix: str, width: int = 6, n
     of which there is one per partition.
     """
     spread = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    inside = spread.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
+    # written, so that the ranges, which Spark samples anew for each use, are drawn once
+    inside = written(spread.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order))))
     totals = inside.groupBy("_p").agg(F.count("*").alias("_rows"))
     before = totals.select("_p", F.coalesce(F.sum("_rows").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     numbered = inside.join(F.broadcast(before), "_p").withColumn(name, F.concat(F.lit(prefix), F.lpad((F.col("_i") + F.col("_before")).cast("string"), width, "0")))
