@@ -132,3 +132,30 @@ def keep_first_grouping(groups: DataFrame, elements: DataFrame) -> DataFrame:
     first = each.groupBy("element").agg(F.min("grp").alias("grp"))
     rest = elements.join(first, "element", "left_anti").select("element", F.concat(F.lit("single:"), F.col("element").cast("string")).alias("grp"))
     return first.select("element", F.col("grp").cast("string").alias("grp")).unionByName(rest)
+
+
+def alias_lookup(rows: DataFrame, name: str, entries: DataFrame) -> DataFrame:
+    """The value of a name through any alias of an entry (pos, aliases, value); of several, the first entry."""
+    each = entries.select("pos", "value", F.explode("aliases").alias("alias")).select("pos", "value", matcher_key(F.col("alias")).alias("key")).filter("key <> ''")
+    first = each.groupBy("key").agg(F.min(F.struct("pos", "value")).alias("e"))
+    return rows.withColumn("key", matcher_key(F.col(name))).join(first, "key", "left").select(*rows.columns, F.coalesce("e.value", F.lit("")).alias("value"))
+
+
+def mapping_status(entries: DataFrame, fallback: list[str]) -> DataFrame:
+    """entries of a fallback source get a review flag, low confidence and a reason more; others are marked as not separated."""
+    weak = F.col("source_quality").isin(*fallback)
+    return entries.select(
+        *[c for c in entries.columns if c not in ("confidence", "reason")],
+        F.when(weak, "low").otherwise(F.col("confidence")).alias("confidence"), F.when(weak, F.concat_ws("; ", F.nullif("reason", F.lit("")), F.lit("fallback source"))).otherwise(F.col("reason")).alias("reason"),
+        weak.alias("needs_review"), F.when(weak, "").otherwise("not_separated").alias("status"),
+    )
+
+
+def finalisation_counts(rows: DataFrame, evidence: DataFrame, evidence_map: DataFrame) -> DataFrame:
+    """Counters of a unified table, its evidence and the map between them, one line per counter."""
+    r = rows.agg(F.count("*").alias("rows"), F.count_distinct("row_id").alias("distinct_rows"), F.count_if(F.trim(F.coalesce("value", F.lit(""))) != "").alias("rows_with_value"))
+    e = evidence.agg(F.count("*").alias("evidence"), F.count_distinct("item_id").alias("items_with_evidence"))
+    m = evidence_map.agg(F.count("*").alias("links"), F.count_distinct("row_id").alias("rows_with_evidence"))
+    bare = rows.join(evidence_map.select("row_id").distinct(), "row_id", "left_anti").agg(F.count("*").alias("rows_without_evidence"))
+    one = r.crossJoin(F.broadcast(e)).crossJoin(F.broadcast(m)).crossJoin(F.broadcast(bare))  # single rows
+    return one.unpivot([], one.columns, "counter", "n")

@@ -154,3 +154,36 @@ def _grouping(s, d):
 
 QUERIES["A20_grouping_normalisation"] = _grouping
 ORACLES["A20_grouping_normalisation"] = "SELECT p_partkey AS element, coalesce(CAST(min(l_suppkey) AS VARCHAR), 'single:' || p_partkey) AS grp FROM part LEFT JOIN lineitem ON l_partkey = p_partkey AND l_suppkey % 4 = 0 WHERE p_partkey % 3 <> 0 GROUP BY p_partkey"
+
+
+def _alias(s, d):
+    p = table(s, d, "part")
+    entries = p.filter("p_size < 20").select(F.col("p_partkey").alias("pos"), F.array(F.col("p_name"), F.concat_ws("-", F.split("p_name", " ")[1], F.split("p_name", " ")[0])).alias("aliases"), F.concat(F.lit("V"), F.col("p_partkey")).alias("value"))
+    return R.alias_lookup(p.select("p_partkey", F.upper(F.regexp_replace("p_name", " ", "_")).alias("name")), "name", entries).select("p_partkey", "value")
+
+
+QUERIES["J20_alias_lookup"] = _alias
+ORACLES["J20_alias_lookup"] = """WITH a AS (SELECT replace(p_name, ' ', '') AS k, p_partkey AS pos FROM part WHERE p_size < 20 UNION ALL SELECT split_part(p_name, ' ', 2) || split_part(p_name, ' ', 1), p_partkey FROM part WHERE p_size < 20),
+f AS (SELECT k, min(pos) AS pos FROM a GROUP BY 1) SELECT p_partkey, coalesce('V' || pos, '') AS value FROM part LEFT JOIN f ON k = replace(p_name, ' ', '')"""
+
+
+def _status(s, d):
+    o = table(s, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("source_quality"), F.lit("high").alias("confidence"), F.when(F.col("o_orderkey") % 2 == 0, "").otherwise("seen").alias("reason"))
+    return R.mapping_status(o, ["P"])
+
+
+QUERIES["F14_mapping_status"] = _status
+ORACLES["F14_mapping_status"] = """SELECT o_orderkey, o_orderstatus AS source_quality, CASE WHEN o_orderstatus = 'P' THEN 'low' ELSE 'high' END AS confidence,
+  CASE WHEN o_orderstatus = 'P' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'fallback source' ELSE 'seen; fallback source' END WHEN o_orderkey % 2 = 0 THEN '' ELSE 'seen' END AS reason,
+  o_orderstatus = 'P' AS needs_review, CASE WHEN o_orderstatus = 'P' THEN '' ELSE 'not_separated' END AS status FROM orders"""
+
+
+def _counts(s, d):
+    o, l = table(s, d, "orders"), table(s, d, "lineitem")
+    rows = o.select(F.col("o_orderkey").alias("row_id"), F.when(F.col("o_orderstatus") == "P", " ").otherwise("1").alias("value"))
+    return R.finalisation_counts(rows, l.select(F.col("l_partkey").alias("item_id")), l.select(F.col("l_orderkey").alias("row_id")))
+
+
+QUERIES["A9_finalisation_counts"] = _counts
+ORACLES["A9_finalisation_counts"] = """WITH x AS (SELECT count(*) AS "rows", count(DISTINCT o_orderkey) AS distinct_rows, count_if(o_orderstatus <> 'P') AS rows_with_value, count_if(o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) AS rows_without_evidence FROM orders),
+y AS (SELECT count(*) AS evidence, count(DISTINCT l_partkey) AS items_with_evidence, count(*) AS links, count(DISTINCT l_orderkey) AS rows_with_evidence FROM lineitem) UNPIVOT (SELECT * FROM x, y) ON COLUMNS(*) INTO NAME counter VALUE n"""
