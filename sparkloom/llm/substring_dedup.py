@@ -161,7 +161,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     rows = found.select("hot", "key", "id", "h", "pos", "windows")
     cold = rows.filter("not hot").drop("hot").repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: settle(b, False), shape)
     # a window is open in a part only if it was met there once, so that it has PARTS open rows at most
-    dealt = rows.filter("hot").drop("hot").repartition("key", F.pmod("h", F.lit(PARTS))).sortWithinPartitions("key")
+    dealt = rows.filter("hot").drop("hot").repartition("key", F.pmod(F.xxhash64("id", "h"), F.lit(PARTS))).sortWithinPartitions("key")
     warm = save(dealt.mapInArrow(lambda b: settle(b, True), shape))
     met = warm.filter("kind > 0").groupBy("window").agg(F.sum("n").alias("met")).filter("met > 1")
     late = warm.filter("kind = 1").join(met, "window")
