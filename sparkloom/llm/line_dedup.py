@@ -17,8 +17,10 @@ from .words import chunks, mix, powers
 
 #: Edits (insert, delete, replace one character) that two lines may differ by.
 EDITS = 2
-#: Shorter lines take no part: they are kept wherever they stand.
-LEAST = 24
+#: Shorter lines take no part: only empty lines are kept wherever they stand.
+LEAST = 1
+#: Shorter lines are of a class only when they are equal: two edits would change too much of them.
+LEAST_NEAR = 24
 #: Characters that are counted to tell lines apart before they are compared; all others count as one more.
 COUNTED = "etaoinsrhldcumg "
 _MULT = 0xC2B2AE3D27D4EB4F | 1
@@ -112,8 +114,8 @@ def _flat(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] =
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"carry_{c}") for c in carry])
 
 
-def _cut(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Spans]:
-    """For the lines that take part, of a slice of documents: document, line number, begin, end in characters; and their hashes."""
+def _cut(part: pa.RecordBatch, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Spans]:
+    """For the lines of at least so many characters, of a slice of documents: document, line number, begin, end in characters; and their hashes."""
     texts = part.column("text").to_pylist()
     chars = np.frombuffer("".join(t or "" for t in texts).encode("utf-32-le"), np.uint32)
     sizes = np.array([len(t or "") for t in texts], np.int64)
@@ -131,7 +133,7 @@ def _cut(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     doc = np.where(empty_last, np.searchsorted(ends, begin, "left"), doc)
     first = np.searchsorted(doc, doc)
     number = np.arange(len(doc)) - first
-    keep = end - begin >= LEAST
+    keep = end - begin >= least
     return doc[keep], number[keep], begin[keep], end[keep], Spans(chars)
 
 
@@ -150,7 +152,7 @@ def occurrences(flat: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                doc, number, begin, end, spans = _cut(part)
+                doc, number, begin, end, spans = _cut(part, LEAST)
                 yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(doc)), pa.array(number.astype(np.int32)), pa.array((spans.hash(begin, end) & U(_MASK)).view(np.int64)), pa.array((end - begin).astype(np.int32))], ["id", "line", "l1", "size"])
 
     return flat.mapInArrow(run, f"id {flat.schema['id'].dataType.simpleString()}, line int, l1 long, size int")
@@ -162,7 +164,7 @@ def _segment_rows(flat: DataFrame, edits: int, table=None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                _, _, begin, end, spans = _cut(part)
+                _, _, begin, end, spans = _cut(part, LEAST_NEAR)
                 own = (spans.hash(begin, end) & U(_MASK)).view(np.int64)
                 _, once = np.unique(own, return_index=True)
                 begin, end, own = begin[once], end[once], own[once]
@@ -195,7 +197,7 @@ def _texts(flat: DataFrame, table) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                doc, number, begin, end, spans = _cut(part)
+                doc, number, begin, end, spans = _cut(part, LEAST_NEAR)
                 own = spans.hash(begin, end) & U(_MASK)
                 may = np.flatnonzero(bloom.may_hold(table.value, own))
                 _, once = np.unique(own[may], return_index=True)
@@ -228,7 +230,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
 
 
 def line_links(flat: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
-    """(links a, b between distinct lines; components node, component) for all lines within ``edits`` of each other, as classes.
+    """(links a, b between distinct lines; components node, component) for all lines of LEAST_NEAR characters or more within ``edits`` of each other, as classes.
 
     Every line's segments are keyed by (length, number, content). A line probes the keys of its own and
     shorter lengths; probes that no segment can answer are dropped by a bit filter before the shuffle.
@@ -281,9 +283,9 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_lines, n_removed, n_links, removed (line numbers), classes, text for every row of docs.
 
-    Lines are what newlines part. Lines of at least LEAST characters that are equal, or within ``edits``
-    edits of each other directly or through others, are one class; the one with the smallest (id, line)
-    stays and the others go. Shorter lines always stay. classes has, for each line in a class of two or
+    Lines are what newlines part. Lines that are equal and not empty, and lines of at least LEAST_NEAR
+    characters within ``edits`` edits of each other directly or through others, are one class; the one with
+    the smallest (id, line) stays and the others go. Empty lines always stay. classes has, for each line in a class of two or
     more, its number and the class's first place; n_links counts the near links of those lines. Null
     texts stay null, with no lines; documents stay, even when no line is left. Rows that repeat an id
     count their lines as one document's, so a line that stays for that id stays in each of them. Null ids

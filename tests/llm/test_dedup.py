@@ -175,3 +175,10 @@ def test_line_stage_keeps_rows_and_columns(spark, odd_docs):
     docs = odd_docs.filter("doc_id is not null and doc_id <> 7")
     out = line_dedup.without_repeated_lines(spark, docs)
     assert out.columns == docs.columns and out.count() == docs.count()
+
+
+def test_short_lines_that_repeat_go(spark):
+    """Equal lines of any length are one class; short lines that only resemble each other are not."""
+    texts = [(1, "All rights reserved.\na\n\nAll rights reserved!"), (2, "a\n\nAll rights reserved."), (3, "b\na\nb")]
+    out = {x.doc_id: (x.n_removed, x.text) for x in line_dedup.line_dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert out == {1: (0, texts[0][1]), 2: (2, ""), 3: (2, "b")}
