@@ -120,17 +120,15 @@ def _cut(part: pa.RecordBatch, least: int) -> tuple[np.ndarray, np.ndarray, np.n
     chars = np.frombuffer("".join(t or "" for t in texts).encode("utf-32-le"), np.uint32)
     sizes = np.array([len(t or "") for t in texts], np.int64)
     ends = np.cumsum(sizes)
-    stop = np.zeros(len(chars) + 1, bool)
-    stop[ends] = True  # a document's end
-    newline = chars == 10
-    cut = np.flatnonzero(newline)
-    doc_begin = (ends - sizes)[sizes > 0]
-    begin = np.sort(np.concatenate([doc_begin, cut + 1]))
-    end = np.sort(np.concatenate([cut, ends[sizes > 0]]))
-    doc = np.searchsorted(ends, np.minimum(begin, end), "right")
-    # a newline that ends a document leaves an empty last line, which belongs to that document
-    empty_last = (begin == end) & np.isin(end, ends[sizes > 0]) & np.isin(begin - 1, cut)
-    doc = np.where(empty_last, np.searchsorted(ends, begin, "left"), doc)
+    cut = np.flatnonzero(chars == 10)
+    of_cut = np.searchsorted(ends, cut, "right")  # a newline's document, by its own position
+    filled = np.flatnonzero(sizes)
+    # each document's first line begins with it, and its last ends with it; all others begin after or end at its newlines
+    doc = np.concatenate([filled, of_cut])
+    begin = np.concatenate([(ends - sizes)[filled], cut + 1])
+    end = np.concatenate([ends[filled], cut])
+    begin, end = begin[np.lexsort((begin, doc))], end[np.lexsort((end, doc))]
+    doc = np.sort(doc)
     first = np.searchsorted(doc, doc)
     number = np.arange(len(doc)) - first
     keep = end - begin >= least

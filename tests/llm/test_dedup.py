@@ -182,3 +182,18 @@ def test_short_lines_that_repeat_go(spark):
     texts = [(1, "All rights reserved.\na\n\nAll rights reserved!"), (2, "a\n\nAll rights reserved."), (3, "b\na\nb")]
     out = {x.doc_id: (x.n_removed, x.text) for x in line_dedup.line_dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert out == {1: (0, texts[0][1]), 2: (2, ""), 3: (2, "b")}
+
+
+def test_lines_of_neighbours_that_end_and_begin_with_newlines():
+    """Lines are cut as split() cuts them, whatever document stands next in the slice."""
+    import numpy as np
+    import pyarrow as pa
+
+    r = random.Random(8)
+    slices = [["aaa\n", "\nbbb"], ["\n", "\n", "\n\n"], ["a\n", None, "", "\nb"], ["", None], ["x", "y\n\n", "\n\nz"]]
+    slices += [["".join(r.choice("a\n") for _ in range(r.randrange(5))) for _ in range(6)] for _ in range(200)]
+    for texts in slices:
+        chars = "".join(t or "" for t in texts)
+        doc, number, begin, end, _ = line_dedup._cut(pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())}), 0)
+        got = [(d, n, chars[b:e]) for d, n, b, e in zip(*(np.asarray(x).tolist() for x in (doc, number, begin, end)))]
+        assert got == [(d, n, l) for d, t in enumerate(texts) for n, l in enumerate(line_dedup.lines_of(t))]
