@@ -23,6 +23,8 @@ LEAST = 1
 LEAST_NEAR = 24
 #: Characters that are counted to tell lines apart before they are compared; all others count as one more.
 COUNTED = "etaoinsrhldcumg "
+#: Members of a key's group that meet its indexed lines in one task at most, about, when links are counted.
+DEAL = 256
 _MULT = 0xC2B2AE3D27D4EB4F | 1
 _MASK = (1 << 63) - 1
 U = np.uint64
@@ -227,14 +229,46 @@ def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def line_links(flat: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
-    """(links a, b between distinct lines; components node, component) for all lines of LEAST_NEAR characters or more within ``edits`` of each other, as classes.
+def _texts_of(flat: DataFrame, members: DataFrame) -> DataFrame:
+    """l1, line: texts of all members, and of the lines that the filter lets pass besides."""
+    ends = members.select(F.col("l1").alias("h")).distinct()
+    return save(_texts(flat, flat.sparkSession.sparkContext.broadcast(bloom.gather(ends, "h"))))
+
+
+def _others(rows: DataFrame, more: str, edits: int) -> tuple[DataFrame, F.Column]:
+    """The indexed rows, renamed to meet the others; and whether lengths and numbers of characters allow a link."""
+    tally = [f"n{i}" for i in range(len(COUNTED))]
+    other = rows.filter("indexed").select("key", F.col("l1").alias("o"), *[F.col(c).alias(f"o_{c}") for c in ("size", more, *tally)])
+    differ = sum((F.abs(F.col(c) - F.col(f"o_{c}")) for c in tally), F.lit(0))
+    others = F.abs(F.col("size") - sum(map(F.col, tally)) - F.col("o_size") + sum(F.col(f"o_{c}") for c in tally))
+    return other, (F.abs(F.col("size") - F.col("o_size")) <= edits) & (differ + others <= 2 * edits)
+
+
+def _all_links(flat: DataFrame, members: DataFrame, edits: int) -> tuple[DataFrame, DataFrame]:
+    """Numbers of links and components from all pairs of members of a key; large groups are dealt out in parts."""
+    texts = _texts_of(flat, members)
+    deal = F.ceil(F.col("members") / DEAL).cast("int")
+    rows = save(members.select("key", "l1", "size", "indexed", deal.alias("deal")).join(_character_counts(texts), "l1"))
+    other, near = _others(rows, "deal", edits)
+    other = other.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("o_deal") - 1)))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("l1"), F.col("deal")).cast("int"))
+    # two indexed lines meet twice
+    pairs = rows.join(other, ["key", "part"]).filter((F.col("l1") != F.col("o")) & (~F.col("indexed") | (F.col("l1") < F.col("o"))) & near)
+    pairs = pairs.select(F.least("l1", "o").alias("a"), F.greatest("l1", "o").alias("b")).distinct()
+    links = save(_verified(pairs, texts, edits))
+    degree = links.select(F.explode(F.array("a", "b")).alias("l1")).groupBy("l1").agg(F.count("*").alias("links"))
+    return degree, connected(links, "a", "b")
+
+
+def line_links(flat: DataFrame, edits: int = EDITS, counted: bool = True) -> tuple[DataFrame | None, DataFrame]:
+    """(numbers of links l1, links, or None; components node, component) for all lines of LEAST_NEAR characters or more within ``edits`` of each other, as classes.
 
     Every line's segments are keyed by (length, number, content). A line probes the keys of its own and
     shorter lengths; probes that no segment can answer are dropped by a bit filter before the shuffle.
-    In each key's group, members are first compared with one indexed line; then members that are still
-    in different components are compared with the indexed ones, where their lengths and numbers of
-    characters allow it: an edit changes these numbers by two in all at most, so none is lost.
+    In each key's group, members are compared with the indexed ones, where their lengths and numbers of
+    characters allow it: an edit changes these numbers by two in all at most, so none is lost. To count
+    links, all such pairs are compared. Components alone need fewer: members are first compared with one
+    indexed line, then those that are still in different components with the others.
     """
     spark = flat.sparkSession
     keys = _segment_rows(flat, edits).select("key")
@@ -243,53 +277,49 @@ def line_links(flat: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFram
     rows = save(rows.withColumn("key", F.col("key").bitwiseAND(F.lit(_MASK))))
     facts = rows.groupBy("key").agg(F.count("*").alias("n"), F.count("*").alias("members"), F.min(F.when(F.col("indexed"), F.col("l1"))).alias("hub")).filter("n > 1 and hub is not null")
     members = save(join_counted(rows, facts, "key", "n").filter("members is not null"))
+    if counted:
+        return _all_links(flat, members, edits)
     pairs = save(members.filter("l1 <> hub").select(F.least("l1", "hub").alias("a"), F.greatest("l1", "hub").alias("b")).distinct())
-    ends = members.select(F.col("l1").alias("h")).distinct()
-    texts = save(_texts(flat, spark.sparkContext.broadcast(bloom.gather(ends, "h"))))
+    texts = _texts_of(flat, members)
     links = save(_verified(pairs, texts, edits))
     found = connected(links, "a", "b")
     apart = members.join(found.withColumnRenamed("node", "l1"), "l1", "left").withColumn("component", F.coalesce("component", "l1"))
     split = apart.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
     rest = apart.join(split, "key", "left_semi").select("key", "l1", "size", "indexed", "component").join(_character_counts(texts), "l1")
     rest = save(rest)
-    tally = [f"n{i}" for i in range(len(COUNTED))]
-    other = rest.filter("indexed").select("key", F.col("l1").alias("o"), F.col("size").alias("o_size"), F.col("component").alias("o_component"), *[F.col(c).alias(f"o_{c}") for c in tally])
-    differ = sum((F.abs(F.col(c) - F.col(f"o_{c}")) for c in tally), F.lit(0))
-    others = F.abs(F.col("size") - sum(map(F.col, tally)) - F.col("o_size") + sum(F.col(f"o_{c}") for c in tally))
-    near = (F.abs(F.col("size") - F.col("o_size")) <= edits) & (differ + others <= 2 * edits)
+    other, near = _others(rest, "component", edits)
     more = rest.join(other, "key").filter((F.col("component") != F.col("o_component")) & near)
     more = more.select(F.least("l1", "o").alias("a"), F.greatest("l1", "o").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    links = save(links.unionByName(_verified(more, texts, edits)))
-    return links, connected(links, "a", "b")
+    return None, connected(save(links.unionByName(_verified(more, texts, edits))), "a", "b")
 
 
-def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS) -> DataFrame:
-    """(id, line, first_id, first_line, links) for every line that has an equal or near one."""
+def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, counted: bool = True) -> DataFrame:
+    """(id, line, first_id, first_line, links) for every line that has an equal or near one; links is null when not counted."""
     flat = _flat(docs, id_col, text_col)
     where = save(occurrences(flat))
-    links, found = line_links(flat, edits)
-    degree = links.select(F.explode(F.array("a", "b")).alias("l1")).groupBy("l1").agg(F.count("*").alias("links"))
+    degree, found = line_links(flat, edits, counted)
     lines = where.groupBy("l1").agg(F.min(F.struct("id", "line")).alias("at"), F.count("*").alias("n"))
-    lines = lines.join(found.withColumnRenamed("node", "l1"), "l1", "left").join(degree, "l1", "left").withColumn("component", F.coalesce("component", "l1"))
-    lines = save(lines.select("l1", "component", "at", "n", F.coalesce("links", F.lit(0)).alias("links")))
+    lines = lines.join(found.withColumnRenamed("node", "l1"), "l1", "left").withColumn("component", F.coalesce("component", "l1"))
+    lines = lines.join(degree, "l1", "left") if counted else lines.withColumn("links", F.lit(None).cast("long"))
+    lines = save(lines.select("l1", "component", "at", "n", F.coalesce("links", F.lit(0 if counted else None)).cast("long").alias("links")))
     classes = lines.groupBy("component").agg(F.min("at").alias("first"), F.sum("n").alias("in_class")).filter("in_class > 1")
     facts = lines.join(classes, "component").select("l1", "first", "links", "n")
     told = join_counted(where, facts, "l1", "n").filter("first is not null")
     return told.select("id", "line", F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"), "links")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, carry: tuple[str, ...] = ()) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, carry: tuple[str, ...] = (), counted: bool = True) -> DataFrame:
     """doc_id, n_lines, n_removed, n_links, removed (line numbers), classes, text for every row of docs.
 
     Lines are what newlines part. Lines that are equal and not empty, and lines of at least LEAST_NEAR
     characters within ``edits`` edits of each other directly or through others, are one class; the one with
     the smallest (id, line) stays and the others go. Empty lines always stay. classes has, for each line in a class of two or
-    more, its number and the class's first place; n_links counts the near links of those lines. Null
-    texts stay null, with no lines; documents stay, even when no line is left. Rows that repeat an id
+    more, its number and the class's first place; n_links counts, for those lines, the other distinct lines
+    within ``edits`` of each (null when not ``counted``, which compares fewer pairs). Null texts stay null, with no lines; documents stay, even when no line is left. Rows that repeat an id
     count their lines as one document's, so a line that stays for that id stays in each of them. Null ids
     sort first. The columns named in carry come along as carry_<name>; others are not read.
     """
-    told, flat = line_classes(docs, id_col, text_col, edits), _flat(docs, id_col, text_col, carry)
+    told, flat = line_classes(docs, id_col, text_col, edits, counted), _flat(docs, id_col, text_col, carry)
     per = told.groupBy("id").agg(F.collect_list(F.struct("line", "first_id", "first_line", "links")).alias("classes")).select(F.col("id").alias("_id"), "classes")
     joined = flat.join(per, F.col("id").eqNullSafe(F.col("_id")), "left").select("id", "text", "classes", *[f"carry_{c}" for c in carry])
     kind = flat.schema["id"].dataType.simpleString()
@@ -302,7 +332,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 gone = sorted({c["line"] for c in classes or () if (c["first_id"], c["first_line"]) != (own, c["line"])})
                 lost = set(gone)
                 kept = "\n".join(x for i, x in enumerate(lines) if i not in lost)
-                for column, x in zip(out, (len(lines), len(lost), sum(c["links"] for c in classes or ()), gone, None if text is None else kept)):
+                for column, x in zip(out, (len(lines), len(lost), sum(c["links"] for c in classes or ()) if counted else None, gone, None if text is None else kept)):
                     column.append(x)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.string()))), *batch.columns[2:]], ["doc_id", "n_lines", "n_removed", "n_links", "removed", "text", *batch.schema.names[2:]])
 
@@ -313,7 +343,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def without_repeated_lines(spark, docs: DataFrame) -> DataFrame:
     """docs with the lines that stay as their texts, and n_chars to match where there is such a column; all rows stay."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    out = line_dedup(docs, carry=others)
+    out = line_dedup(docs, carry=others, counted=False)
     back = {c: F.col(f"carry_{c}") for c in others} | {"doc_id": F.col("doc_id"), "text": F.col("text")}
     if "n_chars" in others:
         back["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)

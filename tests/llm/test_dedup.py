@@ -197,3 +197,19 @@ def test_lines_of_neighbours_that_end_and_begin_with_newlines():
         doc, number, begin, end, _ = line_dedup._cut(pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())}), 0)
         got = [(d, n, chars[b:e]) for d, n, b, e in zip(*(np.asarray(x).tolist() for x in (doc, number, begin, end)))]
         assert got == [(d, n, l) for d, t in enumerate(texts) for n, l in enumerate(line_dedup.lines_of(t))]
+
+
+@pytest.mark.parametrize("deal", [256, 3])
+def test_all_near_links_are_counted(spark, monkeypatch, deal):
+    """Variants of one line: each counts all lines within two edits of it, not only one hub; classes stay the same without counts."""
+    monkeypatch.setattr(line_dedup, "DEAL", deal)
+    r = random.Random(9)
+    base = "".join(r.choice("abcdefgh ") for _ in range(45))
+    lines = [base[:k] + c + base[k + 1 :] for k in (0, 20, 44) for c in "xyz"] + [base[:5] + "uv" + base[7:], base[1:-1], base[:30], base[:30] + "q", "short", base + "12345"]
+    docs = spark.createDataFrame([*enumerate(lines), (99, "\n".join([lines[0], lines[3], "short"]))], "doc_id long, text string")
+    links = {x: sum(x != y and min(len(x), len(y)) >= line_dedup.LEAST_NEAR and distance(x, y) <= 2 for y in lines) for x in lines}
+    out = line_dedup.line_dedup(docs).collect()
+    assert {x.doc_id: x.n_links for x in out} == {d.doc_id: sum(links[l] for l in d.text.split("\n")) for d in docs.collect()}
+    plain = line_dedup.line_dedup(docs, counted=False).collect()
+    assert {(x.doc_id, x.text, str(x.removed)) for x in plain} == {(x.doc_id, x.text, str(x.removed)) for x in out}
+    assert all(x.n_links is None for x in plain)
