@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +18,14 @@ from .words import U, chunks, grams, mix, words
 SHINGLE = 5
 SLOTS = 125
 BANDS = 25
-#: Two sets linked at 0.85 differ in 9.4 of 125 signature bits on average, deviation 3; more than this many rule a link out.
-MOST_BITS = 30
+#: Pairs that the pipeline drops one of overlap in so many % of their union; op6 has its own, higher share.
+PIPELINE_PERCENT = 80
+
+
+def most_bits(percent: int) -> int:
+    """Signature bits that a pair linked at percent differs in on average, and seven deviations: more rule a link out."""
+    mean = SLOTS * (100 - percent) / 200
+    return math.ceil(mean + 7 * math.sqrt(mean * (1 - mean / SLOTS)))
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +157,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = None
     found = None
     for step in range(4):
-        pairs = _with_hubs(of_bands, links, found, step) if step < 3 else _still_apart(flat, of_bands, found, percent)
+        pairs = _with_hubs(of_bands, links, found, step, percent) if step < 3 else _still_apart(flat, of_bands, found, percent)
         confirmed = save(_verified(spark, flat, pairs, percent))
         links = confirmed if links is None else links.unionByName(confirmed)
         found = connected(links, "a", "b")
@@ -177,14 +184,14 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return join_counted(each, facts, "key", "n").filter("size is not null")
 
 
-def _close(a: str, b: str) -> F.Column:
+def _close(a: str, b: str, percent: int) -> F.Column:
     """Neither the sets' sizes nor the signature bits rule a link out."""
     differ = F.bit_count(F.col(f"{a}b1").bitwiseXOR(F.col(f"{b}b1"))) + F.bit_count(F.col(f"{a}b2").bitwiseXOR(F.col(f"{b}b2")))
-    sizes = 100 * F.least(f"{a}n_shingles", f"{b}n_shingles") >= 80 * F.greatest(f"{a}n_shingles", f"{b}n_shingles")
-    return sizes & (differ <= MOST_BITS)
+    sizes = 100 * F.least(f"{a}n_shingles", f"{b}n_shingles") >= percent * F.greatest(f"{a}n_shingles", f"{b}n_shingles")
+    return sizes & (differ <= most_bits(percent))
 
 
-def _with_hubs(members: DataFrame, links: DataFrame | None, found: DataFrame | None, step: int) -> DataFrame:
+def _with_hubs(members: DataFrame, links: DataFrame | None, found: DataFrame | None, step: int, percent: int) -> DataFrame:
     """Pairs (a, b): members of a bucket with a hub of it. Two hubs are drawn; the third is the member with most links."""
     if step < 2:
         hub = f"hub{step}"
@@ -195,7 +202,7 @@ def _with_hubs(members: DataFrame, links: DataFrame | None, found: DataFrame | N
         best = own.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", "rep", "b1", "b2", "n_shingles")).alias("hub"), F.count("*").alias("n"))
         pairs = join_counted(own, best, "key", "n").filter("hub is not null")
         pairs = pairs.select("rep", "b1", "b2", "n_shingles", *[F.col(f"hub.{c}").alias(f"h_{c}") for c in ("rep", "b1", "b2", "n_shingles")])
-    pairs = pairs.filter((F.col("rep") != F.col("h_rep")) & _close("", "h_"))
+    pairs = pairs.filter((F.col("rep") != F.col("h_rep")) & _close("", "h_", percent))
     pairs = pairs.select(F.least("rep", "h_rep").alias("a"), F.greatest("rep", "h_rep").alias("b")).distinct()
     return pairs if found is None else _apart(pairs, found)
 
@@ -222,7 +229,7 @@ def _still_apart(flat: DataFrame, members: DataFrame, found: DataFrame, percent:
     other = rest.select("key", *[F.col(c).alias(f"o_{c}") for c in ("rep", "component", "b1", "b2", "n_shingles", "common")])
     shared = F.least("common", "o_common")
     enough = 100 * shared >= percent * (F.col("n_shingles") + F.col("o_n_shingles") - shared)
-    pairs = rest.join(other, "key").filter((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")) & enough & _close("", "o_"))
+    pairs = rest.join(other, "key").filter((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")) & enough & _close("", "o_", percent))
     return pairs.select(F.col("rep").alias("a"), F.col("o_rep").alias("b")).distinct()
 
 
@@ -256,7 +263,7 @@ def _hashed_ids(ids: DataFrame) -> DataFrame:
 
 def one_of_each(spark, docs: DataFrame) -> DataFrame:
     """docs with one document, that of the smallest id, of each group of near duplicates; all columns stay."""
-    gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    gone = near_duplicates(docs, percent=PIPELINE_PERCENT).filter("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -213,3 +213,19 @@ def test_all_near_links_are_counted(spark, monkeypatch, deal):
     plain = line_dedup.line_dedup(docs, counted=False).collect()
     assert {(x.doc_id, x.text, str(x.removed)) for x in plain} == {(x.doc_id, x.text, str(x.removed)) for x in out}
     assert all(x.n_links is None for x in plain)
+
+
+def test_near_duplicate_stage_links_from_80_percent(spark):
+    """Up to three of 100 words are changed: some pairs lie between 0.80 and 0.85, and one of each stays."""
+    r = random.Random(10)
+    texts = []
+    for i in range(40):
+        base = [f"b{i}_{k}" for k in range(100)]
+        texts.append((2 * i, " ".join(base)))
+        for k in r.sample(range(5, 95), i % 4):
+            base[k] = "new"
+        texts.append((2 * i + 1, " ".join(base)))
+    of = {percent: {i for i, (_, c) in brute_components(texts, percent).items() if i == c} for percent in (80, 85)}
+    assert of[80] < of[85]
+    out = minhash.one_of_each(spark, spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {x.doc_id for x in out.collect()} == of[80]
