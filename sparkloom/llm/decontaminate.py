@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +25,11 @@ SHARD_WORDS = 400_000
 THRESHOLD = 0.6
 #: Shares of the question's and of the answer's word triples that must stand in the passage.
 QUESTION, ANSWER = 0.6, 0.6
+#: The answer is a third of the item's words, and so many at least: one changed word spoils three of eight triples.
+LEAST_ANSWER = 10
 LEAST_PASSAGE = 64
+_WORD = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")  # as words() takes them when bare
+_STOP = re.compile(r"[.?!:](?=[ \n])")
 
 
 @dataclass
@@ -38,14 +44,19 @@ class Index:
 
 
 def question_and_answer(text: str) -> tuple[str, str]:
-    """The last sentence is the answer; of a single sentence, its last third of words."""
+    """Trailing sentences that hold enough words are the answer; where they leave too few, the last words are."""
     body = text.rstrip()
-    cut = max(body.rfind(c + s, 0, max(0, len(body) - 1)) for c in ".?!:" for s in " \n")
-    if cut > 0:
-        return body[: cut + 1], body[cut + 1 :]
-    parts = body.split()
-    k = len(parts) - max(1, len(parts) // 3)
-    return " ".join(parts[:k]), " ".join(parts[k:])
+    starts = [m.start() for m in _WORD.finditer(body)]
+    n = len(starts)
+    least = min(max(LEAST_ANSWER, -(-n // 3)), n - n // 2)
+    for cut in reversed([m.end() for m in _STOP.finditer(body)]):
+        after = n - bisect_left(starts, cut)
+        if after >= least:
+            if n - after >= min(least, n // 2):
+                return body[:cut], body[cut:]
+            break
+    cut = starts[n - least] if n else len(body)
+    return body[:cut], body[cut:]
 
 
 def _triples(text: str) -> tuple[np.ndarray, int]:

@@ -86,6 +86,19 @@ def test_leaked_items_are_found_and_others_left_alone(spark, odd_docs, no_docs):
     assert decontaminate.without_test_items(spark, docs, items).count() == docs.count() - 2
 
 
+def test_leaks_of_items_with_one_word_endings(spark):
+    """An item's last word may be changed or cut off like any other; a one-word ending proves nothing by itself."""
+    body = " ".join(prose(31, 40).split()[:30])
+    items = spark.createDataFrame([(1, body + ". Er."), (2, prose(20, 41) + ". " + prose(9, 42) + ". Ñ.")], "item_id long, text string")
+    texts = [body + ". Er.", body + ". Sie.", body, body.split(" ", 21)[-1] + " Er. " + prose(30, 43), prose(60, 44) + " Er."]
+    docs = spark.createDataFrame([(i, prose(40, 50 + i) + " " + t + " " + prose(20, 60 + i)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contamination(docs, items).collect()} == {(0, 1), (1, 1), (2, 1)}
+    for text in ("", "Er.", "Er. Sie.", "a b c", body + ". Er.", "a. " + body, prose(9) + ". " + prose(12) + "? " + prose(5)):
+        question, answer = decontaminate.question_and_answer(text)
+        n = len(text.split())
+        assert question + answer == text and len(answer.split()) >= min(10, n - n // 2)
+
+
 def test_retrieval_equals_scoring_all_items(spark):
     """Blocks and bounds skip no passage and item at or above the threshold."""
     import pyarrow as pa
