@@ -130,6 +130,16 @@ def test_junk_is_rejected_and_prose_is_kept(spark, odd_docs, no_docs):
     assert quality.quality(no_docs, docs.select("doc_id", "quality")).count() == 0
 
 
+def test_one_outlier_does_not_set_a_bound(spark):
+    """A trusted document at 2.3 nats a byte among 160 near 1.4 lets no junk at 1.9 pass, in its own language or a rare one."""
+    rows = [(i, "de", 2000, 2000 * (1.4 + i / 4000)) for i in range(160)] + [(200, "de", 2000, 4600.0), (300, "de", 2000, 3800.0), (301, "de", 2000, 2900.0)]
+    rows += [(400 + i, "sv", 2000, 2800.0 + i) for i in range(60)] + [(500, "sv", 2000, 4600.0), (600, "sv", 2000, 3800.0)]
+    scored = spark.createDataFrame(rows, "doc_id long, lang string, n_bytes long, nats double")
+    kept = {r.doc_id: r.kept for r in quality._judged(scored, scored.filter("doc_id not in (300, 301, 600)").select("doc_id")).collect()}
+    assert not kept[300] and not kept[600] and kept[301]
+    assert all(kept[i] for i in [*range(160), *range(400, 460)])
+
+
 def test_kneser_ney_probabilities_add_up(spark):
     texts = spark.createDataFrame([(prose(200, i),) for i in range(5)], "text string")
     grams, contexts, order = quality.kneser_ney(texts, 3)
