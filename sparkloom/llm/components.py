@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .scratch import save
 
 
-def connected(links: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
+def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     """node, component for every end of a link; component is the smallest node that can be reached.
 
     Each round hooks every node's larger neighbours to its smallest one, then every node's smaller
@@ -18,15 +18,17 @@ def connected(links: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     many links can be split.
     """
     edges = save(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
-    for _ in range(rounds):
-        large = save(_star(edges, larger=True))
-        small = save(_star(large, larger=False))
-        if small.exceptAll(edges).isEmpty():
-            break
-        edges = small
-    ends = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+    while not _stars(edges):
+        edges = save(_star(save(_star(edges, larger=True)), larger=False))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return save(ends.unionByName(roots.join(ends.select("node"), "node", "left_anti")))
+    return save(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Every node is the end of one link, or the smaller node of all of its own: each component is a star around its smallest."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("low")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("low")))
+    odd = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("low").alias("low")).filter("up > 1 or up = 1 and low = 1")
+    return odd.isEmpty()
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import bloom
 from .components import connected
@@ -20,6 +21,10 @@ SLOTS = 125
 BANDS = 25
 #: Pairs that the pipeline drops one of overlap in so many % of their union; op6 has its own, higher share.
 PIPELINE_PERCENT = 80
+#: A further hub round comes first when the join of those still apart would make more pairs for each of its rows.
+ROUND = 16
+_POSITIVE = (1 << 63) - 1
+_ROW = "_row_of_near_duplicates"
 
 
 def most_bits(percent: int) -> int:
@@ -142,8 +147,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``percent`` % of their union are linked, and component_id is the smallest id that can be reached. Rows
     that repeat an id count as one document for linking; rows with a null id are linked with nothing and
     kept. Other columns of docs are not read.
+
+    Members of a band bucket meet the bucket's hub. Those still apart are narrowed down by exact bounds, and
+    then joined on what sets them off from the hub. Where that join would be large, as a cluster of its own
+    lies around another document, a further hub round comes first; rounds end when they no longer halve it.
+    Nothing is dropped at any size.
     """
-    spark = docs.sparkSession
     flat = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     drawn = save(sketches(flat))
     live = drawn.filter("n_shingles > 0 and id is not null")
@@ -152,20 +161,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = live.groupBy("n_shingles", "p1", "p2").agg(
         F.min("id").alias("rep"), F.min_by(F.struct("bands", "b1", "b2"), "id").alias("s"), F.count("*").alias("n")
     )
-    classes = save(classes.withColumn("key", F.xxhash64("n_shingles", "p1", "p2").bitwiseAND(F.lit((1 << 63) - 1))))
-    of_bands = save(_buckets(classes))
-    links = None
-    found = None
-    for step in range(4):
-        pairs = _with_hubs(of_bands, links, found, step, percent) if step < 3 else _still_apart(flat, of_bands, found, percent)
-        confirmed = save(_verified(spark, flat, pairs, percent))
+    classes = save(classes.withColumn("key", F.xxhash64("n_shingles", "p1", "p2").bitwiseAND(F.lit(_POSITIVE))))
+    rest = save(_buckets(classes))
+    sets = save(_sets_of_members(flat, rest))
+    links, before = None, None
+    while True:
+        hubs = save(_with_hubs(rest))
+        confirmed = save(_verified(sets, _hub_pairs(hubs, percent), percent))
         links = confirmed if links is None else links.unionByName(confirmed)
-        found = connected(links, "a", "b")
+        rest = save(_still_apart(hubs, sets, _labels(links), percent))
+        index = save(_index(rest, sets, percent))
+        met, rows = _meetings(index)
+        if met <= ROUND * rows or before is not None and 2 * met > before:
+            break
+        before, rest = met, rest.drop("hub", "common")
+    links = links.unionByName(save(_verified(sets, _matches(index, percent), percent)))
+    found = connected(links, "a", "b")
     component = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     facts = component.groupBy("key").agg(
         F.collect_list(F.struct("n_shingles", "p1", "p2", F.coalesce("component", "rep").alias("c"))).alias("all"), F.sum("n").alias("n")
     )
-    rows = drawn.select("id", "n_shingles", "p1", "p2", F.xxhash64("n_shingles", "p1", "p2").bitwiseAND(F.lit((1 << 63) - 1)).alias("key"))
+    rows = drawn.select("id", "n_shingles", "p1", "p2", F.xxhash64("n_shingles", "p1", "p2").bitwiseAND(F.lit(_POSITIVE)).alias("key"))
     own = F.filter("all", lambda x: (x["p1"] == F.col("p1")) & (x["p2"] == F.col("p2")) & (x["n_shingles"] == F.col("n_shingles")))[0]["c"]
     joined = join_counted(rows, facts, "key", "n").select(
         F.col("id").alias("doc_id"), "n_shingles", F.when(F.col("id").isNotNull() & (F.col("n_shingles") > 0), own).otherwise(F.col("id")).alias("component_id")
@@ -174,14 +190,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """bucket, rep, size, b1, b2, n_shingles: members of band buckets that hold more than one class."""
-    each = classes.select(F.explode("s.bands").alias("bucket"), "rep", "s.b1", "s.b2", "n_shingles")
-    each = each.withColumn("key", F.col("bucket").bitwiseAND(F.lit((1 << 63) - 1))).drop("bucket")
-    facts = each.groupBy("key").agg(
-        F.count("*").alias("n"), F.count("*").alias("size"),
-        *[F.min_by(F.struct("rep", "b1", "b2", "n_shingles"), F.xxhash64(F.lit(seed), "rep")).alias(f"hub{seed}") for seed in (0, 1)],
-    ).filter("n > 1")
-    return join_counted(each, facts, "key", "n").filter("size is not null")
+    """key, rep, b1, b2, n_shingles, component: members of band buckets that hold more than one class; each its own component."""
+    each = classes.select(F.explode("s.bands").alias("key"), "rep", "s.b1", "s.b2", "n_shingles")
+    each = each.withColumn("key", F.col("key").bitwiseAND(F.lit(_POSITIVE)))
+    facts = each.groupBy("key").agg(F.count("*").alias("n"), F.lit(True).alias("shared")).filter("n > 1")
+    return join_counted(each, facts, "key", "n").filter("shared").select("key", "rep", "b1", "b2", "n_shingles", F.col("rep").alias("component"))
+
+
+def _with_hubs(members: DataFrame) -> DataFrame:
+    """members with their bucket's hub: the member whose buckets are the largest, as edits have changed it least."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.count("*").alias("size"))
+    sized = join_counted(members, sizes, "key", "n")
+    by_rep = Window.partitionBy("rep")  # a document is in as many buckets as there are bands, at most
+    ranked = save(sized.withColumn("rank", F.sum("size").over(by_rep)))
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("rank", "rep", "b1", "b2", "n_shingles", "component")).alias("hub"), F.count("*").alias("n"))
+    return join_counted(ranked.drop("size", "rank"), hubs, "key", "n")
 
 
 def _close(a: str, b: str, percent: int) -> F.Column:
@@ -191,66 +214,114 @@ def _close(a: str, b: str, percent: int) -> F.Column:
     return sizes & (differ <= most_bits(percent))
 
 
-def _with_hubs(members: DataFrame, links: DataFrame | None, found: DataFrame | None, step: int, percent: int) -> DataFrame:
-    """Pairs (a, b): members of a bucket with a hub of it. Two hubs are drawn; the third is the member with most links."""
-    if step < 2:
-        hub = f"hub{step}"
-        pairs = members.select("rep", "b1", "b2", "n_shingles", *[F.col(f"{hub}.{c}").alias(f"h_{c}") for c in ("rep", "b1", "b2", "n_shingles")])
-    else:
-        degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("degree"))
-        own = members.select("key", "rep", "b1", "b2", "n_shingles")
-        best = own.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", "rep", "b1", "b2", "n_shingles")).alias("hub"), F.count("*").alias("n"))
-        pairs = join_counted(own, best, "key", "n").filter("hub is not null")
-        pairs = pairs.select("rep", "b1", "b2", "n_shingles", *[F.col(f"hub.{c}").alias(f"h_{c}") for c in ("rep", "b1", "b2", "n_shingles")])
-    pairs = pairs.filter((F.col("rep") != F.col("h_rep")) & _close("", "h_", percent))
-    pairs = pairs.select(F.least("rep", "h_rep").alias("a"), F.greatest("rep", "h_rep").alias("b")).distinct()
-    return pairs if found is None else _apart(pairs, found)
-
-
-def _still_apart(flat: DataFrame, members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket's members in different components that the shingles of their own do not rule out.
-
-    A shingle that only one of these documents has is in no intersection. With c the smaller number of
-    other shingles, a pair shares at most c, and its union has at least n + n' - c: an exact bound, which
-    leaves out members of large groups that are linked with none of them.
+def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b): a member of a bucket and its hub b, where they are of different components; rank tells hubs apart."""
+    pairs = members.filter((F.col("component") != F.col("hub.component")) & _close("", "hub.", percent))
+    return pairs.groupBy(F.col("rep").alias("a"), F.col("hub.rep").alias("b")).agg(F.max("hub.rank").alias("rank"))
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """node, component: where four steps along each node's link to its highest hub lead. One label means one component, not the reverse."""
+    to = save(links.groupBy(F.col("a").alias("node")).agg(F.max_by("b", F.struct("rank", "b")).alias("component")))
+    for _ in range(2):
+        far = to.select(F.col("node").alias("component"), F.col("component").alias("next"))
+        to = save(to.join(far, "component", "left").select("node", F.coalesce("next", "component").alias("component")))
+    return to
+
+
+def _still_apart(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Members but hubs, of buckets that still hold several components, unless their shingles rule every link out.
+
+    A shingle that only one of these documents has is in no intersection. With common the number of a
+    document's other shingles, an exact bound leaves out members of groups that they are linked with nowhere.
     """
-    lone = members.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    # a bucket whose members are all in one component has nothing left to compare
-    split = lone.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    rest = save(lone.join(split, "key", "left_semi").select("key", "rep", "component", "b1", "b2", "n_shingles"))
+    members = members.filter("rep <> hub.rep").drop("component")
+    members = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    rest = save(_of_several(members))
     ids = rest.select(F.col("rep").alias("id")).distinct()
-    table = flat.sparkSession.sparkContext.broadcast(bloom.gather(_hashed_ids(ids), "h"))
-    sets = _sets_of(flat.filter("id is not null"), table).join(ids, "id", "left_semi")
-    own = sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other"))
-    own = own.filter("id = other").groupBy("id").agg(F.count("*").alias("own")).withColumnRenamed("id", "rep")
+    shown = sets.join(ids, "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
+    own = shown.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other")).filter("id = other")
+    own = own.groupBy("id").agg(F.count("*").alias("own")).withColumnRenamed("id", "rep")
     rest = rest.join(own, "rep", "left").withColumn("common", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
-    # nothing a member shares with others could fill enough of its own set
-    rest = save(rest.filter(100 * F.col("common") >= percent * F.col("n_shingles")).select("key", "rep", "component", "b1", "b2", "n_shingles", "common"))
-    other = rest.select("key", *[F.col(c).alias(f"o_{c}") for c in ("rep", "component", "b1", "b2", "n_shingles", "common")])
-    shared = F.least("common", "o_common")
-    enough = 100 * shared >= percent * (F.col("n_shingles") + F.col("o_n_shingles") - shared)
-    pairs = rest.join(other, "key").filter((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")) & enough & _close("", "o_", percent))
-    return pairs.select(F.col("rep").alias("a"), F.col("o_rep").alias("b")).distinct()
-
-
-def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    of = found.select(F.col("node"), F.col("component"))
-    with_a = pairs.join(of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
-    both = with_a.join(of.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-    return both.filter("ca is null or cb is null or ca <> cb").select("a", "b")
-
-
-def _verified(spark, flat: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets overlap enough."""
-    pairs = save(pairs)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    table = spark.sparkContext.broadcast(bloom.gather(_hashed_ids(ends), "h"))
-    sets = save(_sets_of(flat.filter("id is not null"), table).dropDuplicates(["id"]))
+    return _of_several(rest.filter(100 * F.col("common") >= percent * F.col("n_shingles")).drop("own"))
+
+
+def _of_several(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component."""
+    split = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
+    split = split.filter("lo < hi").select("key", "n", F.lit(True).alias("split"))
+    return join_counted(members, split, "key", "n").filter("split").drop("split")
+
+
+def _index(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """hub, el, rep, component, n, d, at: for members of a hub's buckets, the elements that a link would have to share.
+
+    Let D be what a set and the hub's do not share, and d its size. Two sets x and y differ in as many
+    elements as their D do, so they are linked if, and only if, D of x and D of y share
+    (d + d' - (100 - percent) / (100 + percent) * (n + n')) / 2 elements or more. With the elements of every D
+    in one order, rarest of the hub first, and at least ``least`` of them shared, one is among the first
+    d - least + 1 of either: only these are kept, and of these none that occurs once. ``least`` is taken over
+    all members of other components. Where a pair need share nothing, both of its sets are linked with the
+    hub, and so with each other: if one were not, its d would be over share * (n + hub's), the other's d is
+    share * (n' - hub's) or more, and the sum above zero.
+    """
+    share = (100 - percent) / (100 + percent)
+    of = members.select("rep", "component", F.col("hub.rep").alias("hub")).distinct()
+    own = of.join(sets.select(F.col("id").alias("rep"), F.col("shingles").alias("s")), "rep")
+    both = own.join(sets.select(F.col("id").alias("hub"), F.col("shingles").alias("t")), "hub")
+    apart = both.select("hub", "rep", "component", F.size("s").alias("n"), F.concat(F.array_except("s", "t"), F.array_except("t", "s")).alias("diff"))
+    apart = save(apart.withColumn("slack", F.size("diff") - share * F.col("n")))
+    # the smallest slack of a hub's components, and the second smallest for those of the first itself
+    per = apart.groupBy("hub", "component").agg(F.min("slack").alias("slack"))
+    order = F.row_number().over(Window.partitionBy("hub").orderBy("slack", "component"))
+    two = per.withColumn("nth", order).filter("nth <= 2").groupBy("hub").agg(
+        F.min(F.struct("nth", "component", "slack")).alias("low"), F.max(F.struct("nth", "component", "slack")).alias("next")
+    )
+    each = apart.select("hub", "rep", F.explode("diff").alias("el"))
+    often = each.groupBy("hub", "el").agg(F.count("*").alias("times")).filter("times > 1")
+    placed = each.join(often, ["hub", "el"], "left").groupBy("hub", "rep").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("times", F.lit(1)).alias("times"), "el"))).alias("els")
+    )
+    other = F.when(F.col("component") == F.col("low.component"), F.col("next.slack")).otherwise(F.col("low.slack"))
+    least = F.greatest(F.lit(1), F.ceil((F.col("slack") + other) / 2 - 1e-6))
+    facts = apart.join(two.filter("low.component <> next.component"), "hub").select("hub", "rep", "component", "n", F.size("diff").alias("d"), (F.size("diff") - least + 1).alias("first"))
+    full = placed.join(facts, ["hub", "rep"])
+    rows = full.select("hub", "rep", "component", "n", "d", "first", F.posexplode("els").alias("at", "e"))
+    return rows.filter("at < first and e.times > 1").select("hub", "e.el", "rep", "component", "n", "d", "at")
+
+
+def _meetings(index: DataFrame) -> tuple[int, int]:
+    """Pairs of rows with one key in different components, and rows."""
+    per = index.groupBy("hub", "el", "component").agg(F.count("*").cast("double").alias("n"))
+    per = per.groupBy("hub", "el").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
+    pairs, rows = per.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.sum("n")).first()
+    return int(pairs or 0), int(rows or 0)
+
+
+def _matches(index: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share an element early enough to be able to share as many as a link needs."""
+    other = index.select("hub", "el", *[F.col(c).alias(f"o_{c}") for c in ("rep", "component", "n", "d", "at")])
+    needs = (F.col("d") + F.col("o_d") - (100 - percent) / (100 + percent) * (F.col("n") + F.col("o_n"))) / 2 - 1e-6
+    able = F.least(F.col("d") - F.col("at"), F.col("o_d") - F.col("o_at")) >= needs
+    sizes = 100 * F.least("n", "o_n") >= percent * F.greatest("n", "o_n")
+    pairs = index.join(other, ["hub", "el"]).filter((F.col("rep") < F.col("o_rep")) & (F.col("component") != F.col("o_component")) & able & sizes)
+    return pairs.groupBy(F.col("rep").alias("a"), F.col("o_rep").alias("b")).agg(F.lit(0).cast("long").alias("rank"))
+
+
+def _sets_of_members(flat: DataFrame, members: DataFrame) -> DataFrame:
+    """id, shingles: whole sets of all members; of rows that repeat an id, one is taken."""
+    ids = members.select(F.col("rep").alias("id")).distinct()
+    table = flat.sparkSession.sparkContext.broadcast(bloom.gather(_hashed_ids(ids), "h"))
+    return _sets_of(flat.filter("id is not null"), table).join(ids, "id", "left_semi").groupBy("id").agg(F.min("shingles").alias("shingles"))
+
+
+def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b), with their rank, whose whole sets overlap enough. Spark can split a b of very many pairs, as each row meets one set."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b").withColumn("shared", F.size(F.array_intersect("sa", "sb")))
     enough = 100 * F.col("shared") >= percent * (F.size("sa") + F.size("sb") - F.col("shared"))
-    return both.filter(enough).select("a", "b")
+    return both.filter(enough).select("a", "b", "rank")
 
 
 def _hashed_ids(ids: DataFrame) -> DataFrame:
@@ -262,9 +333,18 @@ def _hashed_ids(ids: DataFrame) -> DataFrame:
 
 
 def one_of_each(spark, docs: DataFrame) -> DataFrame:
-    """docs with one document, that of the smallest id, of each group of near duplicates; all columns stay."""
-    gone = near_duplicates(docs, percent=PIPELINE_PERCENT).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """docs with one row of each group of near duplicates, that of the smallest doc_id (a null one last); all columns stay.
+
+    Every row counts for itself: of rows that repeat an id and a text one stays, and rows with a null id are
+    compared like others. Rows without words (or text) all stay, as they are linked with nothing. An empty
+    table gives an empty one.
+    """
+    numbered = save(docs.withColumn(_ROW, F.monotonically_increasing_id()))
+    of = near_duplicates(numbered, _ROW, percent=PIPELINE_PERCENT).select(F.col("doc_id").alias(_ROW), "component_id")
+    at = numbered.select(_ROW, "doc_id").join(of, _ROW)
+    first = F.min_by(_ROW, F.struct(F.col("doc_id").isNull(), "doc_id", _ROW))
+    stays = at.groupBy("component_id").agg(first.alias(_ROW))
+    return numbered.join(stays.select(_ROW), _ROW, "left_semi").select(docs.columns)
 
 
 def op6_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

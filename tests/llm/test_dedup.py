@@ -79,6 +79,35 @@ def test_near_duplicates_of_edited_copies(spark):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in out} == brute_components(texts)
 
 
+@pytest.mark.parametrize("meetings", [16, 0])
+def test_near_duplicates_in_one_large_group(spark, monkeypatch, meetings):
+    """1,000 copies of a text, two clusters of it, words for edits out of a few: a third and more is linked with nothing."""
+    monkeypatch.setattr(minhash, "ROUND", meetings)
+    r = random.Random(12)
+    base = [f"w{k}" for k in range(150)]
+    second = [f"v{k}" if k % 11 == 0 and k < 60 else w for k, w in enumerate(base)]
+    texts = []
+    for i in range(1000):
+        w = list(base if i % 3 else second)
+        for _ in range(r.choice((0, 1, 1, 2, 3, 4, 5))):
+            w[r.randrange(150)] = f"x{r.randrange(4)}"
+        texts.append((i, " ".join(w)))
+    want = brute_components(texts)
+    sizes = Counter(c for _, c in want.values())
+    assert sum(n for n in sizes.values() if n == 1) > 333 and max(sizes.values()) > 200
+    out = minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string").repartition(4)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in out} == want
+
+
+def test_near_duplicate_stage_on_odd_rows(spark, odd_docs, no_docs):
+    """Rows count for themselves: one of each group stays, with or without an id; rows without words all stay."""
+    docs = odd_docs.unionByName(spark.createDataFrame([(None, "Two words", "en", 1, "x", -3), (None, "NO id here", "en", 1, "x", -3)], odd_docs.schema))
+    out = minhash.one_of_each(spark, docs)
+    assert out.columns == docs.columns
+    assert sorted((str(x.doc_id), (x.text or "")[:9]) for x in out.collect()) == sorted([("1", docs.filter("doc_id = 1").first().text[:9]), ("4", ""), ("5", ""), ("6", " \n\t "), ("7", "Two words"), ("8", docs.filter("doc_id = 8").first().text[:9]), ("None", out.filter("doc_id is null").first().text[:9]), ("10", "é" * 9)])
+    assert minhash.one_of_each(spark, no_docs).count() == 0
+
+
 def test_signatures_estimate_similarity():
     import numpy as np
 
