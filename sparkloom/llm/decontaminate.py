@@ -199,8 +199,15 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 
 def without_test_items(spark, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """docs without the rows that hold a test item; all columns stay."""
-    return docs.join(contamination(docs, items).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """docs without the rows that hold a test item; all columns stay.
+
+    Rows are judged one by one, also those that repeat an id or have none: what goes is known by id and text
+    together. Null and empty texts stay, and so do all rows when there is no item with words. An empty table
+    gives an empty one.
+    """
+    told = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc_id"), "text")
+    hit = contamination(told, items).select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.h").alias("_h")).distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_id"]) & (F.xxhash64(docs["text"]) == hit["_h"]), "left_anti").select(docs.columns)
 
 
 def op3_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

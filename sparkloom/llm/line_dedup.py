@@ -21,8 +21,8 @@ EDITS = 2
 LEAST = 1
 #: Shorter lines are of a class only when they are equal: two edits would change too much of them.
 LEAST_NEAR = 24
-#: Characters that are counted to tell lines apart before they are compared; all others count as one more.
-COUNTED = "etaoinsrhldcumg "
+#: Characters that are counted to tell lines apart before they are compared; all others count as the 16th.
+COUNTED = "etaoinsrhldcum "
 #: Members of a key's group that meet its indexed lines in one task at most, about, when links are counted.
 DEAL = 256
 _MULT = 0xC2B2AE3D27D4EB4F | 1
@@ -215,8 +215,21 @@ def _texts(flat: DataFrame, table) -> DataFrame:
 
 
 def _character_counts(texts: DataFrame) -> DataFrame:
-    """l1 and, for each counted character, how often it stands in the line."""
-    return texts.select("l1", *[(F.char_length("line") - F.char_length(F.replace("line", F.lit(c), F.lit("")))).alias(f"n{i}") for i, c in enumerate(COUNTED)])
+    """l1, c0, c1, c2: how often each counted character, and any other, stands in the line; a byte each, modulo 256."""
+    each = [F.char_length("line") - F.char_length(F.replace("line", F.lit(c), F.lit(""))) for c in COUNTED]
+    each.append(F.char_length("line") - sum(each[1:], each[0]))
+    packed = [sum((F.shiftleft(n.cast("long").bitwiseAND(F.lit(255)), 8 * i) for i, n in enumerate(half)), F.lit(0).cast("long")) for half in (each[:7], each[7:14], each[14:])]
+    return texts.select("l1", *[c.alias(f"c{i}") for i, c in enumerate(packed)])
+
+
+def _count_differences(a: str, b: str) -> F.Column:
+    """At most the sum of the differences of all counts, as each is taken modulo 256: so it rules out no pair that the counts allow."""
+    total = F.lit(0)
+    for i in range(3):
+        for k in range(7 if i < 2 else 2):
+            d = (F.shiftright(f"{a}c{i}", 8 * k) - F.shiftright(f"{b}c{i}", 8 * k)).bitwiseAND(F.lit(255))
+            total += F.least(d, 256 - d)
+    return total
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
@@ -237,11 +250,8 @@ def _texts_of(flat: DataFrame, members: DataFrame) -> DataFrame:
 
 def _others(rows: DataFrame, more: str, edits: int) -> tuple[DataFrame, F.Column]:
     """The indexed rows, renamed to meet the others; and whether lengths and numbers of characters allow a link."""
-    tally = [f"n{i}" for i in range(len(COUNTED))]
-    other = rows.filter("indexed").select("key", F.col("l1").alias("o"), *[F.col(c).alias(f"o_{c}") for c in ("size", more, *tally)])
-    differ = sum((F.abs(F.col(c) - F.col(f"o_{c}")) for c in tally), F.lit(0))
-    others = F.abs(F.col("size") - sum(map(F.col, tally)) - F.col("o_size") + sum(F.col(f"o_{c}") for c in tally))
-    return other, (F.abs(F.col("size") - F.col("o_size")) <= edits) & (differ + others <= 2 * edits)
+    other = rows.filter("indexed").select("key", F.col("l1").alias("o"), *[F.col(c).alias(f"o_{c}") for c in ("size", more, "c0", "c1", "c2")])
+    return other, (F.abs(F.col("size") - F.col("o_size")) <= edits) & (_count_differences("", "o_") <= 2 * edits)
 
 
 def _all_links(flat: DataFrame, members: DataFrame, edits: int) -> tuple[DataFrame, DataFrame]:

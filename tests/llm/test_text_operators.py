@@ -130,11 +130,29 @@ def test_junk_is_rejected_and_prose_is_kept(spark, odd_docs, no_docs):
     assert quality.quality(no_docs, docs.select("doc_id", "quality")).count() == 0
 
 
+def test_stages_judge_rows_without_an_id_and_with_repeated_ids(spark, odd_docs, no_docs):
+    """Of rows that share an id, or have none, only those with a text that is junk or holds an item go; columns stay."""
+    r = random.Random(3)
+    junk = "".join(r.choice("@#$%&XQZ ") for _ in range(400))
+    item = " ".join(f"of{k}item" for k in range(40))
+    rows = [(i, prose(80, i + 1), "en") for i in range(300)] + [(1000, junk, "en"), (1000, prose(80, 401), "en"), (None, junk, "en"), (None, prose(80, 400), "en"), (None, None, None), (2, item, "en"), (None, item, "en"), (3, "", "en")]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, lang string, _id int, judged int")
+    labels = spark.range(300).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    kept = quality.keep_good(spark, docs, labels)
+    assert kept.columns == docs.columns
+    texts = lambda df: sorted((str(r.doc_id), r.text or "") for r in df.collect())
+    assert [x for x in texts(kept) if x[1] != item] == sorted((str(i), t or "") for i, t, _ in rows if t not in (junk, item))
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = decontaminate.without_test_items(spark, docs, items)
+    assert clean.columns == docs.columns and texts(clean) == sorted((str(i), t or "") for i, t, _ in rows if t != item)
+    assert quality.keep_good(spark, no_docs, labels).count() == decontaminate.without_test_items(spark, no_docs, items).count() == 0
+
+
 def test_one_outlier_does_not_set_a_bound(spark):
     """A trusted document at 2.3 nats a byte among 160 near 1.4 lets no junk at 1.9 pass, in its own language or a rare one."""
     rows = [(i, "de", 2000, 2000 * (1.4 + i / 4000)) for i in range(160)] + [(200, "de", 2000, 4600.0), (300, "de", 2000, 3800.0), (301, "de", 2000, 2900.0)]
     rows += [(400 + i, "sv", 2000, 2800.0 + i) for i in range(60)] + [(500, "sv", 2000, 4600.0), (600, "sv", 2000, 3800.0)]
-    scored = spark.createDataFrame(rows, "doc_id long, lang string, n_bytes long, nats double")
+    scored = spark.createDataFrame([(*row, 0) for row in rows], "doc_id long, lang string, n_bytes long, nats double, judged long")
     kept = {r.doc_id: r.kept for r in quality._judged(scored, scored.filter("doc_id not in (300, 301, 600)").select("doc_id")).collect()}
     assert not kept[300] and not kept[600] and kept[301]
     assert all(kept[i] for i in [*range(160), *range(400, 460)])
