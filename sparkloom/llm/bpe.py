@@ -11,6 +11,8 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .scratch import held
+
 #: Fixed by the vocabulary's format: how a byte-level vocabulary cuts texts before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces whose encoding a worker keeps. Beyond it the older half is forgotten and made anew when met.
@@ -144,15 +146,8 @@ class PairIndexBpe:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_loaded: dict[int, PairIndexBpe] = {}
-
-
 def _model(shared) -> PairIndexBpe:
-    key = hash(shared.value)
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = PairIndexBpe(shared.value)
-    return _loaded[key]
+    return held(("bpe", hash(shared.value)), lambda: PairIndexBpe(shared.value))
 
 
 def _in_chunks(texts: list[str]) -> Iterator[tuple[int, int]]:

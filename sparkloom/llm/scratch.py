@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +61,17 @@ def join_counted(rows: DataFrame, facts: DataFrame, key: str, count: str, hot: i
     return joined.select(*rows.columns, *[found[v].alias(v) for v in values])
 
 
+_held: dict = {}
+
+
+def held(key, make: Callable):
+    """make()'s result, kept in a Python worker until another is asked for: workers serve many stages, and hold one model at a time."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def to_arrays(df: DataFrame) -> dict[str, np.ndarray]:
     """Numeric columns of a table of bounded size as arrays; tasks pack them, so that the driver holds the bytes once."""
     names = df.columns
