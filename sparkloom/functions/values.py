@@ -62,6 +62,12 @@ def without_numbers(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*[F.col(c) if c in keep else F.when(numeric_like(F.col(c)), "").otherwise(given(F.col(c))).alias(c) for c in df.columns])
 
 
+def padded(n: Column, width: int) -> Column:
+    """A number's digits with zeros before them up to a width; longer numbers stay whole."""
+    text = n.cast("string")
+    return F.when(F.char_length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def box(r1: Column, r2: Column, c1: Column, c2: Column) -> Column:
     """A box with its bounds in order."""
     return F.struct(F.least(r1, r2).alias("r1"), F.greatest(r1, r2).alias("r2"), F.least(c1, c2).alias("c1"), F.greatest(c1, c2).alias("c2"))

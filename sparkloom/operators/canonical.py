@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import given, item_key, item_mentions, number, panel_letter, percent_number
+from ..functions.values import padded
 from .tables import find_column
 
 #: Loose names under which canonical columns may stand in a table.
@@ -44,7 +45,7 @@ def value_rows(df: DataFrame, value_column: str, source: str, row: str, mapped:
     text = given(F.col(f"`{value_column}`"))
     payload = F.create_map(*[x for c in inside.columns for x in (F.lit(c), given(F.col(f"`{c}`")))])
     return df.select(
-        F.concat(F.lit(prefix), F.lpad(F.col(row).cast("string"), 8, "0")).alias("expval_id"), F.col(source).alias("source_file"), F.col(row).alias("source_row"), *names,
+        F.concat(F.lit(prefix), padded(F.col(row), 8)).alias("expval_id"), F.col(source).alias("source_file"), F.col(row).alias("source_row"), *names,
         own.alias("item_id"), panel_letter(names[0]).alias("panel_id"), key.alias("figure_key"), F.coalesce(F.nullif(key, F.lit("")), F.lit(UNKNOWN)).alias("partition_key"),
         number(text).alias("value"), text.alias("value_text"), payload.alias("payload"), (text == "").alias("manual_required"), F.when(text == "", "missing value").otherwise("").alias("normalization_warning"),
     )
@@ -59,7 +60,7 @@ def target_rows(df: DataFrame, value_column: str, source: str, row: str, mapped:
     text = given(F.col(f"`{value_column}`"))
     payload = F.create_map(*[x for c in inside.columns for x in (F.lit(c), given(F.col(f"`{c}`")))])
     return df.select(
-        F.concat(F.lit(prefix), F.lpad(F.col(row).cast("string"), 8, "0")).alias("target_row_id"), F.col(source).alias("source_file"), F.col(row).alias("source_row"), *names,
+        F.concat(F.lit(prefix), padded(F.col(row), 8)).alias("target_row_id"), F.col(source).alias("source_file"), F.col(row).alias("source_row"), *names,
         key.alias("figure_key"), F.coalesce(F.nullif(key, F.lit("")), F.lit(UNKNOWN)).alias("partition_key"), text.alias("existing_value_text"), payload.alias("payload"),
     )
 

@@ -94,17 +94,22 @@ def document_context(docs: DataFrame) -> DataFrame:
 def located(needles: DataFrame, docs: DataFrame) -> DataFrame:
     """Per needle (id, needle), the first document with a hit, how it was hit, and where.
 
-    Candidates share the needle's longest word with the document, so that no needle meets all documents.
+    Candidates share the needle's longest inner word with the document, so that no needle meets all documents.
+    Needles of one or two words may begin and end inside words: they share three characters in a row.
     Hits are exact, without case, or with runs of white space as one; a document earlier in the order wins
     whatever its tier.
     """
     words = F.filter(F.split(F.lower(F.trim("needle")), r"\s+"), lambda x: x != "")
-    inner = F.when(F.size(words) > 2, F.slice(words, F.lit(2), F.size(words) - 2)).otherwise(words)  # its ends may be parts of words
+    inner = F.slice(words, F.lit(2), F.greatest(F.lit(0), F.size(words) - 2))  # its ends may be parts of words
     longest = F.array_max(F.transform(inner, lambda x: F.struct(F.char_length(x).alias("n"), x.alias("w"))))["w"]
-    keyed = needles.withColumn("word", longest)
-    own = docs.select("doc_id", F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("word"))
-    hit = keyed.join(own, "word").select("id", "needle", "doc_id").join(docs.select("doc_id", "text"), "doc_id")
     squeezed = lambda c: F.trim(F.regexp_replace(F.lower(c), r"\s+", " "))
+    keyed = needles.withColumn("few", F.size(words) <= 2).withColumn("word", F.when(F.col("few"), F.left(squeezed(F.col("needle")), F.lit(3))).otherwise(longest)).filter("word <> ''")
+    short = keyed.filter("few").select(F.char_length("word").alias("n")).distinct()  # 1, 2 and 3 at most
+    cut = docs.select("doc_id", squeezed(F.col("text")).alias("t")).crossJoin(F.broadcast(short)).filter(F.char_length("t") >= F.col("n"))
+    parts = F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length("t") - F.col("n") + 1), lambda i: F.substring("t", i, F.col("n"))))
+    own = docs.select("doc_id", F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("word"), F.lit(False).alias("few"))
+    own = own.unionByName(cut.select("doc_id", F.explode(parts).alias("word"), F.lit(True).alias("few")))
+    hit = keyed.join(own, ["word", "few"]).select("id", "needle", "doc_id").join(docs.select("doc_id", "text"), "doc_id")
     exact, loose = F.position("needle", "text"), F.position(F.lower("needle"), F.lower("text"))
     spaced = F.position(squeezed(F.col("needle")), squeezed(F.col("text")))
     tier = F.when(exact > 0, 1).when(loose > 0, 2).when(spaced > 0, 3)

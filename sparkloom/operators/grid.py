@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import percent_number
+from ..functions.text import matcher_key, percent_number
+from ..functions.values import gap, overlap, padded
 from ..sources.stage import written
 
 
@@ -42,7 +43,7 @@ def block_kind(rows, cols, numbers, words, first_row_words):
     )
 
 
-def components(cells: DataFrame, rounds: int = 200) -> DataFrame:
+def components(cells: DataFrame) -> DataFrame:
     """4-connected components of occupied cells: sheet, r, c1, c2 (a run of cells in a row) and component, its smallest run.
 
     Cells of a row form runs; runs of neighbouring rows are linked where they overlap. Labels are numbers
@@ -51,19 +52,19 @@ def components(cells: DataFrame, rounds: int = 200) -> DataFrame:
     """
     filled = cells.filter(F.trim("value") != "").select("sheet", "r", "c").distinct()
     runs = _islands(filled, ["sheet", "r"], "c", "c1").groupBy("sheet", "r", "c1").agg(F.max("c").alias("c2"))
-    runs = runs.withColumn("run", F.col("r") * (1 << 20) + F.col("c1"))
+    runs = runs.withColumn("run", F.col("r").cast("long") * (1 << 20) + F.col("c1"))
     above = runs.select("sheet", (F.col("r") + 1).alias("r"), F.col("c1").alias("a1"), F.col("c2").alias("a2"), F.col("run").alias("other"))
     links = runs.join(above, ["sheet", "r"]).filter("c1 <= a2 and a1 <= c2").select("sheet", "run", "other")
     links = written(links.unionByName(links.select("sheet", F.col("other").alias("run"), F.col("run").alias("other"))))
     labels = written(runs.select("sheet", "run", F.col("run").alias("component")))
-    for _ in range(rounds):
+    moved = True
+    while moved:
         near = links.join(labels.select("sheet", F.col("run").alias("other"), "component"), ["sheet", "other"]).groupBy("sheet", "run").agg(F.min("component").alias("near"))
         lower = labels.join(near, ["sheet", "run"], "left").withColumn("low", F.least("component", "near"))
         of_low = labels.select("sheet", F.col("run").alias("low"), F.col("component").alias("jump"))
         after = written(lower.join(of_low, ["sheet", "low"]).select("sheet", "run", F.least("low", "jump").alias("component"), (F.least("low", "jump") < F.col("component")).alias("moved")))
         labels = after.select("sheet", "run", "component")
-        if after.filter("moved").isEmpty():
-            break
+        moved = not after.filter("moved").isEmpty()
     return runs.join(labels, ["sheet", "run"]).select("sheet", "r", "c1", "c2", "component")
 
 
@@ -76,7 +77,8 @@ def uncontained(found: DataFrame) -> DataFrame:
     """Boxes that no larger box of their sheet contains."""
     area = lambda p: (F.col(f"{p}r2") - F.col(f"{p}r1") + 1) * (F.col(f"{p}c2") - F.col(f"{p}c1") + 1)
     big = found.select("sheet", *[F.col(c).alias(f"b_{c}") for c in ("component", "r1", "r2", "c1", "c2")])
-    inside = found.join(big, "sheet").filter("component <> b_component and r1 >= b_r1 and r2 <= b_r2 and c1 >= b_c1 and c2 <= b_c2").filter(area("b_") > area(""))
+    rows = big.withColumn("r1", F.explode(F.sequence("b_r1", "b_r2")))  # a box can only be in one that covers its first row
+    inside = found.join(rows, ["sheet", "r1"]).filter("component <> b_component and r2 <= b_r2 and c1 >= b_c1 and c2 <= b_c2").filter(area("b_") > area(""))
     return found.join(inside.select("sheet", "component").distinct(), ["sheet", "component"], "left_anti")
 
 
@@ -100,7 +102,7 @@ def block_features(cells: DataFrame, blocks: DataFrame) -> DataFrame:
     """Per block the shares of filled, numeric and text cells, blank rows inside, and rows near the top that look like headers."""
     b = blocks.select("sheet", "r1", "r2", "c1", "c2")
     filled = cells.filter(F.trim("value") != "").withColumn("number", percent_number(F.col("value")) != "")
-    inside = filled.join(b, "sheet").filter("r between r1 and r2 and c between c1 and c2")
+    inside = filled.join(b.withColumn("r", F.explode(F.sequence("r1", "r2"))), ["sheet", "r"]).filter("c between c1 and c2")
     key = ["sheet", "r1", "r2", "c1", "c2"]
     per_row = inside.groupBy(*key, "r").agg(F.count_if("number").alias("n"), F.count_if(~F.col("number")).alias("t"))
     header = (F.col("r") <= F.col("r1") + 3) & (F.col("t") >= 1) & (F.col("t") >= F.col("n"))
@@ -126,9 +128,93 @@ def with_context(cells: DataFrame, blocks: DataFrame, up: int = 2) -> DataFrame:
     key = ["sheet", "r1", "r2", "c1", "c2"]
     filled = cells.filter(F.trim("value") != "").select("sheet", "r", "c")
     b = blocks.select(*key)
-    above = b.join(filled, "sheet").filter(f"r < r1 and r >= r1 - {up} and c between c1 and c2").groupBy(*key, "r").agg(F.count("*").alias("n"))
+    higher = b.withColumn("r", F.explode(F.sequence(F.col("r1") - up, F.col("r1") - 1)))
+    above = higher.join(filled, ["sheet", "r"]).filter("c between c1 and c2").groupBy(*key, "r").agg(F.count("*").alias("n"))
     need = F.greatest(F.lit(1), F.floor((F.col("c2") - F.col("c1") + 1) / 3))
     top = above.filter(F.col("n") >= need).groupBy(*key).agg(F.min("r").alias("top"))
     grown = b.join(top, key, "left").withColumn("new_r1", F.coalesce("top", "r1"))
-    left = grown.join(filled, "sheet").filter("c = c1 - 1 and r between new_r1 and r2").select(*key).distinct().withColumn("left", F.lit(1))
+    beside = grown.withColumn("c", F.col("c1") - 1).withColumn("r", F.explode(F.sequence("new_r1", "r2")))
+    left = beside.join(filled, ["sheet", "r", "c"]).select(*key).distinct().withColumn("left", F.lit(1))
     return grown.join(left, key, "left").select(*key, "new_r1", (F.col("c1") - F.coalesce("left", F.lit(0))).alias("new_c1"))
+
+
+def entity_labels(cells: DataFrame, pattern: str, ignored: str = "^$") -> DataFrame:
+    """A sheet's distinct texts that hold a keyword (``pattern``), by their letters and digits, numbered as first seen."""
+    texts = cells.filter((percent_number(F.col("value")) == "") & F.col("value").rlike(pattern) & ~F.col("value").rlike(ignored))
+    first = texts.groupBy("sheet", matcher_key(F.col("value")).alias("key")).agg(F.min(F.struct("r", "c", F.trim("value").alias("label"))).alias("at")).filter("key <> ''")
+    return first.select("sheet", "at.label", F.row_number().over(Window.partitionBy("sheet").orderBy("at")).alias("n"))
+
+
+def crossed_labels(cells: DataFrame, tail: str) -> DataFrame:
+    """For a sheet whose first row holds tails and whose rows begin with names, each name joined to each tail that has a cell below."""
+    sheet, row = Window.partitionBy("sheet"), Window.partitionBy("sheet", "r").orderBy("c")
+    marked = cells.filter(F.trim("value") != "").withColumn("top", F.min("r").over(sheet)).withColumn("name", F.first("value").over(row)).withColumn("c0", F.first("c").over(row))
+    heads = marked.filter((F.col("r") == F.col("top")) & F.col("value").rlike(tail)).select("sheet", "c", F.trim("value").alias("tail"))
+    return marked.filter("r > top and c > c0").join(heads, ["sheet", "c"]).select("sheet", F.concat_ws("-", F.trim("name"), "tail").alias("label")).distinct()
+
+
+def member_relations(members: DataFrame) -> DataFrame:
+    """How each member (sheet, grp, element, kind, r1, r2, c1, c2) of a group lies to the next in reading order: scores, orientation, confidence."""
+    w = Window.partitionBy("sheet", "grp").orderBy("r1", "c1", "element")
+    nxt = F.lead(F.struct("element", "kind", "r1", "r2", "c1", "c2")).over(w)
+    pairs = members.withColumn("b", nxt).filter("b is not null")
+    rows, cols = (F.col("r1"), F.col("r2"), F.col("b.r1"), F.col("b.r2")), (F.col("c1"), F.col("c2"), F.col("b.c1"), F.col("b.c2"))
+
+    def score(along, across):
+        """Members in line share positions across; near ones have a small gap along."""
+        shared, least = overlap(*across), F.least(across[1] - across[0], across[3] - across[2]) + 1
+        return F.when(shared > 0, 2.0 + F.least(F.lit(1.5), shared / least)).otherwise(0.0) + F.greatest(F.lit(0.0), 1.5 - F.least(gap(*along), F.lit(6)) * 0.25)
+
+    kinds = F.array("kind", "b.kind")
+    titled = F.array_contains(kinds, "table_title") & (F.array_contains(kinds, "table_body") | F.array_contains(kinds, "title_and_table"))
+    down, side = score(rows, cols) + F.when(titled, 3.0).otherwise(0.0), score(cols, rows) - F.when(titled, 0.5).otherwise(0.0)
+    lead = F.col("vertical_score") - F.col("horizontal_score")
+    scored = pairs.select("sheet", "grp", "element", F.col("b.element").alias("next_element"), down.alias("vertical_score"), side.alias("horizontal_score"))
+    return scored.withColumn("orientation", F.when(lead >= 1, "vertical").when(lead <= -1, "horizontal").otherwise("ambiguous")).withColumn(
+        "confidence", F.when(F.abs(lead) >= 2, "high").when(F.abs(lead) >= 1, "medium").otherwise("low")
+    )
+
+
+def group_axis(members: DataFrame) -> DataFrame:
+    """The axis that a group's pairs vote for: vertical, horizontal or none (the original layout), with its confidence."""
+    rel = member_relations(members)
+    says = lambda o, *c: F.count_if((F.col("orientation") == o) & F.col("confidence").isin(*c))
+    votes = rel.groupBy("sheet", "grp").agg(
+        says("vertical", "high", "medium").alias("v"), says("horizontal", "high", "medium").alias("h"), says("vertical", "high").alias("sv"), says("horizontal", "high").alias("sh"), F.count("*").alias("pairs")
+    )
+    every = lambda a, b: (F.col(a) > F.col(b)) & (F.col(a) >= F.greatest(F.lit(2), F.col("pairs")))
+    strong = lambda a, b, x, y: (F.col(x) > F.col(y)) | ((F.col(a) > F.col(b)) & (F.col(x) >= 1))
+    rule = F.when(strong("v", "h", "sv", "sh"), "vertical|high").when(strong("h", "v", "sh", "sv"), "horizontal|high").when(every("v", "h"), "vertical|medium").when(every("h", "v"), "horizontal|medium")
+    said = members.select("sheet", "grp").distinct().join(votes.withColumn("rule", rule), ["sheet", "grp"], "left")
+    parts = F.split(F.coalesce("rule", F.lit("none|low")), r"\|")
+    return said.select("sheet", "grp", parts[0].alias("axis"), parts[1].alias("confidence"))
+
+
+def composed(cells: DataFrame, members: DataFrame, axis: DataFrame) -> DataFrame:
+    """The cells of each group's members on one canvas from (0, 0): stacked or side by side with a gap of one, else as they lay."""
+    placed = members.join(axis.select("sheet", "grp", "axis"), ["sheet", "grp"])
+    before = lambda *order: Window.partitionBy("sheet", "grp").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    all_ = Window.partitionBy("sheet", "grp")
+    down = F.coalesce(F.sum(F.col("r2") - F.col("r1") + 2).over(before("r1", "c1", "element")), F.lit(0))
+    side = F.coalesce(F.sum(F.col("c2") - F.col("c1") + 2).over(before("c1", "r1", "element")), F.lit(0))
+    dr = F.when(F.col("axis") == "vertical", down).when(F.col("axis") == "horizontal", 0).otherwise(F.col("r1") - F.min("r1").over(all_))
+    dc = F.when(F.col("axis") == "vertical", 0).when(F.col("axis") == "horizontal", side).otherwise(F.col("c1") - F.min("c1").over(all_))
+    offset = placed.withColumn("dr", dr).withColumn("dc", dc).withColumn("r", F.explode(F.sequence("r1", "r2")))
+    own = cells.filter(F.trim("value") != "").join(offset, ["sheet", "r"]).filter("c between c1 and c2")
+    return own.select("sheet", "grp", (F.col("r") - F.col("r1") + F.col("dr")).alias("r"), (F.col("c") - F.col("c1") + F.col("dc")).alias("c"), "value").distinct()
+
+
+def final_blocks(members: DataFrame, axis: DataFrame) -> DataFrame:
+    """A block for each group: number, box, kind, its elements in reading order, first title, and how it is composed. members: also title."""
+    per = members.groupBy("sheet", "grp").agg(
+        F.min("r1").alias("r1"), F.max("r2").alias("r2"), F.min("c1").alias("c1"), F.max("c2").alias("c2"), F.collect_set("kind").alias("kinds"),
+        F.array_sort(F.collect_list(F.struct("r1", "c1", "element", "title"))).alias("all"),
+    )
+    has = lambda k: F.array_contains("kinds", k)
+    kind = F.when(has("title_and_table") | (has("table_body") & has("table_title")), "title_and_table").when(has("table_body"), "table_body").when(has("table_title"), "table_title").otherwise("other")
+    number = padded(F.row_number().over(Window.partitionBy("sheet").orderBy("r1", "c1", "grp")), 3)
+    title = F.get(F.filter(F.transform("all", lambda x: F.trim(x["title"])), lambda t: t != ""), F.lit(0))
+    return per.join(axis, ["sheet", "grp"]).select(
+        F.concat(F.col("sheet").cast("string"), F.lit("__block_"), number).alias("block_id"), "sheet", "grp", "r1", "r2", "c1", "c2", kind.alias("kind"),
+        F.array_join(F.transform("all", lambda x: x["element"]), "|").alias("elements"), F.coalesce(title, F.col("sheet").cast("string")).alias("title"), "axis", "confidence",
+    )

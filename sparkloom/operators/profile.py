@@ -50,20 +50,20 @@ def same_name_relations(sources: DataFrame, targets: DataFrame) -> DataFrame:
 def disjoint_relations(candidates: DataFrame) -> DataFrame:
     """From candidate relations (partition_key, source_columns, target_column, score) the best ones that share no column.
 
-    The pick is sequential; candidates of a partition are few (columns, not rows), and each partition is a task of its own.
+    The pick goes down a partition's candidates by score, then target and source columns; they are few (columns, not rows).
     """
-
-    def pick(frame):
-        used_s, used_t, keep = set(), set(), []
-        for i, row in frame.sort_values(["score", "target_column"], ascending=[False, True], kind="stable").iterrows():
-            s = set(row["source_columns"])
-            if not s & used_s and row["target_column"] not in used_t:
-                used_s |= s
-                used_t.add(row["target_column"])
-                keep.append(i)
-        return frame.loc[keep]
-
-    return candidates.groupBy("partition_key").applyInPandas(pick, candidates.schema)
+    best = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "target_column", "source_columns")))
+    none = F.array().cast("array<string>")
+    start = F.struct(none.alias("sources"), none.alias("targets"), F.array().cast("array<struct<s:double,target_column:string,source_columns:array<string>>>").alias("kept"))
+
+    def step(acc, x):
+        free = ~F.arrays_overlap(acc["sources"], x["source_columns"]) & ~F.array_contains(acc["targets"], x["target_column"])
+        grown = F.struct(F.concat(acc["sources"], x["source_columns"]).alias("sources"), F.array_append(acc["targets"], x["target_column"]).alias("targets"), F.array_append(acc["kept"], x).alias("kept"))
+        return F.when(free, grown).otherwise(acc)
+
+    typed = candidates.select("partition_key", "source_columns", "target_column", F.col("score").cast("double").alias("score"))
+    picked = typed.groupBy("partition_key").agg(best.alias("all")).select("partition_key", F.explode(F.aggregate("all", start, step)["kept"]).alias("k"))
+    return picked.select("partition_key", "k.source_columns", "k.target_column", (-F.col("k.s")).alias("score"))
 
 
 def checked_plans(plans: DataFrame, columns: DataFrame) -> DataFrame:

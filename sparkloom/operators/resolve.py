@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import keywords, matcher_key
+from ..functions.values import padded
 
 
 def best_by_keywords(items: DataFrame, blocks: DataFrame, bonus: int = 5) -> DataFrame:
@@ -87,14 +88,27 @@ def nearest_colour(rows: DataFrame, profile: DataFrame, row_id: str) -> DataFram
     return rows.crossJoin(F.broadcast(ramp)).select(row_id, near["value"].alias("value"), F.sqrt(near["d"]).alias("distance"))
 
 
-def calibrated(points: DataFrame, calibration: DataFrame, by: str) -> DataFrame:
-    """Values of pixels on the line through the two nearest calibration points of their figure; of equals, the lower pixel."""
-    both = points.join(calibration, by)
-    w = Window.partitionBy(by, "point").orderBy(F.abs(F.col("cal_pixel") - F.col("pixel")), "cal_pixel")
-    two = both.withColumn("n", F.row_number().over(w)).filter("n <= 2")
-    one = two.groupBy(by, "point").agg(F.max("pixel").alias("pixel"), F.min(F.struct("cal_pixel", "cal_value")).alias("p"), F.max(F.struct("cal_pixel", "cal_value")).alias("q"))
-    slope = (F.col("q.cal_value") - F.col("p.cal_value")) / (F.col("q.cal_pixel") - F.col("p.cal_pixel"))
-    return one.select(by, "point", F.when(F.col("p.cal_pixel") != F.col("q.cal_pixel"), F.col("p.cal_value") + (F.col("pixel") - F.col("p.cal_pixel")) * slope).alias("value"))
+def calibrated(points: DataFrame, calibration: DataFrame, by: str, log10: bool = False) -> DataFrame:
+    """Values of pixels on the line through the two nearest calibration points of their figure; of equals, the lower pixel.
+
+    With ``log10`` the line runs through the logarithms of the values. The nearest below and above a point
+    come from running values over the figure's pixels in order, so that no point meets all calibration
+    points: the two nearest are among the two next below (or level) and the two next above.
+    """
+    y = F.log10("cal_value") if log10 else F.col("cal_value")
+    w = Window.partitionBy(by).orderBy("cal_pixel")
+    mark = F.struct(F.col("cal_pixel").alias("x"), y.alias("y"))
+    marks = calibration.select(by, F.col("cal_pixel").alias("pixel"), mark.alias("cal"), F.lag(mark).over(w).alias("before"), F.lead(mark).over(w).alias("after"))
+    ends = F.struct("cal", "before", "after")
+    both = marks.select(by, "pixel", ends.alias("m")).unionByName(points.select(by, "pixel", "point"), allowMissingColumns=True)
+    up = Window.partitionBy(by).orderBy("pixel", F.col("m").isNull())
+    down = Window.partitionBy(by).orderBy(F.desc("pixel"), F.col("m").isNotNull())
+    run = both.withColumn("low", F.last("m", ignorenulls=True).over(up)).withColumn("high", F.last("m", ignorenulls=True).over(down)).filter("point is not null")
+    near = F.array_compact(F.array("low.before", "low.cal", "high.cal", "high.after"))
+    order = F.array_sort(F.transform(near, lambda c: F.struct(F.abs(c["x"] - F.col("pixel")).alias("d"), c["x"].alias("x"), c["y"].alias("y"))))
+    two = run.select(by, "point", "pixel", order[0].alias("p"), F.get(order, F.lit(1)).alias("q"))
+    value = F.col("p.y") + (F.col("pixel") - F.col("p.x")) * (F.col("q.y") - F.col("p.y")) / (F.col("q.x") - F.col("p.x"))
+    return two.select(by, "point", F.when(F.col("p.x") != F.col("q.x"), F.pow(F.lit(10.0), value) if log10 else value).alias("value"))
 
 
 def ingest_results(tasks: DataFrame, results: DataFrame, required: list[str]) -> DataFrame:
@@ -111,14 +125,15 @@ def ingest_results(tasks: DataFrame, results: DataFrame, required: list[str]) ->
 
 
 def complete_ids(rows: DataFrame, id_col: str, order: str, prefix: str) -> DataFrame:
-    """The first use of an id stays; other rows get one from their place, with a mark more where that id is in use."""
+    """The first use of an id stays; other rows get one from their place, with the fewest marks ``x`` that no kept id has."""
     w = Window.partitionBy(id_col).orderBy(order)
     used = rows.withColumn("_keep", (F.trim(id_col) != "") & (F.row_number().over(w) == 1))
-    own = used.filter("_keep").select(F.col(id_col).alias("_used"))
-    made = F.concat(F.lit(prefix), F.lpad(F.col(order).cast("string"), 6, "0"))
-    marked = used.withColumn("_made", made).join(own, F.col("_made") == F.col("_used"), "left")
-    final = F.when(F.col("_keep"), F.col(id_col)).when(F.col("_used").isNull(), F.col("_made")).otherwise(F.concat("_made", F.lit("x")))
-    return marked.withColumn("new_id", final).drop("_keep", "_made", "_used")
+    bare = F.regexp_replace(id_col, "x+$", "")
+    taken = used.filter("_keep").groupBy(bare.alias("_used")).agg(F.collect_set(F.char_length(id_col) - F.char_length(bare)).alias("_marks"))
+    marked = used.withColumn("_made", F.concat(F.lit(prefix), padded(F.col(order), 6))).join(taken, F.col("_made") == F.col("_used"), "left")
+    free = F.array_min(F.array_except(F.sequence(F.lit(0), F.size("_marks")), "_marks"))
+    final = F.when(F.col("_keep"), F.col(id_col)).when(F.col("_used").isNull(), F.col("_made")).otherwise(F.concat("_made", F.repeat(F.lit("x"), free)))
+    return marked.withColumn("new_id", final).drop("_keep", "_made", "_used", "_marks")
 
 
 def same_entity_replicate(cells: DataFrame, by: list[str], order: str) -> DataFrame:

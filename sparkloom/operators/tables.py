@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import comparison_text, given, matcher_text, number
+from ..functions.values import padded
 from ..sources.stage import written
 
 #: Words for a missing value in experiment keys.
@@ -79,7 +80,7 @@ def sequence_ids(df: DataFrame, order: list[str], prefix: str, width: int = 6, n
     inside = written(spread.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order))))
     totals = inside.groupBy("_p").agg(F.count("*").alias("_rows"))
     before = totals.select("_p", F.coalesce(F.sum("_rows").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    numbered = inside.join(F.broadcast(before), "_p").withColumn(name, F.concat(F.lit(prefix), F.lpad((F.col("_i") + F.col("_before")).cast("string"), width, "0")))
+    numbered = inside.join(F.broadcast(before), "_p").withColumn(name, F.concat(F.lit(prefix), padded(F.col("_i") + F.col("_before"), width)))
     return numbered.drop("_p", "_i", "_before")
 
 
@@ -184,14 +185,17 @@ def six_digits(c: Column) -> Column:
     """A number in six significant digits, without trailing zeros; plain for exponents from -5 to 5."""
     exponent = F.floor(F.log10(F.abs(c)))
     rounded = F.when(c == 0, F.lit(0.0)).otherwise(F.round(c * F.pow(F.lit(10.0), 5 - exponent)) / F.pow(F.lit(10.0), 5 - exponent))
-    plain = F.regexp_replace(F.format_string("%.10f", rounded), r"\.?0+$", "")
-    return plain
+    return F.regexp_replace(F.format_string("%.10f", rounded), r"\.?0+$", "")
 
 
-def replicates(cells: DataFrame, by: list[str], value: str) -> DataFrame:
-    """A3: per group, how many numbers there are and their mean."""
+def replicates(cells: DataFrame, by: list[str], value: str, order: str) -> DataFrame:
+    """A3: per group its numbers in the order, how many there are, their mean in six digits, and whether they are replicates or single."""
     n = number(F.col(value))
-    return cells.filter(n.isNotNull()).groupBy(*by).agg(F.count("*").alias("replicates"), F.avg(n).alias("mean"))
+    per = cells.filter(n.isNotNull()).groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v")))).alias("all"), F.count("*").alias("replicates"), F.avg(n).alias("mean")
+    )
+    kind = F.when(F.col("replicates") > 1, "replicate_mean").otherwise("single_value")
+    return per.select(*by, F.array_join(F.transform("all", lambda x: x["v"]), "|").alias("original_values"), "replicates", "mean", six_digits(F.col("mean")).alias("aggregated_value"), kind.alias("replicate_type"))
 
 
 def count_diagnostics(actual: DataFrame, expected: DataFrame, key: str, tolerance: float = 0.1) -> DataFrame:

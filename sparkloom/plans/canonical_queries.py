@@ -15,12 +15,13 @@ QUERIES, ORACLES = {}, {}
 
 def _values(s, d):
     rows = labels_of_parts(s, d).select(F.col("label").alias("Figure"), F.lit("x").alias("X Label"), F.when(F.col("id") % 4 == 0, "").otherwise(F.concat(F.lit("1,"), F.lpad((F.col("id") % 900).cast("string"), 3, "0"))).alias("Value"), F.lit("f.csv").alias("src"), F.col("id").alias("row"))
-    return C.value_rows(rows, "Value", "src", "row").select("expval_id", "figure_name", "x_label", "unit", "value", "value_text", "manual_required", "normalization_warning")
+    return C.value_rows(rows, "Value", "src", "row").select("expval_id", "figure_name", "x_label", "unit", "value", "value_text", "manual_required", "normalization_warning", "figure_key", "partition_key", "source_row", F.col("payload")["Value"].alias("in_payload"))
 
 
 QUERIES["F3_value_rows"] = _values
-ORACLES["F3_value_rows"] = f"""WITH {LABELS_SQL}, v AS (SELECT *, CASE WHEN id % 4 = 0 THEN '' ELSE '1,' || lpad(CAST(id % 900 AS VARCHAR), 3, '0') END AS t FROM m)
-SELECT 'EV' || lpad(CAST(id AS VARCHAR), 8, '0') AS expval_id, label AS figure_name, 'x' AS x_label, '' AS unit, TRY_CAST(replace(t, ',', '') AS DOUBLE) AS value, t AS value_text, t = '' AS manual_required, CASE WHEN t = '' THEN 'missing value' ELSE '' END AS normalization_warning FROM v"""
+ORACLES["F3_value_rows"] = f"""WITH {LABELS_SQL}, {ITEM_KEY_SQL}, v AS (SELECT *, CASE WHEN id % 4 = 0 THEN '' ELSE '1,' || lpad(CAST(id % 900 AS VARCHAR), 3, '0') END AS t FROM m)
+SELECT 'EV' || lpad(CAST(v.id AS VARCHAR), CAST(greatest(8, length(CAST(v.id AS VARCHAR))) AS INTEGER), '0') AS expval_id, label AS figure_name, 'x' AS x_label, '' AS unit, TRY_CAST(replace(t, ',', '') AS DOUBLE) AS value, t AS value_text, t = '' AS manual_required, CASE WHEN t = '' THEN 'missing value' ELSE '' END AS normalization_warning,
+  item_key AS figure_key, CASE WHEN item_key = '' THEN 'unknown_figure_table' ELSE item_key END AS partition_key, v.id AS source_row, t AS in_payload FROM v JOIN i ON i.id = v.id"""
 
 
 def _targets(s, d):
@@ -30,7 +31,7 @@ def _targets(s, d):
 
 
 QUERIES["F4_target_rows"] = _targets
-ORACLES["F4_target_rows"] = f"""WITH {LABELS_SQL}, {ITEM_KEY_SQL} SELECT 'LN' || lpad(CAST(m.id AS VARCHAR), 8, '0') AS target_row_id, label AS item_id, CASE WHEN m.id % 2 = 0 THEN '3.5' ELSE '' END AS existing_value_text,
+ORACLES["F4_target_rows"] = f"""WITH {LABELS_SQL}, {ITEM_KEY_SQL} SELECT 'LN' || lpad(CAST(m.id AS VARCHAR), CAST(greatest(8, length(CAST(m.id AS VARCHAR))) AS INTEGER), '0') AS target_row_id, label AS item_id, CASE WHEN m.id % 2 = 0 THEN '3.5' ELSE '' END AS existing_value_text,
   item_key = '' AND m.id % 3 = 0 AS mapped, item_key = '' AND m.id % 3 <> 0 AS unknown FROM m JOIN i ON i.id = m.id"""
 
 

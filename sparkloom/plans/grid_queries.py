@@ -30,15 +30,18 @@ ORACLES["G1_bands"] = f"WITH {BANDS_SQL} SELECT sheet, r1, r2, c1, c2, count(*)
 
 
 def _kinds(s, d):
-    b = G.bands(sheets(s, d))
+    cells = sheets(s, d)
+    b = G.bands(cells)
+    first = cells.filter(F.col("value").startswith("w")).select("sheet", F.col("r").alias("r1"), "c").join(b.select("sheet", "r1", "c1", "c2"), ["sheet", "r1"]).filter("c between c1 and c2")
+    b = b.join(first.groupBy("sheet", "r1", "c1").agg(F.count("*").alias("first_row_words")), ["sheet", "r1", "c1"], "left").fillna(0, ["first_row_words"])
     words = F.col("cells") - F.col("numbers")
-    kind = G.block_kind(F.col("r2") - F.col("r1") + 1, F.col("c2") - F.col("c1") + 1, F.col("numbers"), words, F.lit(0))
+    kind = G.block_kind(F.col("r2") - F.col("r1") + 1, F.col("c2") - F.col("c1") + 1, F.col("numbers"), words, F.col("first_row_words"))
     return b.groupBy(kind.alias("kind")).agg(F.count("*").alias("blocks"))
 
 
 QUERIES["G6_block_kinds"] = _kinds
-ORACLES["G6_block_kinds"] = f"""WITH {BANDS_SQL}, b AS (SELECT r2 - r1 + 1 AS h, c2 - c1 + 1 AS w, count_if(NOT starts_with(value, 'w')) AS n, count_if(starts_with(value, 'w')) AS t FROM cb JOIN cx USING (sheet, r1, c) GROUP BY sheet, r1, r2, c1, c2)
-SELECT CASE WHEN h <= 2 AND n = 0 THEN CASE WHEN t <= 6 THEN 'table_title' ELSE 'note' END WHEN h >= 12 AND w >= 8 AND n >= 10 THEN 'multi_table'
+ORACLES["G6_block_kinds"] = f"""WITH {BANDS_SQL}, b AS (SELECT r2 - r1 + 1 AS h, c2 - c1 + 1 AS w, count_if(NOT starts_with(value, 'w')) AS n, count_if(starts_with(value, 'w')) AS t, count_if(starts_with(value, 'w') AND r = r1) AS f FROM cb JOIN cx USING (sheet, r1, c) GROUP BY sheet, r1, r2, c1, c2)
+SELECT CASE WHEN h <= 2 AND n = 0 THEN CASE WHEN t <= 6 THEN 'table_title' ELSE 'note' END WHEN h >= 12 AND w >= 8 AND n >= 10 THEN 'multi_table' WHEN n >= 3 AND f > 0 THEN 'title_and_table'
   WHEN n >= greatest(3, t) AND h >= 2 THEN 'table_body' WHEN h <= 3 AND t > n THEN 'note' ELSE 'other' END AS kind, count(*) AS blocks FROM b GROUP BY 1"""
 _COMPONENTS = f"""WITH RECURSIVE {SHEETS_SQL}, few AS (SELECT sheet, r, c FROM cells),
 walk(sheet, r, c, id) AS (SELECT sheet, r, c, r * 1048576 + c FROM few UNION

@@ -46,14 +46,18 @@ ORACLES["P5_same_name_relations"] = "SELECT DISTINCT p_brand AS partition_key, u
 
 
 def _greedy(s, d):
-    p = table(s, d, "part").filter("p_partkey % 3 = 0")
+    p = table(s, d, "part")
     c = p.groupBy("p_brand", "p_type").agg(F.max("p_size").cast("double").alias("score"))
     c = c.select(F.col("p_brand").alias("partition_key"), F.array(F.concat(F.lit("s"), (F.col("score") % 3).cast("int").cast("string"))).alias("source_columns"), F.col("p_type").alias("target_column"), "score")
-    return P.disjoint_relations(c).groupBy("partition_key").agg(F.max("score").alias("best"))
+    return P.disjoint_relations(c).select("partition_key", F.col("source_columns")[0].alias("source_column"), "target_column", "score")
 
 
 QUERIES["P7_disjoint_relations"] = _greedy
-ORACLES["P7_disjoint_relations"] = "SELECT p_brand AS partition_key, CAST(max(p_size) AS DOUBLE) AS best FROM part WHERE p_partkey % 3 = 0 GROUP BY 1"
+ORACLES["P7_disjoint_relations"] = """WITH RECURSIVE c AS (SELECT *, 's' || (score % 3) AS s, row_number() OVER (PARTITION BY k ORDER BY score DESC, t) AS n FROM (SELECT p_brand AS k, p_type AS t, CAST(max(p_size) AS INTEGER) AS score FROM part GROUP BY ALL)),
+g(k, n, us, ut, took, s, t, score) AS (SELECT DISTINCT k, CAST(0 AS BIGINT), []::VARCHAR[], []::VARCHAR[], false, '', '', 0 FROM c UNION ALL
+  SELECT c.k, c.n, CASE WHEN free THEN list_append(us, c.s) ELSE us END, CASE WHEN free THEN list_append(ut, c.t) ELSE ut END, free, c.s, c.t, c.score
+  FROM (SELECT g.k, g.n, g.us, g.ut, c.n AS cn, NOT list_contains(us, c.s) AND NOT list_contains(ut, c.t) AS free FROM g JOIN c ON c.k = g.k AND c.n = g.n + 1) x JOIN c ON c.k = x.k AND c.n = x.cn)
+SELECT k AS partition_key, s AS source_column, t AS target_column, CAST(score AS DOUBLE) AS score FROM g WHERE took"""
 
 
 def _checked(s, d):

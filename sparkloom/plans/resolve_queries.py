@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.values import padded
 from ..operators import resolve as R
 from .inputs import table
 
@@ -39,7 +40,7 @@ SELECT item, file, overlap FROM j QUALIFY row_number() OVER (PARTITION BY item O
 
 def _lookup(s, d):
     p, c = table(s, d, "part"), table(s, d, "supplier")
-    rows = p.filter("p_partkey % 2 = 0").select("p_partkey", F.upper(F.regexp_replace("p_name", " ", "-")).alias("name"))
+    rows = p.select("p_partkey", F.upper(F.regexp_replace("p_name", " ", "-")).alias("name"))
     first = p.filter("p_size < 12").select(F.col("p_name").alias("name"), F.concat(F.lit("A"), F.col("p_partkey")).alias("value"), F.col("p_partkey").alias("pos"))
     second = p.select(F.col("p_name").alias("name"), F.when(F.col("p_partkey") % 3 == 0, "").otherwise(F.concat(F.lit("B"), F.col("p_partkey"))).alias("value"), F.col("p_partkey").alias("pos"))
     return R.reference_lookup(rows, "name", [("curated", first), ("catalogue", second)]).select("p_partkey", "value", "source")
@@ -47,7 +48,7 @@ def _lookup(s, d):
 
 QUERIES["J19_reference_lookup"] = _lookup
 ORACLES["J19_reference_lookup"] = """WITH a AS (SELECT p_name, 'A' || max(p_partkey) AS v FROM part WHERE p_size < 12 GROUP BY 1), b AS (SELECT p_name, 'B' || max(p_partkey) AS v FROM part WHERE p_partkey % 3 <> 0 GROUP BY 1)
-SELECT p_partkey, coalesce(a.v, b.v, '') AS value, CASE WHEN a.v IS NOT NULL THEN 'curated' WHEN b.v IS NOT NULL THEN 'catalogue' ELSE 'none' END AS source FROM part p LEFT JOIN a ON a.p_name = p.p_name LEFT JOIN b ON b.p_name = p.p_name WHERE p_partkey % 2 = 0"""
+SELECT p_partkey, coalesce(a.v, b.v, '') AS value, CASE WHEN a.v IS NOT NULL THEN 'curated' WHEN b.v IS NOT NULL THEN 'catalogue' ELSE 'none' END AS source FROM part p LEFT JOIN a ON a.p_name = p.p_name LEFT JOIN b ON b.p_name = p.p_name"""
 QUERIES["J21_enrichment"] = lambda s, d: R.enrich(table(s, d, "documents").select("doc_id", "lang"), table(s, d, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"), F.col("toxic").cast("string").alias("toxic")), "doc_id", {"quality": "unknown", "toxic": "unknown"})
 ORACLES["J21_enrichment"] = "SELECT doc_id, lang, coalesce(CAST(quality AS VARCHAR), 'unknown') AS quality, coalesce(CAST(toxic AS VARCHAR), 'unknown') AS toxic FROM documents LEFT JOIN labels USING (doc_id)"
 
@@ -112,13 +113,17 @@ SELECT vec_id, value, round(distance, 3) AS distance FROM j QUALIFY row_number()
 
 
 def _calibration(s, d):
-    e = table(s, d, "events").filter("event_id % 10 = 0").select("event_type", F.col("event_id").alias("point"), F.floor("value").alias("pixel"))
-    cal = table(s, d, "events").filter("event_id < 200").groupBy("event_type", F.floor(F.col("value") / 10).alias("k")).agg(F.min(F.floor("value")).alias("cal_pixel")).select("event_type", "cal_pixel", (F.col("cal_pixel") * 3 + 7).cast("double").alias("cal_value"))
+    """Calibration points on a parabola, so that other neighbours give other values."""
+    e = table(s, d, "events").select("event_type", F.col("event_id").alias("point"), F.floor("value").alias("pixel"))
+    cal = table(s, d, "events").groupBy("event_type", F.floor(F.col("value") / 10).alias("k")).agg(F.min(F.floor("value")).alias("cal_pixel")).select("event_type", "cal_pixel", (F.col("cal_pixel") * F.col("cal_pixel") + 7).cast("double").alias("cal_value"))
     return R.calibrated(e, cal, "event_type").select("event_type", "point", F.round("value", 4).alias("value"))
 
 
 QUERIES["J29_calibration"] = _calibration
-ORACLES["J29_calibration"] = "SELECT event_type, event_id AS point, round(CAST(floor(value) * 3 + 7 AS DOUBLE), 4) AS value FROM events WHERE event_id % 10 = 0"
+ORACLES["J29_calibration"] = """WITH c AS (SELECT event_type, min(floor(value)) AS x FROM events GROUP BY event_type, floor(value / 10)),
+p AS (SELECT DISTINCT event_type, floor(value) AS px FROM events), j AS (SELECT p.*, x, row_number() OVER (PARTITION BY p.event_type, px ORDER BY abs(x - px), x) AS n FROM p JOIN c ON c.event_type = p.event_type),
+t AS (SELECT event_type, px, min(x) AS a, max(x) AS b FROM j WHERE n <= 2 GROUP BY ALL)
+SELECT e.event_type, event_id AS point, CASE WHEN a <> b THEN round(CAST(a * a + 7 + (px - a) * (a + b) AS DOUBLE), 4) END AS value FROM events e JOIN t ON t.event_type = e.event_type AND px = floor(e.value)"""
 
 
 def _ingest(s, d):
@@ -133,13 +138,13 @@ ORACLES["J30_result_ingestion"] = "SELECT CASE WHEN event_id % 4 = 3 THEN 'no re
 
 
 def _ids(s, d):
-    o = table(s, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("R"), F.lpad(F.floor(F.col("o_orderkey") / 2).cast("string"), 6, "0"))).otherwise(F.lit("")).alias("row_id"))
+    o = table(s, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("R"), padded(F.floor(F.col("o_orderkey") / 2), 6))).otherwise(F.lit("")).alias("row_id"))
     return R.complete_ids(o, "row_id", "o_orderkey", "R").select("o_orderkey", "new_id")
 
 
 QUERIES["W2_row_id_completion"] = _ids
-ORACLES["W2_row_id_completion"] = """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'R' || lpad(CAST(o_orderkey // 2 AS VARCHAR), 6, '0') ELSE '' END AS row_id FROM orders),
-k AS (SELECT *, row_id <> '' AND row_number() OVER (PARTITION BY row_id ORDER BY o_orderkey) = 1 AS keep, 'R' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') AS made FROM o)
+ORACLES["W2_row_id_completion"] = """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'R' || lpad(CAST(o_orderkey // 2 AS VARCHAR), CAST(greatest(6, length(CAST(o_orderkey // 2 AS VARCHAR))) AS INTEGER), '0') ELSE '' END AS row_id FROM orders),
+k AS (SELECT *, row_id <> '' AND row_number() OVER (PARTITION BY row_id ORDER BY o_orderkey) = 1 AS keep, 'R' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(6, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS made FROM o)
 SELECT o_orderkey, CASE WHEN keep THEN row_id WHEN made IN (SELECT row_id FROM k WHERE keep) THEN made || 'x' ELSE made END AS new_id FROM k"""
 QUERIES["W9_replicate_index"] = lambda s, d: R.same_entity_replicate(table(s, d, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.min("l_returnflag").alias("grp")), ["l_orderkey", "grp"], "l_partkey").select("l_orderkey", "l_partkey", "replicate")
 ORACLES["W9_replicate_index"] = "SELECT l_orderkey, l_partkey, count(*) OVER (PARTITION BY l_orderkey, min(l_returnflag) ORDER BY l_partkey) AS replicate FROM lineitem GROUP BY l_orderkey, l_partkey"
@@ -147,13 +152,13 @@ ORACLES["W9_replicate_index"] = "SELECT l_orderkey, l_partkey, count(*) OVER (PA
 
 
 def _grouping(s, d):
-    l = table(s, d, "lineitem").filter("l_suppkey % 4 = 0")
+    l = table(s, d, "lineitem")
     groups = l.groupBy(F.col("l_suppkey").alias("grp")).agg(F.collect_set("l_partkey").alias("members"))
-    return R.keep_first_grouping(groups, table(s, d, "part").filter("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("element")))
+    return R.keep_first_grouping(groups, table(s, d, "part").select(F.col("p_partkey").alias("element")))
 
 
 QUERIES["A20_grouping_normalisation"] = _grouping
-ORACLES["A20_grouping_normalisation"] = "SELECT p_partkey AS element, coalesce(CAST(min(l_suppkey) AS VARCHAR), 'single:' || p_partkey) AS grp FROM part LEFT JOIN lineitem ON l_partkey = p_partkey AND l_suppkey % 4 = 0 WHERE p_partkey % 3 <> 0 GROUP BY p_partkey"
+ORACLES["A20_grouping_normalisation"] = "SELECT p_partkey AS element, coalesce(CAST(min(l_suppkey) AS VARCHAR), 'single:' || p_partkey) AS grp FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY p_partkey"
 
 
 def _alias(s, d):

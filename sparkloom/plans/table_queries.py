@@ -48,7 +48,7 @@ ORACLES["F8_faceted_filter"] = "SELECT p_partkey FROM part WHERE p_type IN ('ECO
 QUERIES["F9_row_slice"] = lambda s, d: T.slice_rows(table(s, d, "orders"), ["o_orderdate", "o_orderkey"], 101, 50).select("o_orderkey")
 ORACLES["F9_row_slice"] = "SELECT o_orderkey FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 50 OFFSET 100"
 QUERIES["W1_sequence_ids"] = lambda s, d: T.sequence_ids(table(s, d, "orders").select("o_custkey", "o_orderkey"), ["o_custkey", "o_orderkey"], "EV")
-ORACLES["W1_sequence_ids"] = "SELECT o_custkey, o_orderkey, 'EV' || lpad(CAST(row_number() OVER (ORDER BY o_custkey, o_orderkey) AS VARCHAR), 6, '0') AS row_id FROM orders"
+ORACLES["W1_sequence_ids"] = "SELECT o_custkey, o_orderkey, 'EV' || lpad(n, CAST(greatest(6, length(n)) AS INTEGER), '0') AS row_id FROM (SELECT o_custkey, o_orderkey, CAST(row_number() OVER (ORDER BY o_custkey, o_orderkey) AS VARCHAR) AS n FROM orders)"
 QUERIES["U3_first_by_key"] = lambda s, d: T.first_by_key(table(s, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
 ORACLES["U3_first_by_key"] = "SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1"
 
@@ -175,9 +175,9 @@ def _parents(s, d):
 QUERIES["A2_hierarchy_filter"] = _parents
 ORACLES["A2_hierarchy_filter"] = rf"""WITH {LABELS_SQL}, t AS (SELECT DISTINCT regexp_extract(x, '^figure [0-9]+[a-z]?', 0) AS item FROM (SELECT {item_sql('label')} AS x FROM m) WHERE regexp_matches(x, '^figure [0-9]+'))
 SELECT item FROM t WHERE item NOT IN (SELECT rtrim(regexp_replace(item, '[a-z]$', '')) FROM t WHERE regexp_matches(item, '[a-z]$'))"""
-QUERIES["A3_replicates"] = lambda s, d: T.replicates(number_texts(s, d).withColumn("label", F.col("id") % 40), ["label"], "value").select("label", "replicates", F.round("mean", 3).alias("mean"))
-ORACLES["A3_replicates"] = f"""WITH {NUMBERS_SQL}, p AS (SELECT id % 40 AS label, TRY_CAST(replace(value, ',', '') AS DOUBLE) AS x FROM v)
-SELECT label, count(*) AS replicates, round(avg(x), 3) AS mean FROM p WHERE x IS NOT NULL GROUP BY 1"""
+QUERIES["A3_replicates"] = lambda s, d: T.replicates(number_texts(s, d).withColumn("label", F.col("id") % 40), ["label"], "value", "id").select("label", "replicates", F.round("mean", 3).alias("mean"), "original_values", "replicate_type")
+ORACLES["A3_replicates"] = f"""WITH {NUMBERS_SQL}, p AS (SELECT id, value, id % 40 AS label, TRY_CAST(replace(value, ',', '') AS DOUBLE) AS x FROM v)
+SELECT label, count(*) AS replicates, round(avg(x), 3) AS mean, string_agg(value, '|' ORDER BY id) AS original_values, CASE WHEN count(*) > 1 THEN 'replicate_mean' ELSE 'single_value' END AS replicate_type FROM p WHERE x IS NOT NULL GROUP BY 1"""
 
 
 def _diagnostics(s, d):
@@ -249,5 +249,5 @@ QUERIES["O2_ordinal_sort"] = lambda s, d: table(s, d, "orders").groupBy("o_order
 ORACLES["O2_ordinal_sort"] = "SELECT o_orderstatus, count(*) AS n, CAST(CASE o_orderstatus WHEN 'P' THEN 1 WHEN 'F' THEN 2 ELSE 9 END AS INTEGER) AS place FROM orders GROUP BY 1"
 QUERIES["O3_top_k"] = lambda s, d: table(s, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice").withColumn("k", F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey"))).filter("k <= 3")
 ORACLES["O3_top_k"] = "SELECT o_custkey, o_orderkey, o_totalprice, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS k FROM orders QUALIFY k <= 3"
-QUERIES["O4_case_insensitive_sort"] = lambda s, d: table(s, d, "part").orderBy(F.lower("p_name"), "p_partkey").limit(100).select("p_partkey")
-ORACLES["O4_case_insensitive_sort"] = "SELECT p_partkey FROM part ORDER BY lower(p_name), p_partkey LIMIT 100"
+QUERIES["O4_case_insensitive_sort"] = lambda s, d: table(s, d, "part").orderBy(F.lower("p_name"), "p_partkey").select("p_partkey")
+ORACLES["O4_case_insensitive_sort"] = "SELECT p_partkey FROM part ORDER BY lower(p_name), p_partkey"

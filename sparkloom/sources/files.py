@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +23,14 @@ def inventory(spark: SparkSession, root: str, extensions: tuple[str, ...], exclu
     return one.select("f.path", "f.length", (F.col("f.length") > 0).alias("readable"))
 
 
+def source_documents(spark: SparkSession, root: str, skip: tuple[str, ...] = ("output", "cache"), extension: str = "md") -> DataFrame:
+    """Path and whole text of the documents below a root, but for folders to skip and hidden ones."""
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{extension}").text(root, wholetext=True)
+    found = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    inside = F.regexp_replace(F.regexp_replace("path", "^[a-z]+:/*", "/"), "^" + re.escape(re.sub("^[a-z]+:/*", "/", root).rstrip("/")), "")
+    return found.filter(~inside.rlike(r"/\.")).filter(~F.exists(F.split(inside, "/"), lambda part: part.isin(*skip)))
+
+
 def reference_files(files: DataFrame) -> DataFrame:
     """An inventory without hidden, temporary, cache and output files, with PDFs last in ``place``."""
     return files.filter(~F.col("path").rlike(SKIPPED)).withColumn("place", F.when(F.lower("path").endswith(".pdf"), 1).otherwise(0))
