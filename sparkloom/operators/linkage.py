@@ -7,10 +7,14 @@ confidence and needs_review. Plans are exploded to relations; nothing is decided
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import matcher_text
+from .keys import all_grams, keyed_join, own_gram, tagged, token_prefix
 
 RELATION = "struct<source_columns:array<string>,target_columns:array<string>,mode:string,required:boolean,value_pairs:array<struct<source_values:array<string>,target_values:array<string>>>>"
 PLAN = f"partition_key string, source_value_column string, target_value_column string, relations array<{RELATION}>, fixed array<struct<column:string,value:string>>, confidence string, needs_review boolean"
@@ -70,30 +74,56 @@ def relation_matches(source: Column, target: Column, pairs: Column, mode: Column
     return ~blank & F.when(mapped.isNotNull(), mapped == target).otherwise(by_mode)
 
 
+def _longest(values: Column) -> Column:
+    return F.array_max(F.transform(values, lambda v: F.struct(F.char_length(v).alias("n"), v.alias("v"))))["v"]
+
+
+def _source_keys(cells_: Column) -> Column:
+    """Keys under which a source row can meet the targets that its plan's first relation (k) allows; none if a cell is blank."""
+    joined, whole = F.array_join(cells_, " "), lambda c: tagged("M", F.array(F.array_join(c, "\u0001")))
+    mapped = mapped_target(cells_, F.col("k.pairs"))
+    none = F.array().cast("array<string>")
+    by_mode = (
+        F.when(F.col("k.mode") == "exact", whole(cells_)).when(F.col("k.mode") == "token_overlap", tagged("W", token_prefix(joined, OVERLAP)))
+        .when(F.col("k.mode") == "contains", F.concat(tagged("S", F.array(own_gram(_longest(cells_)))), tagged("T", all_grams(joined)))).otherwise(none)
+    )
+    keys = F.when(F.exists(cells_, lambda v: v == ""), none).when(mapped.isNotNull(), whole(mapped)).otherwise(by_mode)
+    return F.when(F.col("k").isNull(), F.array(F.lit(""))).otherwise(keys)
+
+
+def _target_keys(cells_: Column) -> Column:
+    joined, none = F.array_join(cells_, " "), F.array().cast("array<string>")
+    by_mode = (
+        F.when(F.col("k.mode") == "token_overlap", tagged("W", token_prefix(joined, OVERLAP)))
+        .when(F.col("k.mode") == "contains", F.concat(tagged("S", all_grams(joined)), tagged("T", F.array(own_gram(_longest(cells_)))))).otherwise(none)
+    )
+    keys = F.when(F.exists(cells_, lambda v: v == ""), none).otherwise(F.concat(tagged("M", F.array(F.array_join(cells_, "\u0001"))), by_mode))
+    return F.when(F.col("k").isNull(), F.array(F.lit(""))).otherwise(keys)
+
+
 def linked_pairs(sources: DataFrame, targets: DataFrame, plans: DataFrame, strict: bool = True) -> DataFrame:
     """source_id, target_id, score, fields for each pair that every required relation and fixed value of its plan allows.
 
-    sources and targets have partition_key, an id and payload. The first relation that can be looked up
-    (exact or value map, required) is an equi-join key together with the partition, so that a hot
-    partition is spread over its values; only partitions without such a relation compare all their rows.
-    ``strict`` keeps the rule that a met optional relation counts as met, so that a pair that meets one
-    besides all required ones has a score over 100 and is not accepted.
+    sources and targets have partition_key, an id and payload. The first required relation, one that can be
+    looked up (exact or value map) before others, gives equi-join keys beside the partition: its values, the
+    tokens of which two texts that overlap enough share one, or the characters that a text shares with one
+    that contains it. A hot partition is spread over these, and rows with blank cells in it meet nothing.
+    Only partitions of plans without a required relation compare all their rows. ``strict`` keeps the rule
+    that a met optional relation counts as met, so that a pair that meets one besides all required ones has
+    a score over 100 and is not accepted.
     """
     usable = plans.filter((F.col("source_value_column") != "") & (F.col("target_value_column") != "") & (F.size("relations") > 0))
     rel = _relations(usable)
-    keyed = rel.filter(F.col("required") & F.col("mode").isin("exact", "value_map"))
-    first = keyed.groupBy("partition_key").agg(F.min_by(F.struct("source_columns", "target_columns", "pairs", "mode"), "rel").alias("k"))
+    order = F.struct((~F.col("mode").isin("exact", "value_map")).alias("slow"), "rel")
+    first = rel.filter("required").groupBy("partition_key").agg(F.min_by(F.struct("source_columns", "target_columns", "pairs", "mode"), order).alias("k"))
     head = usable.select("partition_key", "relations", "fixed", "source_value_column", "target_value_column", "confidence", "needs_review").join(first, "partition_key", "left")
     pairs_of = rel.groupBy("partition_key").agg(F.array_sort(F.collect_list(F.struct("rel", "source_columns", "target_columns", "mode", "required", "pairs"))).alias("rels"))
     head = head.join(pairs_of, "partition_key")
     s = sources.select("partition_key", F.col("id").alias("source_id"), F.col("payload").alias("sp")).join(head, "partition_key")
-    s_cells = F.transform(F.col("k.source_columns"), lambda c: matcher_text(F.coalesce(F.try_element_at("sp", c), F.lit(""))))
-    wanted = F.coalesce(mapped_target(s_cells, F.col("k.pairs")), F.when(F.col("k.mode") == "exact", s_cells))
-    s = s.withColumn("join_key", F.when(F.col("k").isNull(), F.lit("")).otherwise(F.array_join(wanted, "\u0001"))).filter("join_key is not null")
+    s = s.withColumn("sc", F.when(F.col("k").isNotNull(), cells("sp", "k.source_columns"))).withColumn("s_keys", _source_keys(F.col("sc"))).drop("k", "sc")
     t = targets.select("partition_key", F.col("id").alias("target_id"), F.col("payload").alias("tp")).join(first, "partition_key", "left")
-    t_cells = F.transform(F.col("k.target_columns"), lambda c: matcher_text(F.coalesce(F.try_element_at("tp", c), F.lit(""))))
-    t = t.withColumn("join_key", F.when(F.col("k").isNull(), F.lit("")).otherwise(F.array_join(t_cells, "\u0001"))).drop("k")
-    both = s.drop("k").join(t, ["partition_key", "join_key"])
+    t = t.withColumn("tc", F.when(F.col("k").isNotNull(), cells("tp", "k.target_columns"))).withColumn("t_keys", _target_keys(F.col("tc"))).drop("k", "tc")
+    both = keyed_join(s, t, ["partition_key"], "s_keys", "t_keys")
     met = F.transform(
         "rels",
         lambda r: F.struct(
@@ -188,3 +218,33 @@ def merge_progress(merged: DataFrame) -> DataFrame:
 def confidence(score: Column) -> Column:
     """The band of an additive score."""
     return F.when(score >= HIGH, "high").when(score >= MEDIUM, "medium").when(score >= LOW, "low").otherwise("conflict")
+
+
+def scored_linkage(left: DataFrame, right: DataFrame, by: str, signals: dict[str, int], base: int, least: int) -> DataFrame:
+    """A, b, score, confidence, fields: pairs of a block with an additive score of ``least`` or more.
+
+    left: by, a and a column for each signal; right: by, b and the same columns, already normalised. Each
+    equal, not blank signal adds its points to the base. Pairs come from equi-joins on the smallest sets of
+    signals that reach ``least``, so a block's rows do not all meet.
+    """
+    names = list(signals)
+    enough = [set(c) for n in range(1, len(names) + 1) for c in combinations(names, n) if base + sum(signals[x] for x in c) >= least]
+    smallest = [c for c in enough if not any(d < c for d in enough)]
+    out = None
+    for c in smallest:
+        on = sorted(c)
+        l = left.filter(F.forall(F.array(*[F.col(x).cast("string") for x in on]), lambda v: F.coalesce(v != "", F.lit(False))))
+        met = l.select(by, "a", *[F.col(x).alias(f"l_{x}") for x in names]).join(right.select(F.col(by).alias("_by"), "b", *[F.col(x).alias(f"r_{x}") for x in names]), (F.col(by) == F.col("_by")) & reduce(lambda p, q: p & q, [F.col(f"l_{x}") == F.col(f"r_{x}") for x in on])).drop("_by")
+        # a pair counts with the first of the sets that it meets
+        before = [reduce(lambda p, q: p & q, [same(x) for x in d]) for d in smallest[: smallest.index(c)]]
+        met = met.filter(~reduce(lambda p, q: p | q, before)) if before else met
+        out = met if out is None else out.unionByName(met)
+    score = sum((F.when(same(x), n).otherwise(0) for x, n in signals.items()), F.lit(base))
+    fields = F.array_join(F.array_compact(F.array(*[F.when(same(x), x) for x in names])), "|")
+    return out.select(by, "a", "b", score.alias("score"), confidence(score).alias("confidence"), fields.alias("fields"))
+
+
+def same(signal: str) -> Column:
+    """Whether both sides say the same, and something."""
+    l, r = F.col(f"l_{signal}"), F.col(f"r_{signal}")
+    return F.coalesce((l == r) & (l.cast("string") != ""), F.lit(False))

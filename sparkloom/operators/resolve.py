@@ -7,28 +7,37 @@ from pyspark.sql import functions as F
 
 from ..functions.text import keywords, matcher_key
 from ..functions.values import padded
+from .keys import mutually_contained
 
 
 def best_by_keywords(items: DataFrame, blocks: DataFrame, bonus: int = 5) -> DataFrame:
     """For each item (id, text, item_key) the block (block, text, item_key) with most shared keywords, more for the same key.
 
-    Scores above 0 only; of equals the first block. Pairs come from shared keywords or keys, never from all blocks.
+    Scores above 0 only; of equals the first block. Pairs come from shared keywords or keys, never from all
+    blocks. Texts of the same keywords and key are one on either side: of such blocks only the first can win.
     """
-    i = items.select("id", F.explode(keywords(F.col("text"))).alias("word"))
-    b = blocks.select("block", F.explode(keywords(F.col("text"))).alias("word"))
-    shared = i.join(b, "word").groupBy("id", "block").agg(F.count("*").alias("score"))
-    keyed = items.filter("item_key <> ''").join(blocks.select("block", "item_key"), "item_key").select("id", "block", F.lit(bonus).cast("long").alias("score"))
-    total = shared.unionByName(keyed).groupBy("id", "block").agg(F.sum("score").alias("score"))
-    return total.groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("s"), "block")).alias("best")).select("id", F.col("best.block").alias("block"), (-F.col("best.s")).alias("score"))
+    own = items.select("id", F.array_sort(keywords(F.col("text"))).alias("words"), "item_key")
+    kinds = own.select("words", "item_key").distinct()
+    best = blocks.select("block", F.array_sort(keywords(F.col("text"))).alias("b_words"), F.col("item_key").alias("b_key")).groupBy("b_words", "b_key").agg(F.min("block").alias("block"))
+    i, b = kinds.withColumn("word", F.explode("words")), best.withColumn("word", F.explode("b_words"))
+    shared = i.join(b, "word").groupBy("words", "item_key", "block").agg(F.count("*").alias("score"))
+    keyed = kinds.filter("item_key <> ''").join(best, F.col("item_key") == F.col("b_key")).select("words", "item_key", "block", F.lit(bonus).cast("long").alias("score"))
+    total = shared.unionByName(keyed).groupBy("words", "item_key", "block").agg(F.sum("score").alias("score"))
+    top = total.groupBy("words", "item_key").agg(F.min(F.struct((-F.col("score")).alias("s"), "block")).alias("best"))
+    return own.join(top, ["words", "item_key"]).select("id", F.col("best.block").alias("block"), (-F.col("best.s")).alias("score"))
 
 
 def best_by_containment(items: DataFrame, files: DataFrame, block: str) -> DataFrame:
-    """For each item the file of its block whose token contains the item's, or the reverse; the longest overlap, then the first."""
-    both = items.join(files, block)
-    a, b = F.col("item_token"), F.col("file_token")
-    hit = both.filter((a != "") & (b != "") & (F.contains(a, b) | F.contains(b, a)))
-    size = F.least(F.char_length(a), F.char_length(b))
-    return hit.groupBy("item").agg(F.min(F.struct((-size).alias("s"), "file")).alias("best")).select("item", F.col("best.file").alias("file"), (-F.col("best.s")).alias("overlap"))
+    """For each item the file of its block whose token contains the item's, or the reverse; the longest overlap, then the first.
+
+    Equal tokens of a block are one on either side: of such files only the first can win.
+    """
+    tokens = items.select(block, "item_token").distinct()
+    best = files.groupBy(block, "file_token").agg(F.min("file").alias("file"))
+    hit = mutually_contained(tokens, best, [block], "item_token", "file_token")
+    size = F.least(F.char_length("item_token"), F.char_length("file_token"))
+    top = hit.groupBy(block, "item_token").agg(F.min(F.struct((-size).alias("s"), "file")).alias("best"))
+    return items.join(top, [block, "item_token"]).select("item", F.col("best.file").alias("file"), (-F.col("best.s")).alias("overlap"))
 
 
 def reference_lookup(rows: DataFrame, name: str, sources: list[tuple[str, DataFrame]]) -> DataFrame:
@@ -60,9 +69,10 @@ def prioritised(rows: DataFrame, keys: list[Column], metadata: DataFrame, row_id
 
 def first_mutual(values: DataFrame, entities: DataFrame, block: str) -> DataFrame:
     """For each value group the first entity of its block whose stripped name contains it, or is contained in it."""
-    a, b = matcher_key(F.col("group")), matcher_key(F.col("entity"))
-    both = values.join(entities, block).filter((a != "") & (b != "") & (F.contains(a, b) | F.contains(b, a)))
-    return both.groupBy("value_id").agg(F.min(F.struct("pos", "entity")).alias("first")).select("value_id", F.col("first.entity").alias("entity"))
+    own = values.select("value_id", block, matcher_key(F.col("group")).alias("g"))
+    first = entities.groupBy(block, matcher_key(F.col("entity")).alias("e")).agg(F.min(F.struct("pos", "entity")).alias("at"))
+    hit = mutually_contained(own.select(block, "g").distinct(), first, [block], "g", "e").groupBy(block, "g").agg(F.min("at").alias("at"))
+    return own.join(hit, [block, "g"]).select("value_id", F.col("at.entity").alias("entity"))
 
 
 def with_fallback(primary: DataFrame, fallback: DataFrame, key: str) -> DataFrame:

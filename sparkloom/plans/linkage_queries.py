@@ -13,7 +13,7 @@ QUERIES, ORACLES = {}, {}
 
 def value_rows(spark, sf_dir):
     """One value row per part and return flag, keyed by brand; labels are written another way than in the target."""
-    l = table(spark, sf_dir, "lineitem").filter("l_partkey % 3 <> 1")
+    l = table(spark, sf_dir, "lineitem").filter("l_quantity > 10")
     g = l.groupBy("l_partkey", "l_returnflag").agg(F.sum(F.col("l_quantity").cast("long")).alias("q"))
     p = table(spark, sf_dir, "part")
     rows = g.join(p, g.l_partkey == p.p_partkey)
@@ -26,7 +26,7 @@ def value_rows(spark, sf_dir):
 
 
 def target_rows(spark, sf_dir):
-    p = table(spark, sf_dir, "part").filter("p_partkey % 7 <> 2")
+    p = table(spark, sf_dir, "part").filter("p_size <> 7")
     filled = F.when(F.col("p_partkey") % 13 == 0, "9.5").otherwise("")
     payload = F.create_map(
         F.lit("Name"), F.col("p_name"), F.lit("Size"), F.col("p_size").cast("string"), F.lit("Type"), F.col("p_type"),
@@ -58,11 +58,11 @@ def candidates(spark, sf_dir):
 ROWS_SQL = """s AS (
   SELECT lower(p_brand) AS partition_key, p_partkey || ':' || l_returnflag AS id, lower(p_name) AS name, p_size AS size, l_returnflag AS grp,
     CASE WHEN p_partkey % 11 = 0 THEN '' ELSE CAST(sum(CAST(l_quantity AS BIGINT)) AS VARCHAR) END AS value
-  FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_partkey % 3 <> 1 GROUP BY p_brand, p_partkey, l_returnflag, p_name, p_size),
+  FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity > 10 GROUP BY p_brand, p_partkey, l_returnflag, p_name, p_size),
 t AS (
   SELECT lower(p_brand) AS partition_key, CAST(p_partkey AS VARCHAR) AS id, lower(p_name) AS name, p_size AS size, p_type AS type,
     CASE WHEN p_partkey % 2 = 0 THEN 'returned' ELSE 'accepted' END AS grp, CASE WHEN p_partkey % 13 = 0 THEN '9.5' ELSE '' END AS value
-  FROM part WHERE p_partkey % 7 <> 2)"""
+  FROM part WHERE p_size <> 7)"""
 PAIRS_SQL = ROWS_SQL + """,
 j AS (
   SELECT s.partition_key, s.id AS source_id, t.id AS target_id, s.value AS extracted, t.value AS existing
@@ -101,9 +101,9 @@ def _modes(mode):
 
     def run(s, d):
         p = table(s, d, "part")
-        src = p.filter("p_partkey % 5 = 0").select(F.lower("p_brand").alias("partition_key"), F.col("p_partkey").cast("string").alias("id"), F.create_map(
+        src = p.select(F.lower("p_brand").alias("partition_key"), F.col("p_partkey").cast("string").alias("id"), F.create_map(
             F.lit("A"), F.split("p_name", " ")[0], F.lit("B"), F.col("p_size").cast("string"), F.lit("V"), F.lit("1")).alias("payload"))
-        tgt = p.filter("p_partkey % 5 = 1").select(F.lower("p_brand").alias("partition_key"), F.col("p_partkey").cast("string").alias("id"), F.create_map(
+        tgt = p.select(F.lower("p_brand").alias("partition_key"), F.col("p_partkey").cast("string").alias("id"), F.create_map(
             F.lit("N"), F.concat_ws(" ", F.col("p_name") if mode == "contains" else F.split("p_name", " ")[0], F.col("p_size").cast("string")), F.lit("W"), F.lit("")).alias("payload"))
         plan = src.select("partition_key").distinct().selectExpr(
             "partition_key", "'V' AS source_value_column", "'W' AS target_value_column",
@@ -116,11 +116,11 @@ def _modes(mode):
 
 QUERIES["J5_contains_relation"] = _modes("contains")
 ORACLES["J5_contains_relation"] = """SELECT CAST(a.p_partkey AS VARCHAR) AS source_id, CAST(b.p_partkey AS VARCHAR) AS target_id, 100 AS score
-FROM (SELECT *, split_part(p_name, ' ', 1) AS w FROM part WHERE p_partkey % 5 = 0) a JOIN (SELECT *, p_name || ' ' || p_size AS n FROM part WHERE p_partkey % 5 = 1) b ON a.p_brand = b.p_brand
+FROM (SELECT *, split_part(p_name, ' ', 1) AS w FROM part) a JOIN (SELECT *, p_name || ' ' || p_size AS n FROM part) b ON a.p_brand = b.p_brand
 WHERE (contains(b.n, a.w) AND contains(b.n, CAST(a.p_size AS VARCHAR))) OR contains(a.w || ' ' || a.p_size, b.n)"""
 QUERIES["J6_token_overlap_relation"] = _modes("token_overlap")
 ORACLES["J6_token_overlap_relation"] = """SELECT CAST(a.p_partkey AS VARCHAR) AS source_id, CAST(b.p_partkey AS VARCHAR) AS target_id, 100 AS score
-FROM part a JOIN part b ON a.p_brand = b.p_brand AND split_part(a.p_name, ' ', 1) = split_part(b.p_name, ' ', 1) AND a.p_size = b.p_size WHERE a.p_partkey % 5 = 0 AND b.p_partkey % 5 = 1"""
+FROM part a JOIN part b ON a.p_brand = b.p_brand AND split_part(a.p_name, ' ', 1) = split_part(b.p_name, ' ', 1) AND a.p_size = b.p_size"""
 
 
 def _merged(s, d):
@@ -145,16 +145,13 @@ ORACLES["A13_merge_qc"] = f"WITH {PAIRS_SQL} SELECT count(*) AS candidates, coun
 
 
 def _scored(s, d):
-    """Additive evidence of pairs in a block: key, label in the other's context, type, size."""
+    """Additive evidence of pairs of a brand's parts: the same label, type and size; two of them at least."""
     p = table(s, d, "part")
-    a = p.filter("p_partkey % 4 = 0").select("p_brand", F.col("p_partkey").alias("a"), F.col("p_name").alias("an"), F.col("p_type").alias("at"), F.col("p_size").alias("asz"))
-    b = p.filter("p_partkey % 4 = 1").select("p_brand", F.col("p_partkey").alias("b"), F.col("p_name").alias("bn"), F.col("p_type").alias("bt"), F.col("p_size").alias("bsz"))
-    both = a.join(b, "p_brand")
-    score = 55 + F.when(matcher_text(F.col("an")) == matcher_text(F.col("bn")), 15).otherwise(0) + F.when(compact_key(F.col("at")) == compact_key(F.col("bt")), 15).otherwise(0) + F.when(F.col("asz") == F.col("bsz"), 5).otherwise(0)
-    return both.withColumn("score", score).groupBy(L.confidence(F.col("score")).alias("confidence"), "score").agg(F.count("*").alias("pairs"))
+    side = lambda name: p.select("p_brand", F.col("p_partkey").alias(name), matcher_text(F.col("p_name")).alias("label"), compact_key(F.col("p_type")).alias("type"), F.col("p_size").alias("size"))
+    return L.scored_linkage(side("a"), side("b"), "p_brand", {"label": 15, "type": 15, "size": 5}, 55, 75).drop("p_brand")
 
 
 QUERIES["J11_scored_linkage"] = _scored
-ORACLES["J11_scored_linkage"] = """SELECT CASE WHEN score >= 75 THEN 'high' WHEN score >= 60 THEN 'medium' ELSE 'low' END AS confidence, CAST(score AS INTEGER) AS score, count(*) AS pairs FROM (
-  SELECT 55 + CASE WHEN a.p_name = b.p_name THEN 15 ELSE 0 END + CASE WHEN a.p_type = b.p_type THEN 15 ELSE 0 END + CASE WHEN a.p_size = b.p_size THEN 5 ELSE 0 END AS score
-  FROM part a JOIN part b ON a.p_brand = b.p_brand WHERE a.p_partkey % 4 = 0 AND b.p_partkey % 4 = 1) GROUP BY ALL"""
+ORACLES["J11_scored_linkage"] = """WITH j AS (SELECT a.p_partkey AS a, b.p_partkey AS b, a.p_name = b.p_name AS n, a.p_type = b.p_type AS t, a.p_size = b.p_size AS z FROM part a JOIN part b ON a.p_brand = b.p_brand),
+k AS (SELECT *, CAST(55 + CASE WHEN n THEN 15 ELSE 0 END + CASE WHEN t THEN 15 ELSE 0 END + CASE WHEN z THEN 5 ELSE 0 END AS INTEGER) AS score FROM j)
+SELECT a, b, score, 'high' AS confidence, array_to_string(list_filter([CASE WHEN n THEN 'label' END, CASE WHEN t THEN 'type' END, CASE WHEN z THEN 'size' END], lambda x: x IS NOT NULL), '|') AS fields FROM k WHERE score >= 75"""

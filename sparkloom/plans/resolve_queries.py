@@ -13,28 +13,28 @@ QUERIES, ORACLES = {}, {}
 
 def _best(s, d):
     p = table(s, d, "part")
-    items = p.filter("p_partkey % 5 = 0").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand").alias("text"), F.when(F.col("p_size") < 10, F.concat(F.lit("figure "), F.col("p_size"))).otherwise("").alias("item_key"))
-    blocks = p.filter("p_partkey % 5 = 1").select(F.col("p_partkey").alias("block"), F.concat_ws(" ", "p_name", "p_type").alias("text"), F.concat(F.lit("figure "), F.col("p_size")).alias("item_key"))
+    items = p.select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand").alias("text"), F.when(F.col("p_size") < 10, F.concat(F.lit("figure "), F.col("p_size"))).otherwise("").alias("item_key"))
+    blocks = p.select(F.col("p_partkey").alias("block"), F.concat_ws(" ", "p_name", "p_type").alias("text"), F.concat(F.lit("figure "), F.col("p_size")).alias("item_key"))
     return R.best_by_keywords(items, blocks)
 
 
 QUERIES["J12_best_block"] = _best
-ORACLES["J12_best_block"] = """WITH i AS (SELECT p_partkey AS id, unnest(list_distinct(list_filter(regexp_extract_all(lower(p_name || ' ' || p_brand), '[a-z0-9]+'), lambda w: length(w) >= 3))) AS w FROM part WHERE p_partkey % 5 = 0),
-b AS (SELECT p_partkey AS block, unnest(list_distinct(list_filter(regexp_extract_all(lower(p_name || ' ' || p_type), '[a-z0-9]+'), lambda w: length(w) >= 3))) AS w FROM part WHERE p_partkey % 5 = 1),
-z AS (SELECT id, block, count(*) AS score FROM i JOIN b USING (w) GROUP BY ALL UNION ALL SELECT a.p_partkey, c.p_partkey, 5 FROM part a JOIN part c ON a.p_size = c.p_size WHERE a.p_partkey % 5 = 0 AND c.p_partkey % 5 = 1 AND a.p_size < 10),
+ORACLES["J12_best_block"] = """WITH i AS (SELECT p_partkey AS id, unnest(list_distinct(list_filter(regexp_extract_all(lower(p_name || ' ' || p_brand), '[a-z0-9]+'), lambda w: length(w) >= 3))) AS w FROM part),
+b AS (SELECT p_partkey AS block, unnest(list_distinct(list_filter(regexp_extract_all(lower(p_name || ' ' || p_type), '[a-z0-9]+'), lambda w: length(w) >= 3))) AS w FROM part),
+z AS (SELECT id, block, count(*) AS score FROM i JOIN b USING (w) GROUP BY ALL UNION ALL SELECT a.p_partkey, c.p_partkey, 5 FROM part a JOIN part c ON a.p_size = c.p_size WHERE a.p_size < 10),
 t AS (SELECT id, block, CAST(sum(score) AS BIGINT) AS score FROM z GROUP BY ALL) SELECT id, block, score FROM t QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, block) = 1"""
 
 
 def _contained(s, d):
     p = table(s, d, "part")
-    items = p.filter("p_partkey % 5 = 0").select("p_type", F.col("p_partkey").alias("item"), F.split("p_name", " ")[0].alias("item_token"))
-    files = p.filter("p_partkey % 5 = 1").select("p_type", F.col("p_partkey").alias("file"), F.regexp_replace("p_name", " ", "").alias("file_token"))
+    items = p.select("p_type", F.col("p_partkey").alias("item"), F.split("p_name", " ")[0].alias("item_token"))
+    files = p.select("p_type", F.col("p_partkey").alias("file"), F.regexp_replace("p_name", " ", "").alias("file_token"))
     return R.best_by_containment(items, files, "p_type")
 
 
 QUERIES["J13_best_file"] = _contained
 ORACLES["J13_best_file"] = """WITH j AS (SELECT a.p_partkey AS item, b.p_partkey AS file, CAST(least(length(split_part(a.p_name, ' ', 1)), length(replace(b.p_name, ' ', ''))) AS INTEGER) AS overlap
-  FROM part a JOIN part b ON a.p_type = b.p_type AND (contains(split_part(a.p_name, ' ', 1), replace(b.p_name, ' ', '')) OR contains(replace(b.p_name, ' ', ''), split_part(a.p_name, ' ', 1))) WHERE a.p_partkey % 5 = 0 AND b.p_partkey % 5 = 1)
+  FROM part a JOIN part b ON a.p_type = b.p_type AND (contains(split_part(a.p_name, ' ', 1), replace(b.p_name, ' ', '')) OR contains(replace(b.p_name, ' ', ''), split_part(a.p_name, ' ', 1))))
 SELECT item, file, overlap FROM j QUALIFY row_number() OVER (PARTITION BY item ORDER BY overlap DESC, file) = 1"""
 
 
@@ -67,14 +67,13 @@ FROM part p LEFT JOIN n ON n.p_name = p.p_name LEFT JOIN b ON b.p_brand = p.p_br
 
 def _mutual(s, d):
     p = table(s, d, "part")
-    values = p.filter("p_partkey % 4 = 0").select("p_brand", F.col("p_partkey").alias("value_id"), F.split("p_name", " ")[1].alias("group"))
-    entities = p.filter("p_partkey % 4 = 1").select("p_brand", F.col("p_partkey").alias("pos"), F.initcap("p_name").alias("entity"))
+    values = p.select("p_brand", F.col("p_partkey").alias("value_id"), F.split("p_name", " ")[1].alias("group"))
+    entities = p.select("p_brand", F.col("p_partkey").alias("pos"), F.initcap("p_name").alias("entity"))
     return R.first_mutual(values, entities, "p_brand")
 
 
 QUERIES["J24_value_group_match"] = _mutual
-ORACLES["J24_value_group_match"] = """WITH j AS (SELECT a.p_partkey AS value_id, b.p_partkey AS pos, b.p_name AS e FROM part a JOIN part b ON a.p_brand = b.p_brand WHERE a.p_partkey % 4 = 0 AND b.p_partkey % 4 = 1
-  AND (contains(replace(b.p_name, ' ', ''), split_part(a.p_name, ' ', 2)) OR contains(split_part(a.p_name, ' ', 2), replace(b.p_name, ' ', ''))))
+ORACLES["J24_value_group_match"] = """WITH j AS (SELECT a.p_partkey AS value_id, b.p_partkey AS pos, b.p_name AS e FROM part a JOIN part b ON a.p_brand = b.p_brand WHERE (contains(replace(b.p_name, ' ', ''), split_part(a.p_name, ' ', 2)) OR contains(split_part(a.p_name, ' ', 2), replace(b.p_name, ' ', ''))))
 SELECT value_id, upper(left(split_part(e, ' ', 1), 1)) || substr(split_part(e, ' ', 1), 2) || ' ' || upper(left(split_part(e, ' ', 2), 1)) || substr(split_part(e, ' ', 2), 2) AS entity FROM j QUALIFY row_number() OVER (PARTITION BY value_id ORDER BY pos) = 1"""
 
 

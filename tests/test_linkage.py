@@ -69,3 +69,41 @@ def test_columns_are_found_by_loose_names():
     assert T.find_column(["X_Label", "xlabel", "Value"], ["X Label"]) == "xlabel"
     assert T.find_column(["my_value_col"], ["value"]) == "my_value_col"
     assert T.find_column(["a"], ["b"]) is None
+
+
+def test_substring_and_token_keys_lose_no_pair(spark):
+    """Keyed joins give what comparing all pairs gives, for short, blank and repeated texts."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from sparkloom.operators import keys as K
+
+    r = random.Random(6)
+    texts = ["", "a", "ab", "abc", "abcd"] + ["".join(r.choice("ab c") for _ in range(r.randrange(1, 9))).strip() for _ in range(60)]
+    left = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)], "k int, i int, a string")
+    right = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts[::-1])], "k int, j int, b string")
+    got = [(x.i, x.j) for x in K.mutually_contained(left, right, ["k"], "a", "b").collect()]
+    want = {(i, j) for i, x in enumerate(texts) for j, y in enumerate(texts[::-1]) if x and y and (x in y or y in x)}
+    assert len(got) == len(want) and set(got) == want
+    words = [" ".join(r.choice("pqrst") for _ in range(r.randrange(1, 8))) for _ in range(60)]
+    prefix = dict(spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string").select("i", K.token_prefix(F.col("w"), 0.8)).collect())
+    for i, x in enumerate(words):
+        for j, y in enumerate(words):
+            p, q = set(x.split()), set(y.split())
+            if len(p & q) >= 0.8 * len(p | q):
+                assert set(prefix[i]) & set(prefix[j])
+
+
+def test_scored_linkage_equals_all_pairs(spark):
+    import itertools
+
+    from sparkloom.operators import linkage as L
+
+    rows = [("k", i, a, b, c) for i, (a, b, c) in enumerate(itertools.product(["x", "y", "", None], ["p", "q"], ["1", ""]))]
+    sides = [spark.createDataFrame(rows, f"block string, {n} int, s1 string, s2 string, s3 string") for n in "ab"]
+    points = {"s1": 15, "s2": 15, "s3": 5}
+    for least in (60, 70, 75, 90):
+        out = {(r.a, r.b): r.score for r in L.scored_linkage(*sides, "block", points, 55, least).collect()}
+        score = lambda x, y: 55 + sum(n for n, p, q in zip(points.values(), x[2:], y[2:]) if p and p == q)
+        assert out == {(x[1], y[1]): score(x, y) for x in rows for y in rows if score(x, y) >= least}
