@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import comparison_text, given, number, phrase_around
+from ..sources.stage import written
 from .tables import sequence_ids
 
 #: States that rows and evidence are given.
@@ -64,11 +65,12 @@ def evidence_tables(rows: DataFrame, seeds: list[str], columns: list[str], value
     cell = F.element_at(F.create_map(*[x for c in columns for x in (F.lit(c), given(F.col(c)))]), F.col("_seed"))
     kind = evidence_type(F.col("_seed"), value_columns, block_columns)
     typed = with_seeds.withColumn("_kind", kind).withColumn("_text", F.when(F.col("_kind").startswith("excel"), given(F.col("block"))).otherwise(phrase_around(F.col("evidence_text"), cell)))
+    typed = written(typed)  # phrases are cut once
     blank = F.col("_text") == ""
     state = F.when(~blank, F.col("_kind")).when(F.col("manual_required"), PLACEHOLDER).otherwise("inferred_from_context")
     typed = typed.withColumn("evidence_type", state).withColumn("evidence_text_exact", F.left(F.when(blank, given(F.col("reason"))).otherwise(F.col("_text")), F.lit(500)))
-    low = comparison_text(F.col("evidence_text_exact"))
-    by_rule = F.flatten(F.array(*[F.when(F.exists(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(low, t)), F.array(*[F.lit(c) for c in of])).otherwise(F.array().cast("array<string>")) for of, terms in rules]))
+    named_by = lambda low: F.flatten(F.array(*[F.when(F.exists(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(low, t)), F.array(*[F.lit(c) for c in of])).otherwise(F.array().cast("array<string>")) for of, terms in rules]))
+    by_rule = F.transform(F.array(comparison_text(F.col("evidence_text_exact"))), named_by)[0]
     by_kind = F.when(F.col("evidence_type") == "excel_block", F.array(*[F.lit(c) for c in block_columns])).otherwise(F.array().cast("array<string>"))
     named = F.array_intersect("_filled", F.concat(by_rule, by_kind))
     support = (
@@ -77,7 +79,7 @@ def evidence_tables(rows: DataFrame, seeds: list[str], columns: list[str], value
     )
     key = ["item_id", "evidence_text_exact", "evidence_type", "pdf", "page", "image", "block"]
     pieces = typed.select("row_id", "entity", "confidence", "manual_required", *[given(F.col(c)).alias(c) if c != "item_id" else F.col(c) for c in key], support.alias("columns"), F.array_position(F.array(*[F.lit(c) for c in [*seeds, *columns]]), F.col("_seed")).alias("_nth"))
-    pieces = pieces.filter(F.size("columns") > 0)
+    pieces = written(pieces.filter(F.size("columns") > 0))
     first = pieces.groupBy(*key).agg(F.min(F.struct("row_id", "_nth")).alias("_at"))
     evidence = sequence_ids(first, ["_at"], prefix, 6, "evidence_id").drop("_at")
     linked = pieces.join(evidence, key)

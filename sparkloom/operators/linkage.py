@@ -26,7 +26,11 @@ OVERLAP = 0.8
 
 def cells(payload: str, columns: str) -> Column:
     """Normalised values of the named columns of a payload map; a missing column is empty."""
-    return F.transform(F.col(columns), lambda c: matcher_text(F.coalesce(F.try_element_at(F.col(payload), c), F.lit(""))))
+    return _cells(payload, F.col(columns))
+
+
+def _cells(payload: str, columns: Column) -> Column:
+    return F.transform(columns, lambda c: matcher_text(F.coalesce(F.try_element_at(F.col(payload), c), F.lit(""))))
 
 
 def value_of(payload: str, column: str) -> Column:
@@ -121,20 +125,14 @@ def linked_pairs(sources: DataFrame, targets: DataFrame, plans: DataFrame, stric
     head = head.join(pairs_of, "partition_key")
     s = sources.select("partition_key", F.col("id").alias("source_id"), F.col("payload").alias("sp")).join(head, "partition_key")
     s = s.withColumn("sc", F.when(F.col("k").isNotNull(), cells("sp", "k.source_columns"))).withColumn("s_keys", _source_keys(F.col("sc"))).drop("k", "sc")
-    t = targets.select("partition_key", F.col("id").alias("target_id"), F.col("payload").alias("tp")).join(first, "partition_key", "left")
+    s = s.withColumn("s_cells", F.transform("rels", lambda r: _cells("sp", r["source_columns"])))  # once a row, not once a pair
+    t = targets.select("partition_key", F.col("id").alias("target_id"), F.col("payload").alias("tp")).join(pairs_of.withColumnRenamed("rels", "t_rels"), "partition_key").join(first, "partition_key", "left")
     t = t.withColumn("tc", F.when(F.col("k").isNotNull(), cells("tp", "k.target_columns"))).withColumn("t_keys", _target_keys(F.col("tc"))).drop("k", "tc")
+    t = t.withColumn("t_cells", F.transform("t_rels", lambda r: _cells("tp", r["target_columns"]))).drop("t_rels")
     both = keyed_join(s, t, ["partition_key"], "s_keys", "t_keys")
     met = F.transform(
         "rels",
-        lambda r: F.struct(
-            relation_matches(
-                F.transform(r["source_columns"], lambda c: matcher_text(F.coalesce(F.try_element_at("sp", c), F.lit("")))),
-                F.transform(r["target_columns"], lambda c: matcher_text(F.coalesce(F.try_element_at("tp", c), F.lit("")))),
-                r["pairs"],
-                r["mode"],
-            ).alias("met"),
-            r["required"].alias("required"),
-        ),
+        lambda r, i: F.struct(relation_matches(F.get("s_cells", i), F.get("t_cells", i), r["pairs"], r["mode"]).alias("met"), r["required"].alias("required")),
     )
     both = both.withColumn("met", met)
     fixed = F.coalesce("fixed", F.array().cast("array<struct<column:string,value:string>>"))
