@@ -11,9 +11,11 @@ _own: list[str] = []
 
 
 def fresh_path(spark: SparkSession) -> str:
-    """A path in the shared folder that spark.checkpoint.dir names, or in one of our own where it is unset."""
+    """A path in the shared folder that spark.checkpoint.dir names; a local session, which has one machine, may do without."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _own:
             _own.append("file://" + tempfile.mkdtemp(prefix="spark-stage-", dir="/tmp"))
         root = _own[0]
