@@ -25,23 +25,34 @@ SUPPORT = 2
 GENERALISE, REMOVE = 0.75, 0.95
 
 _SPAN = "array<struct<start:int,end:int,value:string>>"
+#: Matches that are walked at a time.
+_WALK = 128
 _MASK = (1 << 63) - 1
 
 
 def found_spans(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches as (start, end, value), in code points, end exclusive."""
+    """Leftmost non-overlapping matches as (start, end, value), in code points, end exclusive.
+
+    Places are running sums. An array that grows by one is copied each time, so matches are walked in blocks,
+    and only the list of blocks grows: a text of very many matches takes time in proportion.
+    """
+    empty = F.array().cast(_SPAN)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    walked = F.aggregate(
-        F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, b: F.struct(m.alias("m"), F.char_length(b).alias("gap"))),
-        F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.char_length(x["m"])).alias("at"),
-            F.array_append(acc["out"], F.struct((acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + F.char_length(x["m"])).alias("end"), x["m"].alias("value"))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(text.rlike(pattern), walked).otherwise(F.array().cast(_SPAN))
+    pieces = F.zip_with(found, F.slice(F.split(text, pattern, -1), 1, F.size(found)), lambda m, b: F.struct(m.alias("m"), F.char_length(b).alias("gap")))
+
+    def step(acc: Column, x: Column) -> Column:
+        start, end = acc["at"] + x["gap"], acc["at"] + x["gap"] + F.char_length(x["m"])
+        return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"))).alias("out"))
+
+    def block(acc: Column, part: Column) -> Column:
+        walked = F.aggregate(part, F.struct(acc["at"].alias("at"), empty.alias("out")), step)
+        return F.transform(F.array(walked), lambda w: F.struct(w["at"].alias("at"), F.array_append(acc["outs"], w["out"]).alias("outs")))[0]
+
+    def walk(all_: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / _WALK).cast("int")), lambda i: F.slice(all_, i * _WALK + 1, F.lit(_WALK)))
+        return F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("outs")), block, lambda acc: F.flatten(acc["outs"]))
+
+    return F.when(text.rlike(pattern), F.transform(F.array(pieces), walk)[0]).otherwise(empty)
 
 
 def _digits(value: Column) -> Column:
@@ -113,7 +124,7 @@ def disclosing_terms(near: DataFrame, texts: DataFrame) -> DataFrame:
     tied = pairs.join(entities, "entity").join(of_term, "term")
     pmi = F.log2(F.col("both") * F.lit(float(max(1, total))) / (F.col("of_entity") * F.greatest("of_term", "both")))
     own = F.log2(F.lit(float(max(2, total))) / F.col("of_entity"))
-    return tied.withColumn("share", F.when(own > 0, pmi / own).otherwise(0.0)).filter(F.col("share") >= GENERALISE).select("entity", "term", "share", "both")
+    return save(tied.withColumn("share", F.when(own > 0, pmi / own).otherwise(0.0)).filter(F.col("share") >= GENERALISE).select("entity", "term", "share", "both"))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:

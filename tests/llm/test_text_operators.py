@@ -246,3 +246,11 @@ def test_pipeline_on_small_tables(spark):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
     assert last.count() == docs.count() == last.select("doc_id").distinct().count()
     assert F.col("doc_id") is not None
+
+
+def test_spans_of_a_text_of_many_matches(spark):
+    """Places at and beyond the ends of the blocks that matches are walked in."""
+    for n in (1, 127, 128, 129, 20_000):
+        text = " é ".join(f"a{i}@b{i % 7}.ex" for i in range(n))
+        got = spark.createDataFrame([(text,)], "t string").select(pii.found_spans(F.col("t"), pii.PATTERNS["email"]).alias("s")).first().s
+        assert [(x.start, x.end, x.value) for x in got] == [(m.start(), m.end(), m[0]) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text)]
