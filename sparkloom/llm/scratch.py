@@ -17,11 +17,13 @@ _own_root: str | None = None
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; one of our own only where none is set."""
+    """The shared folder that the cluster names; a local session, which has one machine, may do without."""
     global _own_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _own_root is None:
         _own_root = "file://" + tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
     return _own_root
