@@ -99,24 +99,50 @@ def test_leaks_of_items_with_one_word_endings(spark):
         assert question + answer == text and len(answer.split()) >= min(10, n - n // 2)
 
 
-def test_retrieval_equals_scoring_all_items(spark):
-    """Blocks and bounds skip no passage and item at or above the threshold."""
+@pytest.mark.parametrize("cells", [decontaminate.CELLS, 1])
+def test_retrieval_equals_scoring_all_items(spark, monkeypatch, cells):
+    """Bounds skip no passage and item at or above the threshold, and let none below pass; items may be of any length."""
     import pyarrow as pa
 
-    texts = [prose(25, 100 + i) for i in range(37)]
+    monkeypatch.setattr(decontaminate, "CELLS", cells)
+    texts = [prose(25 if i % 9 else 150, 100 + i) for i in range(37)]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
-    (index, longest), = decontaminate.indexes(items)
-    docs = [prose(150, 7), texts[5] + " " + prose(40, 8), prose(200, 9) + " " + texts[30]]
-    part = pa.RecordBatch.from_pydict({"text": docs})
-    for threshold in (0.3, 0.6):
-        got = {(d, i) for d, i, *_ in decontaminate.retrieved(part, index, 64, threshold)}
-        want = set()
-        for d, t in enumerate(docs):
-            h = decontaminate.words(pa.array([t]), True, True).hash
-            for a in range(0, len(h), 64):
-                terms = np.isin(index.terms, h[a : a + 128])
-                want |= {(d, i) for i in np.flatnonzero(index.weight[terms].sum(axis=0) >= threshold + 1e-6)}
-        assert want <= got
+    (found,) = decontaminate.indexes(items)
+    assert sorted(index.span for index in found) == [64, 256]
+    docs = [prose(150, 7), texts[5] + " " + prose(40, 8), prose(200, 9) + " " + texts[30], "", prose(500, 10) + " " + texts[9] + " " + prose(300, 11), "zzz"]
+    tokens = [t.split() for t in texts]
+    mean = sum(map(len, tokens)) / len(tokens)
+    weights = []
+    for t in tokens:
+        w = {}
+        for x in set(t):
+            df, tf = sum(x in u for u in tokens), t.count(x)
+            w[x] = math.log(1 + (len(tokens) - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(t) / mean))
+        weights.append({x: v / sum(w.values()) for x, v in w.items()})
+    words = decontaminate.words(pa.array(docs), True, True)
+    for threshold in (0.3, 0.45, 0.6):
+        got, want = {}, {}
+        for index in found:
+            for d, i, score, *_ in decontaminate.retrieved(words, index, threshold):
+                got[d, index.item_ids[i]] = max(score, got.get((d, index.item_ids[i]), 0))
+        for i, w in enumerate(weights):
+            span = 64 if len(tokens[i]) <= 64 else 256
+            for d, t in enumerate(docs):
+                t = t.split()
+                best = max(sum(v for x, v in w.items() if x in t[a : a + 2 * span]) for a in range(0, len(t) or 1, span))
+                if best >= threshold:
+                    want[d, i] = best
+        assert len(want) >= 3 and got == pytest.approx(want)
+
+
+def test_other_items_do_not_change_a_passage(spark):
+    """A very long item, and items dealt over many broadcasts, leave the hits of the others as they are."""
+    items = [(i, prose(30, 700 + i)) for i in range(12)]
+    docs = spark.createDataFrame([(i, prose(90, 800 + i) + " " + items[i % 12][1] + " " + prose(90, 900 + i)) for i in range(24)], "doc_id long, text string")
+    few, more = (spark.createDataFrame(rows, "item_id long, text string") for rows in (items, [*items, (99, prose(3000, 5))]))
+    of = lambda rows: {(r.doc_id, r.item_id) for r in rows.collect()}
+    assert {(i, i % 12) for i in range(24)} <= of(decontaminate.contamination(docs, few)) == of(decontaminate.contamination(docs, more))
+    assert len(list(decontaminate.indexes(few, 100))) > 1
 
 
 def test_junk_is_rejected_and_prose_is_kept(spark, odd_docs, no_docs):
