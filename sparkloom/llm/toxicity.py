@@ -17,8 +17,11 @@ SAMPLE = 24_000
 #: Terms are hashed to so many places.
 PLACES = 1 << 20
 FACTORS = 4
-#: Terms that the machine weighs: those whose classes differ most in the sample.
+#: Terms that the machine weighs, beside those of pairs: those whose classes differ most in the sample.
 TERMS = 4096
+#: So many of the terms nearest to standing in half of the sample are tried in pairs; a pair's own gain, beyond
+#: that of its terms, must be this much for the two to be weighed. The figures come from the sample, not the corpus.
+PAIRED, PAIR_GAIN = 1024, 20.0
 _STRIP = "\"'.,;:!?()[]{}<>*&%$#|«»“”¡¿-_/\\"
 
 
@@ -69,8 +72,42 @@ def machine_scores(rows: np.ndarray, cols: np.ndarray, n: int, bias: float, w: n
     return bias + linear + 0.5 * ((total * total).sum(1) - squares)
 
 
+def telling_pairs(docs: list[np.ndarray], toxic: np.ndarray, all_: np.ndarray) -> np.ndarray:
+    """Terms of pairs whose four cases tell the classes apart by more than the two terms do each for itself."""
+    n = len(docs)
+    tried = np.sort(np.argsort(-all_ * (n - all_), kind="stable")[:PAIRED])
+    tried = tried[(all_[tried] >= 3) & (all_[tried] < n)]
+    column = np.full(PLACES, -1, np.int32)
+    column[tried] = np.arange(len(tried))
+    both = {1: np.zeros((len(tried), len(tried))), 0: np.zeros((len(tried), len(tried)))}
+    for kind in both:
+        at = np.flatnonzero(toxic == kind)
+        for i in range(0, len(at), 1000):
+            x = np.zeros((len(at[i : i + 1000]), len(tried)), np.float32)
+            for k, d in enumerate(at[i : i + 1000]):
+                c = column[docs[d]]
+                x[k, c[c >= 0]] = 1
+            both[kind] += x.T @ x
+    sizes = {1: toxic.sum(), 0: n - toxic.sum()}
+
+    def likelihood(on: np.ndarray, off: np.ndarray) -> np.ndarray:
+        total = np.maximum(on + off, 1e-9)
+        return on * np.log(np.maximum(on, 1e-9) / total) + off * np.log(np.maximum(off, 1e-9) / total)
+
+    def cases(m: np.ndarray, size: float) -> list[np.ndarray]:
+        a = np.diag(m)
+        return [m, a[:, None] - m, a[None, :] - m, size - a[:, None] - a[None, :] + m]
+
+    joint = sum(likelihood(on, off) for on, off in zip(cases(both[1], sizes[1]), cases(both[0], sizes[0])))
+    on, off = np.diag(both[1]), np.diag(both[0])
+    single = likelihood(on, off) + likelihood(sizes[1] - on, sizes[0] - off)
+    own = joint - single[:, None] - single[None, :] + likelihood(sizes[1], sizes[0])
+    np.fill_diagonal(own, 0)
+    return tried[(own > PAIR_GAIN).any(axis=1)]
+
+
 def fit(docs: list[np.ndarray], toxic: np.ndarray, epochs: int = 12, seed: int = 7) -> dict:
-    """Choose the telling terms, then fit weights and factors by AdaGrad on mini-batches. Learns nothing from no rows."""
+    """Choose terms that tell, alone or in pairs, then fit weights and factors by AdaGrad on mini-batches. Learns nothing from no rows."""
     n = len(docs)
     if n == 0 or toxic.min() == toxic.max():
         rate = (toxic.sum() + 0.5) / (n + 1)
@@ -89,7 +126,7 @@ def fit(docs: list[np.ndarray], toxic: np.ndarray, epochs: int = 12, seed: int =
     gain = on * np.log(p1 / p) + off * np.log(p0 / p) + (pos - on) * np.log((1 - p1).clip(1e-9) / (1 - p).clip(1e-9)) + (neg - off) * np.log((1 - p0).clip(1e-9) / (1 - p).clip(1e-9))
     gain[all_ < 3] = 0
     chosen = np.sort(np.argsort(-gain, kind="stable")[:TERMS])
-    chosen = chosen[gain[chosen] > 4]
+    chosen = np.union1d(chosen[gain[chosen] > 4], telling_pairs(docs, toxic, all_))
     wanted = np.full(PLACES, -1, np.int32)
     wanted[chosen] = np.arange(len(chosen))
     m = max(1, len(chosen))
@@ -145,8 +182,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         model = fit([docs[i] for i in order], np.array([toxic[i] for i in order], float))
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (np.float64(model["bias"]).tobytes(), model["wanted"].tobytes(), model["w"].tobytes(), model["v"].tobytes())], ["bias", "wanted", "w", "v"])
 
-    terms = few.mapInArrow(hashed, "terms binary, toxic int").coalesce(1)
-    row = terms.mapInArrow(fitted, "bias binary, wanted binary, w binary, v binary").first()
+    terms = save(few.mapInArrow(hashed, "terms binary, toxic int"))  # hashed where the texts lie
+    row = terms.coalesce(1).mapInArrow(fitted, "bias binary, wanted binary, w binary, v binary").first()
     return {
         "bias": float(np.frombuffer(row.bias, np.float64)[0]),
         "wanted": np.frombuffer(row.wanted, np.int32),

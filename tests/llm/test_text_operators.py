@@ -62,17 +62,20 @@ def test_toxic_documents_are_told_from_others(spark, odd_docs, no_docs):
     assert toxicity.toxicity(no_docs, labels).count() == 0
 
 
-def test_pairs_count_beyond_single_terms():
-    """Documents are toxic when two terms meet, which no sum of single weights tells."""
+@pytest.mark.parametrize("toxic", [lambda a, b: a == b, lambda a, b: a != b, lambda a, b: a and b])
+def test_pairs_count_beyond_single_terms(toxic):
+    """Documents are toxic as two terms meet, which no sum of single weights tells; other terms say nothing."""
     r = random.Random(2)
     docs, y = [], []
-    for _ in range(1500):
+    for _ in range(3000):
         a, b = r.random() < 0.5, r.random() < 0.5
-        docs.append({3, *([11] if a else []), *([12] if b else [])})
-        y.append(float(a == b))
-    w, v = np.zeros(3), np.array([[0.0] * 4, [1.5, 0, 0, 0], [1.5, 0, 0, 0]])
-    rows, cols = np.array([0, 0]), np.array([1, 2])
-    assert toxicity.machine_scores(rows, cols, 1, 0.0, w, v)[0] == pytest.approx(2.25)
+        others = [20 + i for i in range(40) if r.random() < 0.3]
+        docs.append(np.array([3, *([11] if a else []), *([12] if b else []), *others], np.int32))
+        y.append(float(toxic(a, b)))
+    model = toxicity.fit(docs[:2000], np.array(y[:2000]))
+    few = [model["wanted"][d][model["wanted"][d] >= 0] for d in docs[2000:]]
+    z = toxicity.machine_scores(np.repeat(np.arange(1000), [len(d) for d in few]), np.concatenate(few), 1000, model["bias"], model["w"], model["v"])
+    assert np.mean((z >= 0) == np.array(y[2000:])) > 0.95
 
 
 def test_leaked_items_are_found_and_others_left_alone(spark, odd_docs, no_docs):
