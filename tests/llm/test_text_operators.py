@@ -187,11 +187,50 @@ def test_one_outlier_does_not_set_a_bound(spark):
     assert all(kept[i] for i in [*range(160), *range(400, 460)])
 
 
+def test_trusted_text_has_a_bound_of_its_own(spark):
+    rows = [(i, "x" * (50 + i)) for i in range(200)] + [(300, "y" * (quality.LONGEST_TRUSTED + 1)), (301, None), (5, "x" * 55)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    total = sum(len(t) for _, t in rows[:200])
+    sizes = {most: [len(r.text) for r in quality._within(texts, most).collect()] for most in (0, 5000, total)}
+    assert sizes[0] == [] and 4500 < sum(sizes[5000]) <= 5000 and sorted(sizes[total]) == list(range(50, 250))
+
+
+def test_kneser_ney_equals_its_definition(spark):
+    """Counts, discounts and interpolation in plain Python, over bytes with padding before each text."""
+    texts = [prose(30, i) for i in range(4)] + ["alpha", "", "é"]
+    grams, contexts = quality.kneser_ney(spark.createDataFrame([(t,) for t in texts], "text string"), 3)
+    g, c = quality._collected(grams, "logp"), quality._collected(contexts, "logw")
+    model = {n: (quality.Shelf(*g[n], 0.0), quality.Shelf(*c[n], 0.0)) for n in (1, 2, 3)}
+    padded = [bytes([10, 10]) + t.encode() for t in texts]
+    counts = {3: Counter(t[i - 2 : i + 1] for t in padded for i in range(2, len(t)))}
+    for n in (2, 1):
+        counts[n] = Counter(k[1:] for k in counts[n + 1])
+
+    def p(gram):
+        n = len(gram)
+        if n == 0:
+            return 1 / 256
+        few = [max(1, sum(v == k for v in counts[n].values())) for k in (1, 2, 3, 4)]
+        y = few[0] / (few[0] + 2 * few[1])
+        d = [min(max(k - (k + 1) * y * few[k] / few[k - 1], 0.05), k - 0.05) for k in (1, 2, 3)]
+        same = {k: v for k, v in counts[n].items() if k[:-1] == gram[:-1]}
+        if not same:
+            return p(gram[1:])
+        total, own = sum(same.values()), counts[n].get(gram, 0)
+        return (own - (d[min(own, 3) - 1] if own else 0) + sum(d[min(v, 3) - 1] for v in same.values()) * p(gram[1:])) / total
+
+    for text in (texts[0][:60], "alphb", "zzz", texts[2][5:40].upper()):
+        data = np.frombuffer(text.encode(), np.uint8)
+        got = quality.log_probabilities(quality.gram_keys(data, np.array([0, len(data)]), 3), model)
+        t = bytes([10, 10]) + text.encode()
+        assert got == pytest.approx([math.log(p(t[i - 2 : i + 1])) for i in range(2, len(t))], abs=1e-3)
+
+
 def test_kneser_ney_probabilities_add_up(spark):
     texts = spark.createDataFrame([(prose(200, i),) for i in range(5)], "text string")
-    grams, contexts, order = quality.kneser_ney(texts, 3)
+    grams, contexts = quality.kneser_ney(texts, 3)
     g, c = quality._collected(grams, "logp"), quality._collected(contexts, "logw")
-    model = {n: (quality.Shelf(*g[n], 0.0), quality.Shelf(*c[n], 0.0)) for n in range(1, order + 1)}
+    model = {n: (quality.Shelf(*g[n], 0.0), quality.Shelf(*c[n], 0.0)) for n in (1, 2, 3)}
     for context in (b"al", b"zz", b"\n\n", b"a "):
         keys = np.array([(context[0] << 16) | (context[1] << 8) | x for x in range(256)])
         assert np.exp(quality.log_probabilities(keys, model).astype(float)).sum() == pytest.approx(1, abs=1e-3)
