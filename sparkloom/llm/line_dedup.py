@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,7 +114,9 @@ def banded_distance(a: str, b: str, most: int) -> int:
 
 
 def _flat(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"carry_{c}") for c in carry])
+    """id (the row's id and a hash of its text, so that rows that share an id are told apart), text, and columns to carry."""
+    own = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("h"))
+    return docs.select(own.alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"carry_{c}") for c in carry])
 
 
 def _cut(part: pa.RecordBatch, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Spans]:
@@ -304,7 +307,7 @@ def line_links(flat: DataFrame, edits: int = EDITS, counted: bool = True) -> tup
 
 
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, counted: bool = True) -> DataFrame:
-    """(id, line, first_id, first_line, links) for every line that has an equal or near one; links is null when not counted."""
+    """(id, line, first_id, first_line, links) for every line that has an equal or near one, ids as _flat makes them; links is null when not counted."""
     flat = _flat(docs, id_col, text_col)
     where = save(occurrences(flat))
     degree, found = line_links(flat, edits, counted)
@@ -323,35 +326,43 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Lines are what newlines part. Lines that are equal and not empty, and lines of at least LEAST_NEAR
     characters within ``edits`` edits of each other directly or through others, are one class; the one with
-    the smallest (id, line) stays and the others go. Empty lines always stay. classes has, for each line in a class of two or
+    the smallest (id, text hash, line) stays and the others go. Empty lines always stay. classes has, for each line in a class of two or
     more, its number and the class's first place; n_links counts, for those lines, the other distinct lines
-    within ``edits`` of each (null when not ``counted``, which compares fewer pairs). Null texts stay null, with no lines; documents stay, even when no line is left. Rows that repeat an id
-    count their lines as one document's, so a line that stays for that id stays in each of them. Null ids
-    sort first. The columns named in carry come along as carry_<name>; others are not read.
+    within ``edits`` of each (null when not ``counted``, which compares fewer pairs). Null texts stay null, with no lines; documents stay, even when no line is left. Rows that
+    share an id, null or not, are documents of their own unless their texts are equal too; rows that are equal in both are alike, and a line that stays in one stays in each.
+    Null ids sort first. The columns named in carry come along as carry_<name>; others are not read. An empty table gives no rows.
     """
     told, flat = line_classes(docs, id_col, text_col, edits, counted), _flat(docs, id_col, text_col, carry)
-    per = told.groupBy("id").agg(F.collect_list(F.struct("line", "first_id", "first_line", "links")).alias("classes")).select(F.col("id").alias("_id"), "classes")
-    joined = flat.join(per, F.col("id").eqNullSafe(F.col("_id")), "left").select("id", "text", "classes", *[f"carry_{c}" for c in carry])
-    kind = flat.schema["id"].dataType.simpleString()
+    goes = (F.col("id") != F.col("first_id")) | (F.col("line") != F.col("first_line"))
+    told = told.select("id", "line", F.struct("line", F.col("first_id.id").alias("first_id"), "first_line", "links").alias("of"), F.when(goes, F.col("line")).alias("goes"))
+    per = told.groupBy("id").agg(F.sum("of.links").alias("n_links"), F.array_sort(F.collect_list("goes")).alias("removed"), F.collect_list("of").alias("classes"))
+    per = per.select(F.col("id.id").alias("_id"), F.col("id.h").alias("_h"), "n_links", "removed", "classes")
+    joined = flat.join(per, (F.col("id.h") == F.col("_h")) & F.col("id.id").eqNullSafe(F.col("_id")), "left")
+    joined = joined.select(F.col("id.id").alias("doc_id"), "text", "n_links", "removed", "classes", *[f"carry_{c}" for c in carry])
+    kind = joined.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
-            for own, text, classes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                lines = lines_of(text)
-                gone = sorted({c["line"] for c in classes or () if (c["first_id"], c["first_line"]) != (own, c["line"])})
-                lost = set(gone)
-                kept = "\n".join(x for i, x in enumerate(lines) if i not in lost)
-                for column, x in zip(out, (len(lines), len(lost), sum(c["links"] for c in classes or ()) if counted else None, gone, None if text is None else kept)):
-                    column.append(x)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.string()))), *batch.columns[2:]], ["doc_id", "n_lines", "n_removed", "n_links", "removed", "text", *batch.schema.names[2:]])
-
-    carried = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[3:])
+            count, lost, kept = [], [], []
+            for text, removed in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
+                lines, gone = lines_of(text), set(removed or ())
+                count.append(len(lines))
+                lost.append(len(gone))
+                kept.append(None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else text)
+            links = pc.fill_null(batch.column(2), 0) if counted else batch.column(2)
+            removed = pc.if_else(pc.is_null(batch.column(3)), pa.scalar([], batch.column(3).type), batch.column(3))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count, pa.int64()), pa.array(lost, pa.int64()), links, removed, pa.array(kept, pa.string()), *batch.columns[4:]], ["doc_id", "n_lines", "n_removed", "n_links", "removed", "text", *batch.schema.names[4:]])
+
+    carried = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[5:])
     return joined.mapInArrow(run, f"doc_id {kind}, n_lines long, n_removed long, n_links long, removed array<int>, text string, classes array<struct<line:int,first_id:{kind},first_line:int,links:long>>{carried}")
 
 
 def without_repeated_lines(spark, docs: DataFrame) -> DataFrame:
-    """docs with the lines that stay as their texts, and n_chars to match where there is such a column; all rows stay."""
+    """docs with the lines that stay as their texts, and n_chars to match where there is such a column; all rows stay.
+
+    Null texts stay null. Rows with a null or a repeated id are documents of their own; of rows that are equal in
+    id and text, each keeps what one keeps. An empty table gives an empty one; columns may have any names.
+    """
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     out = line_dedup(docs, carry=others, counted=False)
     back = {c: F.col(f"carry_{c}") for c in others} | {"doc_id": F.col("doc_id"), "text": F.col("text")}

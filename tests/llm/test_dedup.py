@@ -200,10 +200,41 @@ def test_lines_that_nearly_repeat_go(spark):
     assert {i: x.text for i, x in out.items()} == want
 
 
-def test_line_stage_keeps_rows_and_columns(spark, odd_docs):
-    docs = odd_docs.filter("doc_id is not null and doc_id <> 7")
-    out = line_dedup.without_repeated_lines(spark, docs)
-    assert out.columns == docs.columns and out.count() == docs.count()
+def test_line_stage_keeps_rows_and_columns(spark, odd_docs, no_docs):
+    out = line_dedup.without_repeated_lines(spark, odd_docs)
+    assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
+    assert line_dedup.without_repeated_lines(spark, no_docs).collect() == []
+
+
+def _kept_lines(rows):
+    """rows (id, text): texts without lines that stand before, by (id with null first, row); texts equal in id and text are one."""
+    first, out = {}, {}
+    for at, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0], r[1] is not None, hash_of(r[1]))):
+        kept = [l for n, l in enumerate((text or "").split("\n")) if not l or first.setdefault(l, (at, text, n)) == (at, text, n)]
+        out[at, text] = None if text is None else "\n".join(kept)
+    return sorted((str(i), str(out[i, t])) for i, t in rows)
+
+
+def hash_of(text):
+    import xxhash
+
+    h = xxhash.xxh64_intdigest((text or "").encode(), seed=42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def test_unique_lines_of_rows_that_share_an_id_stay(spark):
+    """A line of one row is not removed for what another row of the same id, or without one, holds in its place."""
+    cases = [
+        [(0, "a line that stands twice"), (1, "first\na line that stands twice"), (1, "other\nunique and must stay")],
+        [(None, "dup line of text\nunique A"), (None, "u\ndup line of text"), (None, "v\nunique B")],
+    ]
+    r = random.Random(3)
+    cases.append([(r.choice([None, 1, 2, 3]), "\n".join(r.choice("abcdefgh") * r.choice([1, 2]) for _ in range(r.randrange(1, 6)))) for _ in range(60)] + [(2, None), (None, ""), (2, "a"), (2, "a")])
+    for rows in cases:
+        docs = spark.createDataFrame([(i, t, 1, "x", -1, i, 7) for i, t in rows], "doc_id long, text string, line int, removed string, classes int, carry_x long, id int")
+        out = line_dedup.without_repeated_lines(spark, docs)
+        assert out.columns == docs.columns
+        assert sorted((str(x.doc_id), str(x.text)) for x in out.collect()) == _kept_lines(rows)
 
 
 def test_short_lines_that_repeat_go(spark):
