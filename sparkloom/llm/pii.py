@@ -25,8 +25,8 @@ SUPPORT = 2
 GENERALISE, REMOVE = 0.75, 0.95
 
 _SPAN = "array<struct<start:int,end:int,value:string>>"
-#: Matches that are walked at a time.
-_WALK = 128
+#: Matches that are walked at a time, and characters of a page of text.
+_WALK, _PAGE = 128, 1024
 _MASK = (1 << 63) - 1
 
 
@@ -105,6 +105,32 @@ def base_spans(text: Column) -> dict[str, Column]:
     return out
 
 
+def contexts(text: Column, base: Column) -> Column:
+    """For each base span: kind, value in lower case, what stands around it, where that begins, and the base spans that reach into it.
+
+    What stands around comes from the pages that hold it, and its spans from the blocks of spans that reach
+    into it, so that no span is compared with all others of a text.
+    """
+
+    def block(part: Column) -> Column:
+        spans = F.transform(part, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+        return F.struct(F.array_min(F.transform(part, lambda s: s["start"])).alias("low"), F.array_max(F.transform(part, lambda s: s["end"])).alias("high"), spans.alias("spans"))
+
+    pages = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PAGE}}}"), F.lit(0))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(base) - 1) / _WALK).cast("int")), lambda i: block(F.slice(base, i * _WALK + 1, F.lit(_WALK))))
+
+    def one(w: Column, s: Column) -> Column:
+        at = F.greatest(s["start"] - NEAR, F.lit(0))
+        till = at + s["end"] - s["start"] + 2 * NEAR
+        page = F.floor(at / _PAGE).cast("int")
+        held = F.array_join(F.slice(w["pages"], page + 1, F.floor(till / _PAGE).cast("int") - page + 1), "")
+        reaching = F.flatten(F.transform(F.filter(w["blocks"], lambda b: (b["low"] < till) & (b["high"] > at)), lambda b: F.filter(b["spans"], lambda x: (x["start"] < till) & (x["end"] > at))))
+        return F.struct(s["kind"].alias("kind"), F.lower(s["value"]).alias("value"), at.alias("at"), F.substring(held, at - page * _PAGE + 1, till - at).alias("around"), reaching.alias("base"))
+
+    # the array of one names what is worked out once for a text
+    return F.transform(F.array(F.struct(pages.alias("pages"), blocks.alias("blocks"))), lambda w: F.transform(base, lambda s: one(w, s)))[0]
+
+
 def _written(spans: Column) -> Column:
     return F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
 
@@ -141,14 +167,10 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spans = base_spans(F.col("text"))
     every = F.flatten(F.array(*[_as_kind(k, spans[k]) for k in KINDS]))
     marked = flat.select("id", "h", "text", every.alias("base"))
-    context = F.transform("base", lambda s: F.struct(
-        s["kind"].alias("kind"), F.lower(s["value"]).alias("value"), F.greatest(s["start"] - NEAR, F.lit(0)).alias("at"),
-        F.substring("text", F.greatest(s["start"] - NEAR, F.lit(0)) + 1, s["end"] - s["start"] + 2 * NEAR).alias("around"),
-    ))
-    marked = save(marked.select("id", "h", "base", F.when(F.size("base") > 0, context).alias("context")))
-    around = marked.filter("size(base) > 0").select("id", "h", "base", F.explode("context").alias("c"))
+    marked = save(marked.select("id", "h", "base", F.when(F.size("base") > 0, contexts(F.col("text"), F.col("base"))).alias("context")))
+    around = marked.select("id", "h", F.explode("context").alias("c"))
     near = around.select(
-        "id", "h", "base", F.concat_ws(":", "c.kind", "c.value").alias("entity"), F.col("c.at").alias("at"),
+        "id", "h", "c.base", F.concat_ws(":", "c.kind", "c.value").alias("entity"), F.col("c.at").alias("at"),
         F.explode(found_spans(F.col("c.around"), TERM)).alias("t"),
     ).select(
         "id", "h", "base", "entity", (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.end")).alias("end"), F.lower("t.value").alias("term")

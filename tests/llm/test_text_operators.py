@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -300,6 +301,62 @@ def test_terms_that_give_an_entity_away_are_marked(spark):
     assert out[100].sanitised == texts[6][1] and out[100].spans == ""
 
 
+def _disclosed(docs):
+    """Spans of disclosing terms of (id, text) by plain loops."""
+    near, spans = Counter(), {}
+    docs_of, entities = {}, {}
+    for i, text in docs:
+        for t in {w for w in re.split(r"[\W\d_]+", text.lower()) if len(w) >= 3}:
+            docs_of[t] = docs_of.get(t, 0) + 1
+        base = [(k, m.start(), m.end(), m.group()) for k, p in PATTERNS for m in re.finditer(p, text) if holds(k, m.group())]
+        found = set()
+        for k, a, b, v in base:
+            at = max(a - pii.NEAR, 0)
+            for m in re.finditer(r"[^\W\d_]{3,}", text[at : at + b - a + 2 * pii.NEAR]):
+                s, e = at + m.start(), at + m.end()
+                if not any(x < e and y > s for _, x, y, _ in base):
+                    found.add((f"{k}:{v.lower()}", m.group().lower(), s, e))
+        spans[i] = found
+        for pair in {f[:2] for f in found}:
+            near[pair] += 1
+        for entity in {f[0] for f in found}:
+            entities[entity] = entities.get(entity, 0) + 1
+    n, out = len(docs), {}
+    for i, found in spans.items():
+        best = {}
+        for entity, term, s, e in found:
+            if near[entity, term] >= pii.SUPPORT:
+                own = math.log2(n / entities[entity])
+                share = math.log2(near[entity, term] * n / (entities[entity] * docs_of[term])) / own if own > 0 else 0
+                best[s, e] = max(best.get((s, e), 0), share)
+        kinds = [("removed" if x >= pii.REMOVE else "general", s, e) for (s, e), x in best.items() if x >= pii.GENERALISE]
+        out[i] = [f"{k}:{s}:{e}" for k, s, e in sorted(kinds)]
+    return out
+
+
+def test_disclosed_terms_equal_plain_loops(spark):
+    r = random.Random(4)
+    people = [(f"Name{chr(97 + i) * 3}", f"u{i}@m.example", f"10.0.0.{i}") for i in range(8)]
+    docs = []
+    for i in range(90):
+        words = prose(40, i).split()
+        for name, mail, ip in r.sample(people, r.randrange(3)):
+            at = r.randrange(len(words))
+            words[at:at] = [r.choice([name, "Straße" + name, name + "ñ"]), mail, *([f"é{mail}", ip] if r.random() < 0.4 else [])]
+        docs.append((i, " ".join(words)))
+    docs += [(200 + i, " ".join(f"w{j}@a.bc Pat" for j in range(400))) for i in range(2)]
+    got = {x.doc_id: [s for s in x.spans.split(",") if s[:3] in ("gen", "rem")] for x in pii.personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    want = _disclosed(docs)
+    assert any(want.values()) and got == {i: sorted(w, key=lambda s: (s.split(":")[0], int(s.split(":")[1]))) for i, w in want.items()}
+
+
+def test_a_text_of_very_many_addresses_takes_seconds(spark):
+    text = " ".join(f"Name user{i}@mail{i % 50}.example" for i in range(20_000))
+    start = time.perf_counter()
+    row = pii.personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.n_email == 20_000 and time.perf_counter() - start < 90
+
+
 def test_pipeline_on_small_tables(spark):
     import corpus_pipeline
 
