@@ -334,11 +334,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     told, flat = line_classes(docs, id_col, text_col, edits, counted), _flat(docs, id_col, text_col, carry)
     goes = (F.col("id") != F.col("first_id")) | (F.col("line") != F.col("first_line"))
-    told = told.select("id", "line", F.struct("line", F.col("first_id.id").alias("first_id"), "first_line", "links").alias("of"), F.when(goes, F.col("line")).alias("goes"))
-    per = told.groupBy("id").agg(F.sum("of.links").alias("n_links"), F.array_sort(F.collect_list("goes")).alias("removed"), F.collect_list("of").alias("classes"))
-    per = per.select(F.col("id.id").alias("_id"), F.col("id.h").alias("_h"), "n_links", "removed", "classes")
+    told = told.select(F.col("id.id").alias("_id"), F.col("id.h").alias("_h"), F.struct("line", F.col("first_id.id").alias("first_id"), "first_line", "links", goes.alias("goes")).alias("of"))
+    per = told.groupBy("_id", "_h").agg(F.collect_list("of").alias("of"))
     joined = flat.join(per, (F.col("id.h") == F.col("_h")) & F.col("id.id").eqNullSafe(F.col("_id")), "left")
-    joined = joined.select(F.col("id.id").alias("doc_id"), "text", "n_links", "removed", "classes", *[f"carry_{c}" for c in carry])
+    links = F.aggregate("of", F.lit(0).cast("long"), lambda n, x: n + x["links"])
+    removed = F.array_sort(F.transform(F.filter("of", lambda x: x["goes"]), lambda x: x["line"]))
+    joined = joined.select(F.col("id.id").alias("doc_id"), "text", links.alias("n_links"), removed.alias("removed"), F.transform("of", lambda x: x.dropFields("goes")).alias("classes"), *[f"carry_{c}" for c in carry])
     kind = joined.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
