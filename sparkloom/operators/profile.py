@@ -24,8 +24,11 @@ def partition_schema(rows: DataFrame, values: int = 50) -> DataFrame:
     return ranked.groupBy("partition_key", "column").agg(F.sum("n").alias("non_empty"), F.count("*").alias("distinct"), F.transform(F.array_sort(F.collect_list(kept)), lambda x: x["value"]).alias("values"))
 
 
-def ranked_columns(rows: DataFrame, most: int, sample: int = 300) -> DataFrame:
-    """Per partition, the columns most likely to identify rows, from names and the first rows: partition_key, column, score, rank."""
+def ranked_columns(rows: DataFrame, most: int, sample: int = 300, pool: DataFrame | None = None) -> DataFrame:
+    """Per partition, the columns most likely to identify rows, from names and the first rows: partition_key, column, score, rank.
+
+    pool: partition_key, column, place of the columns to rank; ties then go by place, else by name.
+    """
     first = rows.withColumn("_n", F.row_number().over(Window.partitionBy("partition_key").orderBy("pos"))).filter(F.col("_n") <= sample)
     total = first.groupBy("partition_key").agg(F.count("*").alias("total"))
     cells = first.select("partition_key", F.explode("payload").alias("column", "value")).filter(F.trim("value") != "")
@@ -37,7 +40,10 @@ def ranked_columns(rows: DataFrame, most: int, sample: int = 300) -> DataFrame:
         + F.when((d > 1) & (d <= 80), 2.0).otherwise(0.0) - F.when(d > 120, 2.0).otherwise(0.0) - F.when((ratio > 0.8) & (d > 20), 4.0).otherwise(0.0) - F.char_length("name") / 100
     )
     scored = per.withColumn("score", score)
-    return scored.withColumn("rank", F.row_number().over(Window.partitionBy("partition_key").orderBy(F.desc("score"), "column"))).filter(F.col("rank") <= most).select("partition_key", "column", "score", "rank")
+    if pool is not None:
+        scored = scored.join(pool.select("partition_key", "column", "place"), ["partition_key", "column"])
+    by = Window.partitionBy("partition_key").orderBy(F.desc("score"), "column" if pool is None else "place")
+    return scored.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= most).select("partition_key", "column", "score", "rank", *(["place"] if pool is not None else []))
 
 
 def same_name_relations(sources: DataFrame, targets: DataFrame) -> DataFrame:
@@ -47,21 +53,23 @@ def same_name_relations(sources: DataFrame, targets: DataFrame) -> DataFrame:
     return s.join(t, ["partition_key", "key"]).select("partition_key", F.col("column").alias("source_column"), "target_column")
 
 
-def disjoint_relations(candidates: DataFrame) -> DataFrame:
+def disjoint_relations(candidates: DataFrame, order: str | None = None) -> DataFrame:
     """From candidate relations (partition_key, source_columns, target_column, score) the best ones that share no column.
 
-    The pick goes down a partition's candidates by score, then target and source columns; they are few (columns, not rows).
+    The pick goes down a partition's candidates by score, then the column ``order`` if one is named, then target and source columns; they are few (columns, not rows).
     """
-    best = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "target_column", "source_columns")))
+    ties = F.lit(0) if order is None else F.col(order)
+    best = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), ties.alias("ties"), "target_column", "source_columns")))
+    kind = "int" if order is None else candidates.schema[order].dataType.simpleString()
     none = F.array().cast("array<string>")
-    start = F.struct(none.alias("sources"), none.alias("targets"), F.array().cast("array<struct<s:double,target_column:string,source_columns:array<string>>>").alias("kept"))
+    start = F.struct(none.alias("sources"), none.alias("targets"), F.array().cast(f"array<struct<s:double,ties:{kind},target_column:string,source_columns:array<string>>>").alias("kept"))
 
     def step(acc, x):
         free = ~F.arrays_overlap(acc["sources"], x["source_columns"]) & ~F.array_contains(acc["targets"], x["target_column"])
         grown = F.struct(F.concat(acc["sources"], x["source_columns"]).alias("sources"), F.array_append(acc["targets"], x["target_column"]).alias("targets"), F.array_append(acc["kept"], x).alias("kept"))
         return F.when(free, grown).otherwise(acc)
 
-    typed = candidates.select("partition_key", "source_columns", "target_column", F.col("score").cast("double").alias("score"))
+    typed = candidates.select("partition_key", "source_columns", "target_column", F.col("score").cast("double").alias("score"), *([order] if order else []))
     picked = typed.groupBy("partition_key").agg(best.alias("all")).select("partition_key", F.explode(F.aggregate("all", start, step)["kept"]).alias("k"))
     return picked.select("partition_key", "k.source_columns", "k.target_column", (-F.col("k.s")).alias("score"))
 
