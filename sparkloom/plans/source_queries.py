@@ -33,13 +33,17 @@ ORACLES["S7_source_documents"] = ORACLES["S9_reference_files"]
 
 
 def _matrix(s, d):
+    """Suppliers as ragged sheets, one for each nation, some rows with a quoted cell of two lines."""
     path = fresh_path(s)
-    table(s, d, "supplier").select("s_suppkey", "s_name", F.when(F.col("s_suppkey") % 3 == 0, "").otherwise(F.col("s_nationkey").cast("string")).alias("n")).write.csv(path)
-    return S.matrix_cells(s, path).select("c", "value")
+    line = F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name", F.when(F.col("s_suppkey") % 3 == 0, F.lit('"a, ""b""\nc"')))
+    rows = table(s, d, "supplier").repartition("s_nationkey").sortWithinPartitions("s_nationkey", "s_suppkey")
+    rows.select("s_nationkey", line.alias("value")).write.partitionBy("s_nationkey").text(path)
+    return S.matrix_cells(s, f"{path}/*").select(F.regexp_extract("sheet", "s_nationkey=([0-9]+)", 1).alias("sheet"), "r", "c", "value")
 
 
 QUERIES["S4_matrix_cells"] = _matrix
-ORACLES["S4_matrix_cells"] = "SELECT 1 AS c, CAST(s_suppkey AS VARCHAR) AS value FROM supplier UNION ALL SELECT 2, s_name FROM supplier UNION ALL SELECT 3, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE CAST(s_nationkey AS VARCHAR) END FROM supplier"
+ORACLES["S4_matrix_cells"] = """WITH t AS (SELECT *, CAST(s_nationkey AS VARCHAR) AS sheet, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS INTEGER) AS r FROM supplier)
+SELECT sheet, r, 1 AS c, CAST(s_suppkey AS VARCHAR) AS value FROM t UNION ALL SELECT sheet, r, 2, s_name FROM t UNION ALL SELECT sheet, r, 3, 'a, "b"' || chr(10) || 'c' FROM t WHERE s_suppkey % 3 = 0"""
 
 
 def _listed(s, d):

@@ -27,6 +27,29 @@ def test_matrix_cells_make_bands(spark, tmp_path):
     assert parts.agg(F.sum(F.col("c2") - F.col("c1") + 1)).first()[0] == cells.filter("trim(value) <> ''").count()
 
 
+def test_rows_have_the_cells_that_they_have(spark, tmp_path):
+    (tmp_path / "w.csv").write_text('a,b\n1,2,3,4\n\n"x\ny","q ""z"", w"\n')
+    cells = sorted((r.r, r.c, r.value) for r in S.matrix_cells(spark, str(tmp_path / "w.csv")).collect())
+    assert cells == [(1, 1, "a"), (1, 2, "b"), (2, 1, "1"), (2, 2, "2"), (2, 3, "3"), (2, 4, "4"), (4, 1, "x\ny"), (4, 2, 'q "z", w')]
+    (tmp_path / "k.csv").write_bytes("한글,b".encode("cp949"))
+    assert [r.value for r in S.matrix_cells(spark, str(tmp_path / "k.csv")).orderBy("c").collect()] == ["한글", "b"]
+    (tmp_path / "e.csv").write_text("")
+    assert S.matrix_cells(spark, str(tmp_path / "e.csv")).count() == 0
+    assert S.text_table(spark, str(tmp_path / "e.csv")).columns == []
+
+
+def test_written_cells_come_back_whole(spark, tmp_path):
+    rows = [("a", "x\ny"), ("b", "q"), ('"', 'she said "no", twice\n\n'), ("", "\\"), (",", " s ")]
+    S.write_table(spark.createDataFrame(rows, "k string, v string"), str(tmp_path / "out"), ["k", "v"])
+    assert sorted(map(tuple, S.text_table(spark, str(tmp_path / "out")).collect())) == sorted(rows)
+
+
+def test_flat_entries_are_entries(spark):
+    body = '{"fig 1": {"source_page": 3, "x": {"p": 1}}, "fig 2": {"caption": null}, "dir": {"fig 3": {"path": "p"}, "note": "n", "_y": {}}, "fig 4": {"path": "p"}, "_z": {"caption": ""}, "n": 3}'
+    got = S.mapping_entries(spark.createDataFrame([(body,)], "body string"), "body").collect()
+    assert sorted((r.folder, r.item) for r in got) == [("", "fig 1"), ("", "fig 2"), ("dir", "fig 3")]
+
+
 def test_nested_and_listed_mappings(spark):
     nested = spark.createDataFrame([('{"f": {"i": {"p": 1}, "_x": {}}, "_g": {"j": {}}}',)], "body string")
     assert [(r.folder, r.item) for r in S.mapping_entries(nested, "body").collect()] == [("f", "i")]
