@@ -41,7 +41,7 @@ STAGES = [
     ("tokens", token_stage),
 ]
 
-#: Models, shingle links and merges have no SQL; tests/llm holds the stages against brute force.
+#: Models, shingle links and merges have no SQL; tests/llm holds the line stage and the operators of the others against brute force.
 ORACLE_SQL = None
 
 
