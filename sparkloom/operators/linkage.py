@@ -158,7 +158,7 @@ REASONS = (
 
 
 def resolve_conflicts(pairs: DataFrame) -> DataFrame:
-    """Pairs with candidate_id, accepted, manual_required and conflict_reason.
+    """Pairs with accepted, manual_required and conflict_reason.
 
     A source with several targets is refused first; then targets filled already and empty sources; then all
     sources of a target that would take several, where those refused before do not count.

@@ -135,9 +135,13 @@ def ingest_results(tasks: DataFrame, results: DataFrame, required: list[str]) ->
 
 
 def complete_ids(rows: DataFrame, id_col: str, order: str, prefix: str) -> DataFrame:
-    """The first use of an id stays; other rows get one from their place, with the fewest marks ``x`` that no kept id has."""
+    """The first use of an id stays; other rows get one from their place, with the fewest marks ``x`` that no kept id has.
+
+    Rows without an id, which may be most, take no part in the search for first uses.
+    """
     w = Window.partitionBy(id_col).orderBy(order)
-    used = rows.withColumn("_keep", (F.trim(id_col) != "") & (F.row_number().over(w) == 1))
+    has = F.coalesce(F.trim(id_col) != "", F.lit(False))
+    used = rows.filter(has).withColumn("_keep", F.row_number().over(w) == 1).unionByName(rows.filter(~has).withColumn("_keep", F.lit(False)))
     bare = F.regexp_replace(id_col, "x+$", "")
     taken = used.filter("_keep").groupBy(bare.alias("_used")).agg(F.collect_set(F.char_length(id_col) - F.char_length(bare)).alias("_marks"))
     marked = used.withColumn("_made", F.concat(F.lit(prefix), padded(F.col(order), 6))).join(taken, F.col("_made") == F.col("_used"), "left")
