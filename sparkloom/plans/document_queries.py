@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import keywords
 from ..operators import documents as D
+from ..operators import fuzzy as Z
 from .inputs import table
 
 QUERIES, ORACLES = {}, {}
@@ -60,6 +61,16 @@ b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY doc_id) AS k FROM h
 SELECT id, doc_id, CAST(CASE WHEN e > 0 THEN 1 WHEN l > 0 THEN 2 ELSE 3 END AS INTEGER) AS tier, CAST(CASE WHEN e > 0 THEN e WHEN l > 0 THEN l ELSE p END AS INTEGER) AS "at" FROM b WHERE k = 1"""
 
 
+def _near(s, d):
+    """A third of the test items as they are, the others with letters changed, so that no document holds them literally."""
+    items = table(s, d, "benchmark")
+    needle = F.when(F.col("item_id") % 3 == 0, F.col("text")).when(F.col("item_id") % 3 == 1, F.regexp_replace("text", "th", "ht")).otherwise(F.translate("text", "sm", "mn"))
+    return Z.located_or_near(items.select(F.col("item_id").alias("id"), needle.alias("needle")), table(s, d, "documents")).withColumn("score", F.round("score", 6))
+
+
+QUERIES["J18_fuzzy_location"] = _near
+
+
 def _groups(s, d):
     lines = table(s, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("sentence_no"), F.col("text").alias("sentence"))
     rules = s.sql("SELECT * FROM VALUES ('en', array('the ', 'that')), ('de', array('und', 'der', 'die')), ('fr', array('les ', 'qui')) AS g(grp, terms)")

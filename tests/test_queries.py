@@ -10,7 +10,7 @@ def con():
     return connection()
 
 
-@pytest.mark.parametrize("name", sorted(library.QUERIES))
+@pytest.mark.parametrize("name", sorted(library.ORACLES))
 def test_query_equals_its_sql(spark, con, name):
     assert of_spark(library.QUERIES[name](spark, SMALL)) == of_sql(con, library.ORACLES[name])
 
