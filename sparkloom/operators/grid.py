@@ -51,7 +51,11 @@ def components(cells: DataFrame) -> DataFrame:
     label of the label; each round is written, so that plans do not grow.
     """
     filled = cells.filter(F.trim("value") != "").select("sheet", "r", "c").distinct()
-    runs = _islands(filled, ["sheet", "r"], "c", "c1").groupBy("sheet", "r", "c1").agg(F.max("c").alias("c2"))
+    return linked_runs(_islands(filled, ["sheet", "r"], "c", "c1").groupBy("sheet", "r", "c1").agg(F.max("c").alias("c2")))
+
+
+def linked_runs(runs: DataFrame) -> DataFrame:
+    """Runs (sheet, r, c1, c2, apart in their row) with the smallest run of their component."""
     runs = runs.withColumn("run", F.col("r").cast("long") * (1 << 20) + F.col("c1"))
     above = runs.select("sheet", (F.col("r") + 1).alias("r"), F.col("c1").alias("a1"), F.col("c2").alias("a2"), F.col("run").alias("other"))
     links = runs.join(above, ["sheet", "r"]).filter("c1 <= a2 and a1 <= c2").select("sheet", "run", "other")
@@ -68,6 +72,108 @@ def components(cells: DataFrame) -> DataFrame:
     return runs.join(labels, ["sheet", "run"]).select("sheet", "r", "c1", "c2", "component")
 
 
+def dilated(cells: DataFrame, rows: int = 0, cols: int = 1, first: int = 1) -> DataFrame:
+    """Runs (sheet, r, c1, c2) of the places at most ``rows`` and ``cols`` from an occupied cell, within the sheet.
+
+    A run of cells grows as a whole and is repeated in the rows around it; what overlaps or touches in a row
+    becomes one run. A sheet begins at row and column ``first`` and ends at its last occupied ones.
+    """
+    filled = cells.filter(F.trim("value") != "").select("sheet", "r", "c").distinct()
+    ends = filled.groupBy("sheet").agg(F.max("r").alias("last_r"), F.max("c").alias("last_c"))
+    runs = _islands(filled, ["sheet", "r"], "c", "a").groupBy("sheet", "r", "a").agg(F.max("c").alias("b")).join(ends, "sheet")
+    grown = runs.select(
+        "sheet", F.explode(F.sequence(F.greatest(F.lit(first), F.col("r") - rows), F.least("last_r", F.col("r") + rows))).alias("r"),
+        F.greatest(F.lit(first), F.col("a") - cols).alias("a"), F.least("last_c", F.col("b") + cols).alias("b"),
+    )
+    w = Window.partitionBy("sheet", "r").orderBy("a", "b")
+    reach = F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opens = grown.withColumn("opens", F.when(F.col("a") > F.coalesce(reach, F.lit(first - 2)) + 1, F.col("a")))
+    opens = opens.withColumn("c1", F.last("opens", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return opens.groupBy("sheet", "r", "c1").agg(F.max("b").alias("c2"))
+
+
+def layout_boxes(cells: DataFrame, merged: DataFrame | None = None, rows: int = 0, cols: int = 1, first: int = 1) -> DataFrame:
+    """Boxes of the components of dilated cells, grown by merged ranges they touch, cut to the occupied cells inside.
+
+    merged: sheet, r1, r2, c1, c2. A range counts whole for each component with a place in it, but does not link components.
+    """
+    runs = linked_runs(dilated(cells, rows, cols, first))
+    edges = runs.select("sheet", "component", F.col("r").alias("r1"), F.col("r").alias("r2"), "c1", "c2")
+    if merged is not None:
+        spans = merged.select("sheet", F.explode(F.sequence("r1", "r2")).alias("r"), F.struct("r1", "r2", "c1", "c2").alias("m"))
+        met = runs.join(spans, ["sheet", "r"]).filter("c1 <= m.c2 and m.c1 <= c2").select("sheet", "component", "m.*")
+        edges = edges.unionByName(met)
+    wide = edges.groupBy("sheet", "component").agg(F.min("r1").alias("r1"), F.max("r2").alias("r2"), F.min("c1").alias("c1"), F.max("c2").alias("c2"))
+    filled = cells.filter(F.trim("value") != "").select("sheet", "r", "c").distinct()
+    inside = filled.join(wide.withColumn("r", F.explode(F.sequence("r1", "r2"))), ["sheet", "r"]).filter("c between c1 and c2")
+    return inside.groupBy("sheet", "component").agg(F.min("r").alias("r1"), F.max("r").alias("r2"), F.min("c").alias("c1"), F.max("c").alias("c2"))
+
+
+def absorbed(found: DataFrame) -> DataFrame:
+    """Boxes no other contains, each with the components it takes in, in the order of size, place and component.
+
+    Of equal boxes the one with the smallest component stays. A box inside several that stay goes to the first of them.
+    """
+    at = F.struct((-(F.col("r2") - F.col("r1") + 1) * (F.col("c2") - F.col("c1") + 1)).alias("size"), "r1", "c1", "component")
+    placed = found.withColumn("at", at)
+    outer = placed.select("sheet", F.col("at").alias("o_at"), F.col("r2").alias("o_r2"), F.col("c1").alias("o_c1"), F.col("c2").alias("o_c2"), F.explode(F.sequence("r1", "r2")).alias("r1"))
+    held = placed.join(outer, ["sheet", "r1"]).filter("o_at < at and r2 <= o_r2 and c1 >= o_c1 and c2 <= o_c2").select("sheet", "component", "at", "o_at")
+    inner = held.select("sheet", F.col("component").alias("gone")).distinct()
+    kept = held.join(inner.withColumnRenamed("gone", "o_component"), (held["sheet"] == inner["sheet"]) & (F.col("o_at.component") == F.col("o_component")), "left_anti")
+    first = kept.groupBy("sheet", "component", "at").agg(F.min("o_at").alias("parent"))
+    taken = first.groupBy("sheet", F.col("parent.component").alias("component")).agg(F.transform(F.array_sort(F.collect_list("at")), lambda x: x["component"]).alias("absorbed"))
+    stay = found.join(inner.withColumnRenamed("gone", "component"), ["sheet", "component"], "left_anti")
+    return stay.join(taken, ["sheet", "component"], "left").withColumn("absorbed", F.coalesce("absorbed", F.array().cast("array<bigint>")))
+
+
+def numeric_bodies(cells: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Per block (sheet, r1, r2, c1, c2) the box of its largest component of numeric cells, and its place in the block.
+
+    Of equal numbers of cells the higher box counts, then the wider one, then the one met first in reading order. Blocks
+    without numbers have nulls. title_row: the first row has a text and a bold or merged cell (columns bold and merged of
+    the cells, where they have them).
+    """
+    key = ["sheet", "r1", "r2", "c1", "c2"]
+    b = blocks.select(*key).distinct()
+    within = cells.filter(F.trim("value") != "").join(b.withColumn("r", F.explode(F.sequence("r1", "r2"))), ["sheet", "r"]).filter("c between c1 and c2")
+    block = F.struct(*key)
+    bodies = boxes(components(within.filter(percent_number(F.col("value")) != "").select(block.alias("sheet"), "r", "c", "value")))
+    best = F.struct("cells", (F.col("r2") - F.col("r1")).alias("h"), (F.col("c2") - F.col("c1")).alias("w"), (-F.col("component")).alias("p"))
+    body = bodies.groupBy("sheet").agg(F.max_by(F.struct(F.col("r1").alias("body_r1"), F.col("r2").alias("body_r2"), F.col("c1").alias("body_c1"), F.col("c2").alias("body_c2"), F.col("cells").alias("body_cells")), best).alias("body"))
+    marked = [F.col(n) for n in ("bold", "merged") if n in cells.columns]
+    mark = F.coalesce(F.greatest(*marked) if len(marked) == 2 else marked[0] if marked else F.lit(False), F.lit(False))
+    top = within.filter("r = r1").groupBy(*key).agg(F.bool_or(mark).alias("title_row"))
+    out = b.join(top, key, "left").join(body.select("sheet.*", "body.*"), key, "left")
+    gaps = {"title_gap": F.col("body_r1") - F.col("r1"), "left_margin": F.col("body_c1") - F.col("c1")}
+    return out.withColumn("title_row", F.coalesce("title_row", F.lit(False))).withColumns(gaps)
+
+
+def element_gaps(cells: DataFrame, elements: DataFrame) -> DataFrame:
+    """Elements (sheet, r1, r2, c1, c2) in reading order, the one before and after, and the empty rows and columns from the one before.
+
+    Rows count from its end to the first that holds a cell between the outer columns of the two; columns likewise.
+    """
+    w = Window.partitionBy("sheet").orderBy("r1", "c1", "r2", "c2")
+    box = F.struct("r1", "r2", "c1", "c2")
+    e = elements.select("sheet", "r1", "r2", "c1", "c2", F.row_number().over(w).alias("place"), F.lag(box).over(w).alias("p"), F.lead(box).over(w).alias("n"))
+    filled = cells.filter(F.trim("value") != "").select("sheet", "r", "c").distinct()
+
+    def first(rows: tuple, cols: tuple, what: str) -> DataFrame:
+        span = e.filter(F.col("p").isNotNull() & (rows[0] <= rows[1]) & (cols[0] <= cols[1]))
+        span = span.select("sheet", "place", F.explode(F.sequence(*rows)).alias("r"), cols[0].alias("a"), cols[1].alias("b"))
+        return span.join(filled, ["sheet", "r"]).filter("c between a and b").groupBy("sheet", "place").agg(F.min(what).alias(f"first_{what}"))
+
+    outer = lambda x, y: (F.least(x, f"p.{x}"), F.greatest(y, f"p.{y}"))
+    down = first((F.col("p.r2") + 1, F.col("r1") - 1), outer("c1", "c2"), "r")
+    right = first(outer("r1", "r2"), (F.col("p.c2") + 1, F.col("c1") - 1), "c")
+    out = e.join(down, ["sheet", "place"], "left").join(right, ["sheet", "place"], "left")
+    gap_from = lambda end, begin, seen: F.when(F.col("p").isNotNull(), F.greatest(F.lit(0), F.coalesce(seen, begin) - F.col(f"p.{end}") - 1))
+    return out.select(
+        "sheet", "r1", "r2", "c1", "c2", "place", F.col("p.r1").alias("before_r1"), F.col("p.c1").alias("before_c1"), F.col("n.r1").alias("after_r1"), F.col("n.c1").alias("after_c1"),
+        gap_from("r2", "r1", "first_r").alias("gap_rows"), gap_from("c2", "c1", "first_c").alias("gap_cols"),
+    )
+
+
 def boxes(found: DataFrame) -> DataFrame:
     """Bounding box and number of cells of each component."""
     return found.groupBy("sheet", "component").agg(F.min("r").alias("r1"), F.max("r").alias("r2"), F.min("c1").alias("c1"), F.max("c2").alias("c2"), F.sum(F.col("c2") - F.col("c1") + 1).alias("cells"))
