@@ -116,7 +116,7 @@ def _nearest(_key, needles: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
 
 
 def nearest_paragraphs(needles: DataFrame, docs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """J18, fuzzy tier: per needle (id, needle) the paragraph of docs (doc_id, text) most like it, from 0.55 on.
+    """J18, fuzzy tier: per needle (id, needle) the paragraph of docs (doc_id, a number, and text) most like it, from 0.55 on.
 
     Equals go to the first document, then the first paragraph. Needles meet the documents with the same values in
     the columns of ``by`` (nulls are one value), all of them where it is empty. A key's needles and paragraphs are dealt
