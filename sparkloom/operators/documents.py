@@ -124,20 +124,6 @@ def first_with_all(sentences_: DataFrame, groups: DataFrame) -> DataFrame:
     return both.groupBy("grp").agg(F.min(F.struct("doc_id", "sentence_no")).alias("first"), F.count("*").alias("hits")).select("grp", "first.doc_id", "first.sentence_no", "hits")
 
 
-def supporting_sentences(rows: DataFrame, sentences_: DataFrame, most: int = 3, least: int = 6) -> DataFrame:
-    """Per row (id, item, words) its best sentences (sid, hint, words): 8 for the item in the hint, 3 or 1 for each shared word.
-
-    A shared word of five characters or more counts 3. Sentences under ``least`` are left out; equals go by sid.
-    Words and items are join keys, so that no row meets all sentences.
-    """
-    r, s = rows.select("id", F.explode("words").alias("word")), sentences_.select("sid", F.explode("words").alias("word"))
-    shared = r.join(s, "word").groupBy("id", "sid").agg(F.sum(F.when(F.char_length("word") >= 5, 3).otherwise(1)).alias("score"))
-    named = rows.filter("item <> ''").select("id", F.col("item").alias("hint")).join(sentences_.select("sid", "hint"), "hint").select("id", "sid", F.lit(8).cast("long").alias("score"))
-    total = shared.unionByName(named).groupBy("id", "sid").agg(F.sum("score").alias("score")).filter(F.col("score") >= least)
-    ranked = total.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "sid")))
-    return ranked.filter(F.col("rank") <= most)
-
-
 def dose_sentences(sentences_: DataFrame, required: str, any_of: tuple[str, ...], bonus: dict[str, int], by: list[str], most: int = 2) -> DataFrame:
     """Per group the best sentences that hold the required text and one of some terms; terms add to a base score of 10."""
     low = F.lower("sentence")

@@ -197,6 +197,53 @@ def nearest_labels(cells: DataFrame) -> DataFrame:
     return marked.filter(percent_number(F.col("value")) != "").select("sheet", "r", "c", "value", F.coalesce("row_label", F.lit("")).alias("row_label"), F.coalesce("col_label", F.lit("")).alias("col_label"))
 
 
+#: What names a metric rather than a group, and how the title of a figure begins.
+METRIC_TERMS = ("tumor volume", "tumour volume", "body weight")
+FIGURE_TITLE = r"(?i)^Fig\.\s*[0-9]+"
+
+
+def spread_headers(cells: DataFrame, merged: DataFrame) -> DataFrame:
+    """Cells with the text of each merged range (sheet, r1, r2, c1, c2) in all blank columns of its first row, ``carried`` there."""
+    filled = cells.filter(F.trim("value") != "").select("sheet", "r", "c", "value")
+    ranges = merged.filter("c2 > c1").select("sheet", F.col("r1").alias("r"), F.col("c1").alias("c"), "c2")
+    text = filled.filter(percent_number(F.col("value")) == "").join(ranges, ["sheet", "r", "c"])
+    wide = text.select("sheet", "r", F.explode(F.sequence(F.col("c") + 1, F.col("c2"))).alias("to"), F.struct("c", "value").alias("by"))
+    last = wide.groupBy("sheet", "r", F.col("to").alias("c")).agg(F.max("by").alias("by"))  # of ranges that cross, the one that begins last
+    free = last.join(filled.select("sheet", "r", "c"), ["sheet", "r", "c"], "left_anti").select("sheet", "r", "c", F.col("by.value").alias("value"))
+    return filled.withColumn("carried", F.lit(False)).unionByName(free.withColumn("carried", F.lit(True)))
+
+
+def column_context(cells: DataFrame, merged: DataFrame | None = None, terms: tuple[str, ...] = METRIC_TERMS, first: int = 1) -> DataFrame:
+    """For each numeric cell its group, metric, and the axis of its row: sheet, r, c, value, grp, metric, axis_label, axis_value.
+
+    Of the texts above the cell in its column, titles of figures aside, the first that names no metric is the group and
+    the last that names one the metric; where there is no group, the last text of any kind. The text of a merged range
+    stands over all its columns. The axis of a row is its cell in the first column: a text is its own value, named
+    ``row_label``; a number is named by the nearest text above it; a blank has neither. A column of a sheet is one group
+    of a window, as a sheet is one file.
+    """
+    base = cells.filter(F.trim("value") != "")
+    all_ = spread_headers(base, merged) if merged is not None else base.select("sheet", "r", "c", "value").withColumn("carried", F.lit(False))
+    is_number = percent_number(F.col("value")) != ""
+    marked = all_.withColumn("is_number", is_number).withColumn("text", F.when(~is_number, F.trim("value")))
+    kind = F.when(F.col("text").rlike(FIGURE_TITLE), "title").when(F.exists(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(F.lower("text"), t)), "metric").when(F.col("text").isNotNull(), "group")
+    above = Window.partitionBy("sheet", "c").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    marked = marked.withColumn("kind", kind)
+    of = lambda k: F.when(F.col("kind") == k, F.col("text"))
+    found = marked.select(
+        "sheet", "r", "c", "value", "is_number", "carried", F.first(of("group"), ignorenulls=True).over(above).alias("grp"),
+        F.last(of("metric"), ignorenulls=True).over(above).alias("metric"), F.last("text", ignorenulls=True).over(above).alias("last_text"),
+    )
+    lead = marked.filter((F.col("c") == first) & ~F.col("carried"))
+    named = F.coalesce(F.last("text", ignorenulls=True).over(above), F.lit(""))
+    axis = lead.select("sheet", "r", F.when(F.col("is_number"), named).otherwise("row_label").alias("axis_label"), F.trim("value").alias("axis_value"))
+    text_of = lambda c: F.coalesce(c, F.lit(""))
+    return found.filter("is_number and not carried").join(axis, ["sheet", "r"], "left").select(
+        "sheet", "r", "c", "value", text_of(F.coalesce("grp", "last_text")).alias("grp"), text_of(F.col("metric")).alias("metric"),
+        text_of(F.col("axis_label")).alias("axis_label"), text_of(F.col("axis_value")).alias("axis_value"),
+    )
+
+
 def context_labels(cells: DataFrame, most: int = 12) -> DataFrame:
     """A sheet's first distinct texts in reading order."""
     texts = cells.filter((percent_number(F.col("value")) == "") & (F.trim("value") != "")).groupBy("sheet", F.trim("value").alias("label")).agg(F.min(F.struct("r", "c")).alias("at"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import keywords, matcher_key
 from ..functions.values import padded
+from ..sources.stage import written
 from .keys import mutually_contained
 
 
@@ -98,27 +99,59 @@ def nearest_colour(rows: DataFrame, profile: DataFrame, row_id: str) -> DataFram
     return rows.crossJoin(F.broadcast(ramp)).select(row_id, near["value"].alias("value"), F.sqrt(near["d"]).alias("distance"))
 
 
+def _ranged(rows: DataFrame, by: str, order: list[str]) -> DataFrame:
+    """rows with ``range``: a number that rises along by and order, of about equal numbers of rows; written, so that it stays."""
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return written(rows.repartitionByRange(parts, by, *order).withColumn("range", F.spark_partition_id()))
+
+
+def _carried(rows: DataFrame, by: str, order: list[str], value: str, up: str, down: str, itself: bool) -> DataFrame:
+    """rows with the last value that is not null before (``up``) and the next after (``down``) each row of its ``by``, or its own.
+
+    Windows run within a range; what ranges before and after hold comes from one row for each range.
+    """
+    key, w = Window.partitionBy(by, "range"), F.col(value)
+    at = F.struct(*order, value)
+    ends = rows.filter(w.isNotNull()).groupBy(by, "range").agg(F.min(at)[value].alias("first"), F.max(at)[value].alias("last"))
+    ends = rows.select(by, "range").distinct().join(ends, [by, "range"], "left")
+    over = Window.partitionBy(by).orderBy("range")
+    ends = ends.select(
+        by, "range", F.last("last", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_low"),
+        F.first("first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_high"),
+    )
+    edge = 0 if itself else 1
+    line = key.orderBy(*order)
+    low = F.last(value, ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -edge))
+    high = F.first(value, ignorenulls=True).over(line.rowsBetween(edge, Window.unboundedFollowing))
+    run = rows.withColumn(up, low).withColumn(down, high).join(ends, [by, "range"])
+    return run.withColumn(up, F.coalesce(up, "_low")).withColumn(down, F.coalesce(down, "_high")).drop("_low", "_high")
+
+
 def calibrated(points: DataFrame, calibration: DataFrame, by: str, log10: bool = False) -> DataFrame:
     """Values of pixels on the line through the two nearest calibration points of their figure; of equals, the lower pixel.
 
-    With ``log10`` the line runs through the logarithms of the values. The nearest below and above a point
-    come from running values over the figure's pixels in order, so that no point meets all calibration
-    points: the two nearest are among the two next below (or level) and the two next above.
+    With ``log10`` the line runs through the logarithms of the values. Each pixel of a figure is judged once. Pixels lie in
+    ranges, and the calibration points next below and above go on from range to range, so that neither a figure nor a pixel
+    with very many points is one task: the two nearest are among the two next below (or level) and the two next above.
+    Points without a figure or pixel, and calibration points without a pixel or value, take no part; figures without
+    calibration points give no rows. With one, or two at one pixel, the value is null.
     """
     y = F.log10("cal_value") if log10 else F.col("cal_value")
-    w = Window.partitionBy(by).orderBy("cal_pixel")
-    mark = F.struct(F.col("cal_pixel").alias("x"), y.alias("y"))
-    marks = calibration.select(by, F.col("cal_pixel").alias("pixel"), mark.alias("cal"), F.lag(mark).over(w).alias("before"), F.lead(mark).over(w).alias("after"))
-    ends = F.struct("cal", "before", "after")
-    both = marks.select(by, "pixel", ends.alias("m")).unionByName(points.select(by, "pixel", "point"), allowMissingColumns=True)
-    up = Window.partitionBy(by).orderBy("pixel", F.col("m").isNull())
-    down = Window.partitionBy(by).orderBy(F.desc("pixel"), F.col("m").isNotNull())
-    run = both.withColumn("low", F.last("m", ignorenulls=True).over(up)).withColumn("high", F.last("m", ignorenulls=True).over(down)).filter("point is not null")
-    near = F.array_compact(F.array("low.before", "low.cal", "high.cal", "high.after"))
-    order = F.array_sort(F.transform(near, lambda c: F.struct(F.abs(c["x"] - F.col("pixel")).alias("d"), c["x"].alias("x"), c["y"].alias("y"))))
-    two = run.select(by, "point", "pixel", order[0].alias("p"), F.get(order, F.lit(1)).alias("q"))
+    order = ["pixel", "is_point", "y"]
+    marks = calibration.select(by, F.col("cal_pixel").alias("pixel"), F.lit(False).alias("is_point"), y.cast("double").alias("y")).filter("y is not null")
+    asked = points.select(by, "pixel", F.lit(True).alias("is_point"), F.lit(None).cast("double").alias("y")).distinct()
+    both = _ranged(marks.unionByName(asked).filter(F.col(by).isNotNull() & F.col("pixel").isNotNull()), by, order)
+    mark = F.when(~F.col("is_point"), F.struct(F.col("pixel").alias("x"), F.col("y")))
+    near = _carried(both.withColumn("mark", mark), by, order, "mark", "before", "after", itself=False)
+    whole = F.when(~F.col("is_point"), F.struct(F.col("mark").alias("cal"), F.col("before"), F.col("after")))
+    run = _carried(near.select(by, "range", *order, whole.alias("m")), by, order, "m", "low", "high", itself=True).filter("is_point")
+    four = F.array_compact(F.array("low.before", "low.cal", "high.cal", "high.after"))
+    ranked = F.array_sort(F.transform(four, lambda c: F.struct(F.abs(c["x"] - F.col("pixel")).alias("d"), c["x"].alias("x"), c["y"].alias("y"))))
+    two = run.filter(F.size(four) > 0).select(by, "pixel", ranked[0].alias("p"), F.get(ranked, F.lit(1)).alias("q"))
     value = F.col("p.y") + (F.col("pixel") - F.col("p.x")) * (F.col("q.y") - F.col("p.y")) / (F.col("q.x") - F.col("p.x"))
-    return two.select(by, "point", F.when(F.col("p.x") != F.col("q.x"), F.pow(F.lit(10.0), value) if log10 else value).alias("value"))
+    judged = two.select(by, "pixel", F.when(F.col("p.x") != F.col("q.x"), F.pow(F.lit(10.0), value) if log10 else value).alias("value"))
+    return points.select(by, "pixel", "point").join(judged, [by, "pixel"]).select(by, "point", "value")
 
 
 def ingest_results(tasks: DataFrame, results: DataFrame, required: list[str]) -> DataFrame:

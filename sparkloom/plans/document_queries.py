@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import keywords
 from ..operators import documents as D
 from ..operators import fuzzy as Z
+from ..operators.support import supporting_sentences
 from .inputs import table
 
 QUERIES, ORACLES = {}, {}
@@ -89,7 +90,7 @@ def _turns(s, d):
 
 def _support(s, d):
     items = table(s, d, "benchmark").select(F.col("item_id").alias("id"), (F.col("item_id") % 40).cast("string").alias("item"), keywords(F.col("text")).alias("words"))
-    return D.supporting_sentences(items, _turns(s, d).select("sid", "hint", keywords(F.col("sentence")).alias("words"))).select("id", "sid", "score", "rank")
+    return supporting_sentences(items, _turns(s, d).select("sid", "hint", keywords(F.col("sentence")).alias("words"))).select("id", "sid", "score", "rank")
 
 
 QUERIES["J14_supporting_sentences"] = _support
@@ -98,6 +99,30 @@ ORACLES["J14_supporting_sentences"] = f"""WITH i AS (SELECT item_id AS id, unnes
 z AS (SELECT id, sid, sum(CASE WHEN length(w) >= 5 THEN 3 ELSE 1 END) AS score FROM i JOIN t USING (w) GROUP BY ALL UNION ALL SELECT item_id, conv_id * 1000 + turn, 8 FROM benchmark JOIN conversations ON item_id % 40 = conv_id % 40),
 y AS (SELECT id, sid, CAST(sum(score) AS BIGINT) AS score FROM z GROUP BY ALL HAVING sum(score) >= 6)
 SELECT id, sid, score, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, sid) AS INTEGER) AS rank FROM y QUALIFY rank <= 3"""
+
+
+_ORDERED = _WORDS.removeprefix('list_distinct(').removesuffix(')')
+
+
+def _tiered(s, d):
+    """Items of which half are named by no turn, one in seven blank; common words stand in more than a fifth of the turns."""
+    k = F.col("item_id")
+    items = table(s, d, "benchmark").select(k.alias("id"), F.when(k % 7 == 0, "").otherwise((k % 40).cast("string")).alias("item"), keywords(F.col("text")).alias("words"))
+    turns = _turns(s, d).select("sid", F.when(F.col("hint").cast("int") < 20, F.col("hint")).otherwise("").alias("hint"), keywords(F.col("sentence")).alias("words"))
+    return supporting_sentences(items, turns, tiers=True, common=0.2)
+
+
+QUERIES["J14_tiered_support"] = _tiered
+ORACLES["J14_tiered_support"] = f"""WITH i AS (SELECT item_id AS id, CASE WHEN item_id % 7 = 0 THEN '' ELSE CAST(item_id % 40 AS VARCHAR) END AS item, {_ORDERED} AS ws FROM benchmark),
+t AS (SELECT conv_id * 1000 + turn AS sid, CASE WHEN conv_id % 40 < 20 THEN CAST(conv_id % 40 AS VARCHAR) ELSE '' END AS hint, {_WORDS} AS ws FROM conversations),
+raw AS (SELECT id, item, unnest(ws) AS w, unnest(range(len(ws))) AS spot FROM i),
+iw AS (SELECT id, item, w, row_number() OVER (PARTITION BY id ORDER BY min(spot)) - 1 AS place FROM raw GROUP BY id, item, w), tw AS (SELECT sid, unnest(ws) AS w FROM t), seen AS (SELECT DISTINCT w FROM tw),
+tier AS (SELECT id, item, CASE WHEN item <> '' AND item IN (SELECT hint FROM t) THEN 1 WHEN item <> '' AND id IN (SELECT id FROM iw JOIN seen USING (w) WHERE place < 20) THEN 2 ELSE 3 END AS tier FROM i),
+z AS (SELECT id, sid, sum(CASE WHEN length(w) >= 5 THEN 3 ELSE 1 END) AS score, min(place) AS place FROM iw JOIN tw USING (w) GROUP BY ALL
+  UNION ALL SELECT id, sid, 8, NULL FROM tier JOIN t ON item = hint WHERE item <> ''),
+y AS (SELECT id, sid, CAST(sum(score) AS BIGINT) AS score, min(place) AS place FROM z GROUP BY ALL)
+SELECT y.id, y.sid, score, CAST(row_number() OVER (PARTITION BY y.id ORDER BY score DESC, y.sid) AS INTEGER) AS rank, tier FROM y JOIN tier USING (id) JOIN t USING (sid)
+WHERE score >= 6 AND (tier = 3 OR (tier = 1 AND item = hint) OR (tier = 2 AND place < 20)) QUALIFY rank <= 3"""
 QUERIES["J15_required_term_sentences"] = lambda s, d: D.dose_sentences(_turns(s, d), "the", ("ing", "tion"), {"erly": 5, "ble": 3}, ["role"]).select("role", "sid", "score", "rank")
 ORACLES["J15_required_term_sentences"] = """WITH h AS (SELECT role, conv_id * 1000 + turn AS sid, CAST(10 + CASE WHEN contains(lower(text), 'erly') THEN 5 ELSE 0 END + CASE WHEN contains(lower(text), 'ble') THEN 3 ELSE 0 END AS INTEGER) AS score
   FROM conversations WHERE contains(lower(text), 'the') AND (contains(lower(text), 'ing') OR contains(lower(text), 'tion')))

@@ -72,3 +72,27 @@ down AS (SELECT e.sheet, place, min(r) AS first_r FROM e JOIN places p ON p.shee
 side AS (SELECT e.sheet, place, min(c) AS first_c FROM e JOIN places p ON p.sheet = e.sheet AND c > p_c2 AND c < c1 AND r BETWEEN least(r1, p_r1) AND greatest(r2, p_r2) GROUP BY ALL)
 SELECT sheet, r1, r2, c1, c2, place, p_r1 AS before_r1, p_c1 AS before_c1, after_r1, after_c1, CASE WHEN place > 1 THEN greatest(0, coalesce(first_r, r1) - p_r2 - 1) END AS gap_rows, CASE WHEN place > 1 THEN greatest(0, coalesce(first_c, c1) - p_c2 - 1) END AS gap_cols
 FROM e LEFT JOIN down USING (sheet, place) LEFT JOIN side USING (sheet, place)"""
+
+
+def _headed(s, d):
+    """The places as cells of tables: groups, metrics and titles of figures where words stand, and merged ranges over some."""
+    k = F.col("k")
+    text = F.when(k % 5 == 0, F.concat(F.lit("Tumour volume "), k % 7)).when(k % 5 == 1, F.concat(F.lit("Fig. "), k % 9)).otherwise(F.concat(F.lit("group "), k % 11))
+    return _places(s, d).select("sheet", "r", "c", F.when(k % 3 == 0, text).otherwise((k % 90).cast("string")).alias("value"))
+
+
+def _header_ranges(s, d):
+    return _places(s, d).filter("k % 6 = 0").select("sheet", F.col("r").alias("r1"), F.col("r").alias("r2"), F.col("c").alias("c1"), (F.col("c") + 2).alias("c2"))
+
+
+QUERIES["W8_column_context"] = lambda s, d: G.column_context(_headed(s, d), _header_ranges(s, d))
+ORACLES["W8_column_context"] = """WITH places AS (SELECT CAST(o_orderkey // 100 AS INTEGER) AS sheet, CAST(o_custkey % 30 + 1 AS INTEGER) AS r, CAST(floor(o_totalprice) % 24 + 1 AS INTEGER) AS c, min(o_orderkey) AS k FROM orders GROUP BY ALL),
+cells AS (SELECT *, k % 3 <> 0 AS num, false AS carried, CASE WHEN k % 3 <> 0 THEN CAST(k % 90 AS VARCHAR) WHEN k % 5 = 0 THEN 'Tumour volume ' || k % 7 WHEN k % 5 = 1 THEN 'Fig. ' || k % 9 ELSE 'group ' || k % 11 END AS value FROM places),
+wide AS (SELECT sheet, r, c + s AS c, arg_max(value, c) AS value FROM cells, (VALUES (1), (2)) AS t(s) WHERE k % 6 = 0 GROUP BY sheet, r, c + s),
+everything AS (SELECT sheet, r, c, value, num, carried FROM cells UNION ALL SELECT sheet, r, c, value, false, true FROM wide ANTI JOIN cells USING (sheet, r, c)),
+marked AS (SELECT *, CASE WHEN NOT num THEN value END AS t, starts_with(value, 'Fig.') AS title, starts_with(value, 'Tumour') AS metric_like FROM everything),
+z AS (SELECT *, first_value(CASE WHEN NOT title AND NOT metric_like THEN t END IGNORE NULLS) OVER w AS g, last_value(CASE WHEN metric_like THEN t END IGNORE NULLS) OVER w AS m, last_value(t IGNORE NULLS) OVER w AS l
+  FROM marked WINDOW w AS (PARTITION BY sheet, c ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ax AS (SELECT sheet, r, CASE WHEN num THEN coalesce(l, '') ELSE 'row_label' END AS axis_label, value AS axis_value FROM z WHERE c = 1)
+SELECT z.sheet, z.r, z.c, value, coalesce(g, l, '') AS grp, coalesce(m, '') AS metric, coalesce(axis_label, '') AS axis_label, coalesce(axis_value, '') AS axis_value
+FROM z LEFT JOIN ax ON ax.sheet = z.sheet AND ax.r = z.r WHERE num"""

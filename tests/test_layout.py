@@ -133,3 +133,44 @@ def test_gaps_equal_loops(spark, grids, cells):
     e = spark.createDataFrame(elements, "sheet int, r1 int, r2 int, c1 int, c2 int")
     out = G.element_gaps(cells, e).select("sheet", "r1", "c1", "place", "before_r1", "before_c1", "after_r1", "after_c1", "gap_rows", "gap_cols")
     assert {tuple(r) for r in out.collect()} == expected and any(x[8] for x in expected) and any(x[9] for x in expected)
+
+
+def _context(cells, merged):
+    """Of each numeric cell: group, metric, axis label and value, by plain walks up its column."""
+    number = lambda t: t.rstrip("%").replace(".", "").isdigit()
+    spread = dict(cells)
+    for r, c1, c2 in sorted(merged):
+        if (r, c1) in cells and not number(cells[r, c1]):
+            spread |= {(r, c): cells[r, c1] for c in range(c1 + 1, c2 + 1) if (r, c) not in cells}
+    out = set()
+    for (r, c), value in cells.items():
+        if not number(value):
+            continue
+        above = [spread[y, c] for y in range(1, r) if (y, c) in spread and not number(spread[y, c])]
+        group = metric = ""
+        for text in above:
+            if text.lower().startswith("fig. 2"):
+                continue
+            if "body weight" in text.lower():
+                metric = text
+            elif not group:
+                group = text
+        group = group or (above[-1] if above else "")
+        lead = cells.get((r, 1), "")
+        names = [cells[y, 1] for y in range(1, r) if (y, 1) in cells and not number(cells[y, 1])]
+        label = ("row_label" if lead else "") if not lead or not number(lead) else (names[-1] if names else "")
+        out.add((r, c, value, group, metric, label, lead))
+    return out
+
+
+def test_column_context_equals_plain_walks(spark):
+    rng = random.Random(8)
+    texts = ["1", "2.5", "7%", "30", "Fig. 2 title", "fig. 2", "Body weight (g)", "body weight", "mRNA", "PBS", "group 3"]
+    sheets = {s: {(r, c): rng.choice(texts) for r in range(1, 25) for c in range(1, 12) if rng.random() < share} for s, share in enumerate((0.1, 0.3, 0.7))}
+    merged = {s: [(r, c, c + rng.randint(0, 4)) for r in range(1, 25) for c in range(1, 12) if rng.random() < 0.1] for s in sheets}
+    cells = spark.createDataFrame([(s, r, c, v) for s, g in sheets.items() for (r, c), v in g.items()] + [(0, 40, 1, " "), (0, 40, 2, None)], "sheet int, r int, c int, value string")
+    ranges = spark.createDataFrame([(s, r, r, a, b) for s, m in merged.items() for r, a, b in m], "sheet int, r1 int, r2 int, c1 int, c2 int")
+    for m, df in ((merged, ranges), ({s: [] for s in sheets}, None)):
+        got = {tuple(x) for x in G.column_context(cells, df).collect()}
+        assert got == {(s, *x) for s in sheets for x in _context(sheets[s], m[s])}
+    assert G.column_context(cells.limit(0), ranges).count() == 0
