@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import literals as L
 from ..functions import text as T
+from ..operators.tables import experiment_value
 from .inputs import LABELS_SQL, LINES_SQL, NUMBERS_SQL, labels_of_parts, lines_of_documents, number_texts, table
 
 QUERIES, ORACLES = {}, {}
@@ -230,3 +232,27 @@ ORACLES["F10_line_predicates"] = rf"""WITH {LINES_SQL}, t AS (SELECT doc_id, lin
 q AS (SELECT *, (starts_with(x, '|') AND x LIKE '%|' AND length(x) - length(replace(x, '|', '')) >= 2) OR regexp_matches(x, '^\|?\s*:?-{{3,}}:?\s*(\|\s*:?-{{3,}}:?\s*)+\|?$') AS table_line FROM t)
 SELECT doc_id, line_no, table_line, x <> '' AND NOT table_line AND NOT regexp_matches(x, '^!\[[^\]]*\]\([^)]+\)\s*$')
   AND NOT (length(x) > 2000 AND length(regexp_replace(x, '[^\p{{L}}]', '', 'g')) < length(x) * 0.25) AS useful FROM q"""
+
+
+def _literals(spark, sf_dir):
+    """Cells as literals of names and types: a list with a tuple and a dict in it, a dict, a broken list, and no literal."""
+    p = table(spark, sf_dir, "part")
+    q = lambda c: F.concat(F.lit("'"), c, F.lit("'"))
+    name, kind, size = F.col("p_name"), F.col("p_type"), F.col("p_size").cast("string")
+    listed = F.concat(F.lit("["), q(name), F.lit(", ("), size, F.lit(", \"it\\'s\",), {'b': None, 'a': "), q(kind), F.lit("}, True, ' ']"))
+    mapped = F.concat(F.lit("{'z': ["), size, F.lit(", ["), q(name), F.lit("]], 'k': "), q(kind), F.lit("}"))
+    broken = F.concat(F.lit("["), q(name), F.lit(", "), q(kind))
+    which = F.col("p_partkey") % 4
+    return p.select("p_partkey", F.when(which == 0, listed).when(which == 1, mapped).when(which == 2, broken).otherwise(F.concat(name, F.lit("; "), kind)).alias("cell"))
+
+
+_TUPLE = "'[' || p_size || ',\"it''s\"]'"
+_DICT = "'{\"a\":\"' || p_type || '\",\"b\":null}'"
+_MAPPED = "'{\"k\":\"' || p_type || '\",\"z\":[' || p_size || ',[\"' || p_name || '\"]]}'"
+_BROKEN = "'[''' || p_name || ''', ''' || p_type"
+QUERIES["T17_literal_items"] = lambda s, d: _literals(s, d).select("p_partkey", F.array_join(L.split_cell(F.col("cell")), "/").alias("parts"))
+ORACLES["T17_literal_items"] = f"""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name || '/' || {_TUPLE} || '/' || {_DICT} || '/True'
+  WHEN 1 THEN '{{''z'': [' || p_size || ', [''' || p_name || ''']]/k'': ''' || p_type || '''}}' WHEN 2 THEN {_BROKEN} ELSE p_name || '/' || p_type END AS parts FROM part"""
+QUERIES["T29_nested_text"] = lambda s, d: _literals(s, d).select("p_partkey", experiment_value(L.nested_text(F.col("cell"))).alias("value"))
+ORACLES["T29_nested_text"] = f"""SELECT p_partkey, lower(CASE p_partkey % 4 WHEN 0 THEN p_name || '; ' || {_TUPLE} || '; ' || {_DICT} || '; True'
+  WHEN 1 THEN {_MAPPED} WHEN 2 THEN {_BROKEN} || '''' ELSE p_name || '; ' || p_type END) AS value FROM part"""
