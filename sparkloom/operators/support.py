@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.stage import written
+
 #: What a word of LONG characters or more counts, what a shorter one counts, and what the row's item counts.
 LONG, LONG_SCORE, SHORT_SCORE, ITEM_SCORE = 5, 3, 1, 8
 #: Fixed value: how many of a row's words, in their order, make the second tier.
@@ -92,14 +94,16 @@ def supporting_sentences(rows: DataFrame, sentences: DataFrame, most: int = 3, l
     bag = lambda c: F.array_distinct(F.array_compact(F.coalesce(c, F.array().cast("array<string>"))))
     r = rows.select("id", clean(F.col("item")).alias("item"), bag(F.col("words")).alias("words"))
     s = sentences.select("sid", clean(F.col("hint")).alias("hint"), bag(F.col("words")).alias("s_words"))
+    s, r = written(s), written(r)  # each is read several times
     words = s.select("sid", F.explode("s_words").alias("word"))
-    counts = word_counts(r, words, common)
+    counts = written(word_counts(r, words, common))
     hinted = s.filter("hint <> ''").select(F.col("hint").alias("item")).distinct().withColumn("named", F.lit(True))
     r = r.join(hinted, "item", "left").join(_known(r, counts), "id", "left").withColumn("named", F.coalesce("named", F.lit(False)))
     r = r.withColumn("known", F.coalesce("known", F.array().cast(_KNOWN)))
     second = (F.col("item") != "") & F.exists("known", lambda x: x["place"] < FIRST)
     tier = F.when(F.col("named"), 1).when(second, 2).otherwise(3) if tiers else F.lit(0)
     r = r.withColumn("tier", tier).withColumn("early", F.col("tier") == 2)
+    r = written(r)
 
     free = r.filter("tier <> 1")
     floors = _floors(free, words, most, least)
@@ -112,9 +116,8 @@ def supporting_sentences(rows: DataFrame, sentences: DataFrame, most: int = 3, l
     some = s.filter("hint <> ''").select(F.col("hint").alias("item"), "sid", ahead.alias("n")).filter(F.col("n") <= most)
     pairs = by_word.unionByName(both).unionByName(named.select("id", "item").join(some, "item").select("id", "sid")).distinct()
 
-    full = pairs.join(r.select("id", "item", "known", "tier"), "id").join(s, "sid")
-    shared = F.filter("known", lambda x: F.array_contains("s_words", x["word"]))
-    full = full.withColumn("shared", shared).withColumn("has_item", (F.col("item") != "") & (F.col("item") == F.col("hint")))
-    full = full.filter(F.when(F.col("tier") == 1, F.col("has_item")).when(F.col("tier") == 2, F.exists("shared", lambda x: x["place"] < FIRST)).otherwise(True))
-    score = F.aggregate("shared", F.when(F.col("has_item"), ITEM_SCORE).otherwise(0), lambda n, x: n + x["score"]).cast("long")
+    asked = r.select("id", "item", "tier", F.transform("known", lambda x: x["word"]).alias("own"), F.transform(F.filter("known", lambda x: x["place"] < FIRST), lambda x: x["word"]).alias("front"))
+    full = pairs.join(asked, "id").join(s, "sid").withColumn("has_item", (F.col("item") != "") & (F.col("item") == F.col("hint")))
+    full = full.filter(F.when(F.col("tier") == 1, F.col("has_item")).when(F.col("tier") == 2, F.arrays_overlap("front", "s_words")).otherwise(True))
+    score = F.aggregate(F.array_intersect("own", "s_words"), F.when(F.col("has_item"), ITEM_SCORE).otherwise(0), lambda n, w: n + _score(w)).cast("long")
     return _best(full.select("id", "sid", score.alias("score"), "tier").filter(F.col("score") >= least), most).select("id", "sid", "score", "rank", "tier")
