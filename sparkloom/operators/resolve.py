@@ -41,19 +41,27 @@ def best_by_containment(items: DataFrame, files: DataFrame, block: str) -> DataF
     return items.join(top, [block, "item_token"]).select("item", F.col("best.file").alias("file"), (-F.col("best.s")).alias("overlap"))
 
 
-def reference_lookup(rows: DataFrame, name: str, sources: list[tuple[str, DataFrame]]) -> DataFrame:
+#: Fixed value: what marks a row as new, so that the first source does not know it.
+NOVEL = "novel"
+
+
+def reference_lookup(rows: DataFrame, name: str, sources: list[tuple[str, DataFrame]], novelty: str | None = None) -> DataFrame:
     """The value of a name from the first source that has it, and that source's label.
 
     Sources are (label, table of name, value) in order; in a source the last entry of a name wins. Names
-    compare by their letters and digits.
+    compare by their letters and digits. Rows whose ``novelty`` column says that they are novel, in any case,
+    skip the first source, where a name like theirs is another thing's; null says nothing.
     """
     parts = None
     for order, (label, table) in enumerate(sources):
         t = table.select(matcher_key(F.col("name")).alias("key"), "value", "pos", F.lit(order).alias("order"), F.lit(label).alias("source"))
         parts = t if parts is None else parts.unionByName(t)
-    found = parts.filter("key <> '' and value <> ''").groupBy("key").agg(F.min(F.struct("order", (-F.col("pos")).alias("p"), "value", "source")).alias("best"))
+    entry = F.struct("order", (-F.col("pos")).alias("p"), "value", "source")
+    found = parts.filter("key <> '' and value <> ''").groupBy("key").agg(F.min(entry).alias("best"), F.min(F.when(F.col("order") > 0, entry)).alias("later"))
     out = rows.withColumn("key", matcher_key(F.col(name))).join(found, "key", "left")
-    return out.select(*rows.columns, F.coalesce("best.value", F.lit("")).alias("value"), F.coalesce("best.source", F.lit("none")).alias("source"))
+    novel = F.coalesce(F.lower(F.trim(F.col(novelty))) == NOVEL, F.lit(False)) if novelty else F.lit(False)
+    taken = F.when(novel, F.col("later")).otherwise(F.col("best"))
+    return out.select(*rows.columns, F.coalesce(taken["value"], F.lit("")).alias("value"), F.coalesce(taken["source"], F.lit("none")).alias("source"))
 
 
 def enrich(rows: DataFrame, results: DataFrame, key: str, defaults: dict[str, str]) -> DataFrame:

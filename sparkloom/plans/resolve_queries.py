@@ -49,6 +49,20 @@ def _lookup(s, d):
 QUERIES["J19_reference_lookup"] = _lookup
 ORACLES["J19_reference_lookup"] = """WITH a AS (SELECT p_name, 'A' || max(p_partkey) AS v FROM part WHERE p_size < 12 GROUP BY 1), b AS (SELECT p_name, 'B' || max(p_partkey) AS v FROM part WHERE p_partkey % 3 <> 0 GROUP BY 1)
 SELECT p_partkey, coalesce(a.v, b.v, '') AS value, CASE WHEN a.v IS NOT NULL THEN 'curated' WHEN b.v IS NOT NULL THEN 'catalogue' ELSE 'none' END AS source FROM part p LEFT JOIN a ON a.p_name = p.p_name LEFT JOIN b ON b.p_name = p.p_name"""
+
+
+def _novel(s, d):
+    """Curated values of every part's name but one in five, a catalogue of all; parts of three sizes are new."""
+    p = table(s, d, "part")
+    rows = p.select("p_partkey", F.upper(F.regexp_replace("p_name", " ", "-")).alias("name"), F.when(F.col("p_size") % 3 == 0, " Novel").when(F.col("p_size") % 3 == 1, "known").alias("novelty"))
+    of = lambda mark, blank: p.select(F.col("p_name").alias("name"), F.when(F.col("p_partkey") % blank == 0, "").otherwise(F.concat(F.lit(mark), F.col("p_partkey"))).alias("value"), F.col("p_partkey").alias("pos"))
+    return R.reference_lookup(rows, "name", [("curated", of("A", 5)), ("catalogue", of("B", 3))], "novelty").select("p_partkey", "value", "source")
+
+
+QUERIES["J19_novel_lookup"] = _novel
+ORACLES["J19_novel_lookup"] = """WITH a AS (SELECT p_name, 'A' || max(p_partkey) AS v FROM part WHERE p_partkey % 5 <> 0 GROUP BY 1), b AS (SELECT p_name, 'B' || max(p_partkey) AS v FROM part WHERE p_partkey % 3 <> 0 GROUP BY 1)
+SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN coalesce(b.v, '') ELSE coalesce(a.v, b.v, '') END AS value,
+CASE WHEN p_size % 3 <> 0 AND a.v IS NOT NULL THEN 'curated' WHEN b.v IS NOT NULL THEN 'catalogue' ELSE 'none' END AS source FROM part p LEFT JOIN a ON a.p_name = p.p_name LEFT JOIN b ON b.p_name = p.p_name"""
 QUERIES["J21_enrichment"] = lambda s, d: R.enrich(table(s, d, "documents").select("doc_id", "lang"), table(s, d, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"), F.col("toxic").cast("string").alias("toxic")), "doc_id", {"quality": "unknown", "toxic": "unknown"})
 ORACLES["J21_enrichment"] = "SELECT doc_id, lang, coalesce(CAST(quality AS VARCHAR), 'unknown') AS quality, coalesce(CAST(toxic AS VARCHAR), 'unknown') AS toxic FROM documents LEFT JOIN labels USING (doc_id)"
 
