@@ -46,3 +46,7 @@ def test_keys_of_rows_are_never_sent_whole(spark):
     right = spark.createDataFrame([(1, 1, "xabcx")], "k int, j int, b string")
     both = K.mutually_contained(left, right, ["k"], "a", "b")
     assert "BroadcastHashJoin" not in both._jdf.queryExecution().executedPlan().toString() and both.count() == 1
+
+
+def test_copies_are_compared_once_in_token_overlap(spark):
+    linked_once(spark, "token_overlap")
