@@ -49,15 +49,17 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def merge_report(sources: DataFrame, targets: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Counters of a merge as lines of counter and n; without candidates all but the rows of either side are 0 or all rows."""
-    good = candidates.filter("accepted")
-    left = lambda rows, side: rows.join(good.select(F.col(side).alias("id")), "id", "left_anti").agg(F.count("*"))
+def merge_report(sources: DataFrame, targets: DataFrame, accepted: DataFrame, counts: DataFrame) -> DataFrame:
+    """Counters of a merge as lines of counter and n; without candidates all but the rows of either side are 0 or all rows.
+
+    accepted: the pairs that are; counts: candidates, accepted, conflicts and manual, in one row. A linked pair has a
+    score of 100, so each refused one is a severe conflict.
+    """
+    left = lambda rows, side: rows.join(accepted.select(F.col(side).alias("id")), "id", "left_anti").agg(F.count("*"))
     return _union([
         _lines(sources.agg(F.count("*").alias("source_rows"))), _lines(targets.agg(F.count("*").alias("target_rows"))),
-        _lines(candidates.agg(
-            F.count("*").alias("candidates"), F.count_if("accepted").alias("accepted_matches"), F.count_if(F.col("conflict_reason") != "").alias("conflict_rows"),
-            F.count_if("manual_required").alias("manual_required_rows"), F.count_if((F.col("conflict_reason") != "") & (F.col("score") >= SEVERE)).alias("severe_conflicts"),
+        _lines(counts.select(
+            "candidates", F.col("accepted").alias("accepted_matches"), F.col("conflicts").alias("conflict_rows"), F.col("manual").alias("manual_required_rows"), F.col("conflicts").alias("severe_conflicts"),
         )),
         _lines(left(sources, "source_id").toDF("unmatched_source_rows")), _lines(left(targets, "target_id").toDF("unmatched_target_rows")),
         _lines(targets.select("partition_key").distinct().agg(F.count("*").alias("merge_steps"))),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import review as V
+from ..operators.linkage import pair_counts
 from .inputs import table
-from .linkage_queries import PAIRS_SQL, candidates, target_rows, value_rows
+from .linkage_queries import PAIRS_SQL, candidates, judged, target_rows, value_rows
 
 QUERIES, ORACLES = {}, {}
 
@@ -21,7 +22,14 @@ existing AS existing_value, extracted AS extracted_value, 'review partition_mapp
 QUERIES["A13_review_flags"] = lambda s, d: V.review_flags(candidates(s, d))
 ORACLES["A13_review_flags"] = f"""WITH {PAIRS_SQL} SELECT {_ID('FL')} AS flag_id, 'high' AS severity, target_id, source_id, 'match' AS field, conflict_reason AS issue,
 'X_Label+Size->Name+Size|Group->Group' AS reason, 'manual review' AS recommended_action FROM m WHERE conflict_reason <> ''"""
-QUERIES["A13_merge_report"] = lambda s, d: V.merge_report(value_rows(s, d), target_rows(s, d), candidates(s, d))
+
+
+def _merge_report(s, d):
+    j = judged(s, d)
+    return V.merge_report(value_rows(s, d), target_rows(s, d), j.accepted, pair_counts(j))
+
+
+QUERIES["A13_merge_report"] = _merge_report
 ORACLES["A13_merge_report"] = f"""WITH {PAIRS_SQL} SELECT 'source_rows' AS counter, count(*) AS n FROM s UNION ALL SELECT 'target_rows', count(*) FROM t UNION ALL SELECT 'candidates', count(*) FROM m
 UNION ALL SELECT 'accepted_matches', count_if(accepted) FROM m UNION ALL SELECT 'conflict_rows', count_if(conflict_reason <> '') FROM m UNION ALL SELECT 'severe_conflicts', count_if(conflict_reason <> '') FROM m
 UNION ALL SELECT 'manual_required_rows', count_if((reason IS NULL AND takers > 1) OR (partition_key = 'brand#5' AND NOT accepted)) FROM m

@@ -50,3 +50,26 @@ def test_keys_of_rows_are_never_sent_whole(spark):
 
 def test_copies_are_compared_once_in_token_overlap(spark):
     linked_once(spark, "token_overlap")
+
+
+def refused_and_accepted(spark):
+    """Two targets of a source, filled targets, empty sources, several takers, repeated and missing ids, in three partitions."""
+    cells = [("s1", "a", "1"), ("s2", "b", "1"), ("s3", "b", "2"), ("s4", "c", "1"), ("s5", "d", ""), ("s6", "e", "1"), ("s7", "v", "4")]
+    s = [(p, f"{p}{i}", {"A": x, "Value": v}) for p in ("p", "q", "r") for i, x, v in cells] + [(p, "twice", {"A": "g", "Value": "5"}) for p in ("p", "r")] + [("q", None, {"A": "h", "Value": "6"})]
+    slots = [("t1", "a", ""), ("t2", "b", ""), ("t3", "c", "7"), ("t4", "d", ""), ("t5", "e", ""), ("t6", "e", ""), ("t7", "g", "")]
+    t = [(p, f"{p}{i}", {"N": x, "K": "l" if i == "t2" else "k", "Experiment_value": v}) for p in ("p", "q", "r") for i, x, v in slots] + [("q", None, {"N": "h", "Experiment_value": ""})]
+    of = lambda p, mode, review, fixed=None: (p, "Value", "Experiment_value", [(["A"], ["N"], mode, True, [(["v"], ["a"])])], fixed, "low", review)
+    return rows(spark, "s", s), rows(spark, "t", t), spark.createDataFrame([of("p", "exact", True), of("q", "contains", False), of("r", "exact", False, [("K", "k")])], L.PLAN)
+
+
+def test_judging_by_classes_equals_judging_pairs(spark):
+    links = refused_and_accepted(spark)
+    pairs = L.resolve_conflicts(L.linked_pairs(*links))
+    j = L.judged(*links)
+    plain = lambda df: sorted(map(str, df.select(pairs.columns).collect()))
+    want = plain(pairs)
+    assert plain(L.resolved_pairs(j)) == want and len({r.conflict_reason for r in pairs.collect()}) == 5
+    ids = lambda df: sorted((str(r.source_id), str(r.target_id), r.extracted) for r in df.collect())
+    assert ids(j.accepted) == ids(pairs.filter("accepted")) != []
+    row = pairs.collect()
+    assert tuple(L.pair_counts(j).first()) == (len(row), sum(r.accepted for r in row), sum(r.conflict_reason != "" for r in row), sum(r.manual_required for r in row))
