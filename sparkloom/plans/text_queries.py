@@ -236,7 +236,8 @@ SELECT doc_id, line_no, table_line, x <> '' AND NOT table_line AND NOT regexp_ma
 
 def _literals(spark, sf_dir):
     """Cells as literals of names and types: a list with a tuple and a dict in it, a dict, a broken list, and no literal."""
-    p = table(spark, sf_dir, "part")
+    # small rows of much work, which a file of few bytes would leave to one task
+    p = table(spark, sf_dir, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     q = lambda c: F.concat(F.lit("'"), c, F.lit("'"))
     name, kind, size = F.col("p_name"), F.col("p_type"), F.col("p_size").cast("string")
     listed = F.concat(F.lit("["), q(name), F.lit(", ("), size, F.lit(", \"it\\'s\",), {'b': None, 'a': "), q(kind), F.lit("}, True, ' ']"))

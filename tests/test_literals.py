@@ -46,3 +46,10 @@ def test_cells_split(spark, text, parts):
 ])
 def test_nested_text(spark, text, flat):
     assert spark.createDataFrame([(text,)], "t string").select(L.nested_text(F.col("t")).alias("p")).first().p == flat
+
+
+def test_a_literal_is_read_once_a_row(spark):
+    """However often its tokens and its JSON are named: inside lambdas Spark works out each mention anew."""
+    row = spark.range(1).select(F.lit("['a']").alias("c"))
+    plan = lambda c: row.select(c.alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan(L.nested_text(F.col("c"))).count("regexp_extract_all") == plan(L.split_cell(F.col("c"))).count("regexp_extract_all") == 2
