@@ -101,7 +101,9 @@ ORACLES["J25_fallback_mapping"] = "SELECT doc_id, CAST(quality AS VARCHAR) AS v
 
 
 def _colours(s, d):
-    e = table(s, d, "embeddings").select("vec_id", *[F.floor(F.abs(F.col("embedding")[i]) * 1000 % 256).cast("double").alias(c) for i, c in enumerate("xyz")])
+    single = lambda n: F.lit(n).cast("float")  # noqa: E731 - with whole numbers Spark would go on in double precision, where 0.01 gives 9 and not 10
+    shade = lambda c: F.when(F.isnan(c), c.cast("double")).otherwise(F.floor(c).cast("double"))  # noqa: E731 - floor makes 0 of what is no number
+    e = table(s, d, "embeddings").select("vec_id", *[shade(F.abs(F.get("embedding", F.lit(i)).cast("float")) * single(1000) % single(256)).alias(c) for i, c in enumerate("xyz")])
     L, a, b = R.lab(F.col("x"), F.col("y"), F.col("z"))
     rows = e.select("vec_id", L.alias("L"), a.alias("a"), b.alias("b"))
     bar = table(s, d, "region").select(F.col("r_regionkey").alias("value"), (F.col("r_regionkey") * 60).cast("double").alias("g"))
