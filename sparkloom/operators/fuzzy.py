@@ -19,7 +19,7 @@ LEAST, SHORTEST = 0.55, 200
 
 #: Needles and paragraphs that meet in one task, and bytes of the latter; more are dealt out to more tasks.
 NEEDLES, PARAGRAPHS, BYTES = 1024, 1024, 8 << 20
-GRAMS, LETTERS = 2048, 64  # places that hashes of three characters and of one are counted in
+LETTERS, MARKED = 64, 1 << 15  # places that hashes of characters are counted in, and of runs of one to three are marked in
 FOUND = "id string, doc_id long, paragraph int, score double"
 
 
@@ -49,50 +49,138 @@ def _counts(keys: np.ndarray, held: np.ndarray, places: int) -> np.ndarray:
     return np.bincount(row * places + keys[held] % places, minlength=len(keys) * places).reshape(len(keys), places).astype(np.float32)
 
 
-def _profile(texts: list[str], most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of letters and of runs of three, hashed: places shared by several can only raise what two texts have in common."""
+def _profile(texts: list[str], most: int) -> np.ndarray:
+    """Counts of letters, hashed: places shared by several can only raise what two texts have in common."""
     code, _ = _codes(texts, most)
-    runs = code[:, :-2] * 40_503 + code[:, 1:-1] * 641 + code[:, 2:]
-    return _counts(code, code >= 0, LETTERS), _counts(runs, code[:, 2:] >= 0, GRAMS)
-
-
-def _seeds(texts: list[str], low: int) -> np.ndarray:
-    """The most characters, rare in their paragraph, that a matching block can start from, over all cuts from low to low + 99.
-
-    In a text of 200 characters or more, those that make up over a hundredth of it start no block.
-    """
-    upper, sizes = _codes(texts, low + 99)
-    bar = np.minimum(sizes, low) // 100 + 1
-    row = np.broadcast_to(np.arange(len(texts))[:, None], upper.shape)
-    lower = (np.arange(upper.shape[1]) < low) & (upper >= 0)
-    key, n = np.unique((row << 21 | upper)[upper >= 0], return_counts=True)
-    at, here = np.unique((row << 21 | upper)[lower], return_counts=True)
-    start = np.zeros(len(key), np.int64)
-    start[np.searchsorted(key, at)] = here
-    p = key >> 21
-    return np.bincount(p, np.where(start <= bar[p], np.minimum(n, bar[p]), 0), minlength=len(texts))
+    return _counts(code, code >= 0, LETTERS)
+
+
+def _places(code: np.ndarray, back: int) -> np.ndarray:
+    """Where a run of ``back`` + 1 characters is marked in a table; runs that share a place can only raise what two texts have in common."""
+    if not back:
+        return code & (MARKED - 1)
+    key = code[back:].astype(np.uint64)
+    for n in range(1, back + 1):
+        key = key * np.uint64(0x9E3779B97F4A7C15) + code[back - n : len(code) - n].astype(np.uint64)
+    return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MARKED.bit_length() + 1)).astype(np.int64)
+
+
+class _Needles:
+    """Needles side by side, with a gap of two behind each, in which no run begins or ends."""
+
+    def __init__(self, heads: list[str]):
+        code, sizes = _codes(heads, max(map(len, heads)))
+        code = np.pad(code[:, : int(sizes.max())], ((0, 0), (0, 2)), constant_values=-1)
+        keep = np.arange(code.shape[1]) < (sizes + 2)[:, None]
+        self.owner = np.append(np.flatnonzero(keep) // code.shape[1], len(heads))
+        self.ends = np.cumsum(sizes + 2)
+        flat = code[keep]
+        self.held = flat >= 0
+        flat = np.where(self.held, flat, 0)
+        self.one, self.two, self.three = flat & (MARKED - 1), np.append(_places(flat, 1), 0), np.append(_places(flat, 2), [0, 0])
+        self.pair = self.held & np.append(self.held[1:], False)
+        self.triple = self.pair & np.append(self.pair[1:], False)
+        self.n = len(heads)
+
+    def covered(self, ones: np.ndarray, twos: np.ndarray, threes: np.ndarray) -> np.ndarray:
+        """For each needle, the most of its characters that blocks can hold, which are runs of the marked ones.
+
+        A block holds a character of ``ones`` or is a common beginning. One of three characters or more lies where
+        every three in a row are marked; a shorter one is its character and one beside it.
+        """
+        rare, pair = ones[self.one] & self.held, twos[self.two] & self.pair
+        run = threes[self.three] & self.triple
+        step = np.diff(run.view(np.int8), prepend=0, append=0)
+        first, last = np.flatnonzero(step == 1), np.flatnonzero(step == -1) + 1  # of the characters of each unbroken row of runs
+        before = np.append(0, np.cumsum(rare))
+        begins = np.append(True, self.owner[1:-1] != self.owner[:-2])
+        good = (before[last + 1] > before[first]) | begins[first]
+        first, last = first[good], last[good]
+        size = last - first + 1.0
+        if len(first) > 1:
+            size[1:] -= np.maximum(last[:-1] - first[1:] + 1, 0)
+        beside = np.append(False, pair[:-1])  # the character before goes along with this one
+        size += (rare[last] & pair[last]).astype(float) + (rare[first] & beside[first])
+        inside = run.copy()
+        inside[1:] |= run[:-1]
+        inside[2:] |= run[:-2]
+        alone = np.flatnonzero(rare & ~inside)
+        out = np.bincount(self.owner[first], size, minlength=self.n)
+        return out + np.bincount(self.owner[alone], 1.0 + (pair[alone] | beside[alone]), minlength=self.n) + 2
+
+
+class _Marks:
+    """What blocks can hold of a paragraph: its characters, those rare in it, and runs of two and three, of any beginning of it."""
+
+    def __init__(self, text: str):
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        self.keys, self.at = np.unique(code, return_inverse=True)
+        self.two, self.three = _places(code, 1), _places(code, 2)
+
+    def rare(self, low: int, most: int) -> np.ndarray:
+        """Places of the characters that a block can start from, over all cuts from low to ``most`` = low + 99.
+
+        In a text of 200 characters or more, those that make up over a hundredth of it start no block.
+        """
+        count = lambda end: np.bincount(self.at[:end], minlength=len(self.keys))
+        return _places(self.keys[(count(low) <= min(len(self.at), low) // 100 + 1) & (count(most) > 0)], 0)
+
+    def until(self, low: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.rare(low, most), self.two[: most - 1], self.three[: most - 2]
 
 
 def _bounds(heads: list[str], chunks: list[str]) -> Iterator[tuple[int, np.ndarray]]:
     """For each needle, no less than its similarity to every paragraph.
 
     Blocks of the similarity are disjoint and in order, so they hold no more characters than both texts have in
-    common. In long paragraphs each block but a common beginning holds a rare character; with at most k blocks,
-    all but 2 k of their characters begin a run of three that both texts have.
+    common. In long paragraphs each block but a common beginning holds a rare character, so that no more of the
+    needle counts than stands in runs of the paragraph around these.
     """
     of = np.array([len(h) for h in heads])
     size = np.array([len(c) for c in chunks])
-    for low in np.unique(np.maximum(2 * of, SHORTEST) // 100 * 100):
-        here = np.flatnonzero(np.maximum(2 * of, SHORTEST) // 100 * 100 == low)
-        letters, runs = _profile(chunks, int(low) + 99)
-        own, grams = _profile([heads[i] for i in here], int(of.max()))
-        blocks = _seeds(chunks, int(low)) + 1
-        shared = np.minimum(runs @ (grams > 0).T, (runs > 0).astype(np.float32) @ grams.T) + 2 * blocks[:, None]
+    marks = [np.zeros(MARKED, bool) for _ in range(3)]
+    band = np.maximum(2 * of, SHORTEST) // 100 * 100
+    held = [_Marks(c[: int(band.max()) + 99]) if len(c) >= SHORTEST else None for c in chunks]
+    for low in np.unique(band):
+        here = np.flatnonzero(band == low)
+        most = int(low) + 99
+        letters, own = _profile(chunks, most), _profile([heads[i] for i in here], int(of.max()))
+        side = _Needles([heads[i] for i in here])
+        covered = np.empty((len(chunks), len(here)))
+        for p, of_text in enumerate(held):
+            if of_text is None:
+                covered[p] = most
+                continue
+            at = of_text.until(int(low), most)
+            for m, places in zip(marks, at):
+                m[places] = True
+            covered[p] = side.covered(*marks)
+            for m, places in zip(marks, at):
+                m[places] = False
         for k, i in enumerate(here):
             n = np.minimum(size, max(2 * of[i], SHORTEST))
-            most = np.minimum(np.minimum(letters, own[k]).sum(1), np.minimum(n, of[i]))
-            most = np.where(n >= SHORTEST, np.minimum(most, shared[:, k]), most)
-            yield int(i), 2.0 * most / (of[i] + n)
+            common = np.minimum(np.minimum(letters, own[k]).sum(1), np.minimum(n, of[i]))
+            yield int(i), 2.0 * np.minimum(common, covered[:, k]) / (of[i] + n)
+
+
+def _ratio(a: str, b: str, least: float) -> float:
+    """The similarity of two texts, or 0 as soon as what its blocks leave between them cannot bring it to ``least``."""
+    found, whole = SequenceMatcher(None, a, b), len(a) + len(b)
+    matched, left = 0, min(len(a), len(b))
+    rest = [(0, len(a), 0, len(b))]
+    while rest:
+        alo, ahi, blo, bhi = rest.pop()
+        i, j, k = found.find_longest_match(alo, ahi, blo, bhi)
+        left -= min(ahi - alo, bhi - blo)
+        if k:
+            matched += k
+            for r in ((alo, i, blo, j), (i + k, ahi, j + k, bhi)):
+                if r[0] < r[1] and r[2] < r[3]:
+                    rest.append(r)
+                    left += min(r[1] - r[0], r[3] - r[2])
+        if 2.0 * (matched + left) / whole < least - 1e-12:
+            return 0.0
+    return 2.0 * matched / whole
 
 
 def _nearest(_key, needles: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
@@ -107,7 +195,7 @@ def _nearest(_key, needles: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         for p in np.argsort(-bound, kind="stable"):
             if bound[p] < best - 1e-12:
                 break
-            score = SequenceMatcher(None, heads[i], chunks[p][: max(len(heads[i]) * 2, SHORTEST)]).ratio()
+            score = _ratio(heads[i], chunks[p][: max(len(heads[i]) * 2, SHORTEST)], best)
             if score > best or (score == best and (at is None or p < at)):
                 best, at = score, p
         if at is not None:

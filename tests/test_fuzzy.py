@@ -73,6 +73,26 @@ def test_bounds_are_never_below_the_similarity(texts):
     assert cut > 0.5 * seen  # long paragraphs are mostly ruled out without a look
 
 
+def test_bounds_rule_out_nearly_all_long_paragraphs(texts):
+    con = connection()
+    heads = [_plain(t).casefold() for (t,) in con.sql("SELECT text FROM benchmark LIMIT 40").fetchall()]
+    chunks = [c for c in (_plain(t).casefold() for (t,) in con.sql("SELECT text FROM documents").fetchall()) if len(c) >= 200]
+    passed = sum(int((bound >= Z.LEAST).sum()) for _, bound in Z._bounds(heads, chunks))
+    assert passed < 0.01 * len(heads) * len(chunks)  # 19 in a hundred with counts of runs alone
+
+
+def test_a_similarity_that_is_cut_short_is_below_the_least(texts):
+    needles, docs = texts
+    heads, chunks = [_plain(t).casefold() for _, t in needles], [_plain(t).casefold() for _, t in docs]
+    chunks += [c[:n] for c in chunks for n in (20, 120, 199)]
+    for a in heads[:8]:
+        for b in chunks:
+            b = b[: max(len(a) * 2, 200)]
+            score = SequenceMatcher(None, a, b).ratio()
+            assert Z._ratio(a, b, 0.0) == score
+            assert Z._ratio(a, b, 0.55) == (score if score >= 0.55 else 0.0) or score < 0.55
+
+
 def test_keys_nulls_ties_and_empty_tables(spark):
     docs = [(3, "p", "the same words stand here"), (2, "p", "intro\n \n\nthe same words stand here"), (1, "q", "the same words stand here"), (4, "p", None), (5, "p", ""), (6, None, "alone among nulls")]
     needles = [(1, "p", "The *same* wordz stand here"), (2, "r", "the same words stand here"), (3, "p", None), (4, "p", " "), (5, None, "alone among nullz"), (6, "p", "[the same](http://x) words stand hare"), (7, "p", "1234567890")]
