@@ -73,3 +73,15 @@ def test_judging_by_classes_equals_judging_pairs(spark):
     assert ids(j.accepted) == ids(pairs.filter("accepted")) != []
     row = pairs.collect()
     assert tuple(L.pair_counts(j).first()) == (len(row), sum(r.accepted for r in row), sum(r.conflict_reason != "" for r in row), sum(r.manual_required for r in row))
+
+
+def test_scored_pairs_of_copies_are_compared_once(spark):
+    kinds = [("k", "x", "p", 1), ("k", "x", "q", 1), ("k", "x", "p", 2), ("k", None, "p", 1), ("k", "", "p", 1), (None, "x", "p", 1)]
+    copies = [(i * 50 + n, *kind) for i, kind in enumerate(kinds) for n in range(50)]
+    a, b = (spark.createDataFrame(copies, f"{n} int, block string, s1 string, s2 string, s3 int") for n in "ab")
+    found = L.scored_linkage(a, b, "block", {"s1": 15, "s2": 15, "s3": 5}, 55, 75)
+    hit = lambda x, y: x[0] is not None and x[0] == y[0] and 15 * (bool(x[1]) and x[1] == y[1]) + 15 * (x[2] == y[2]) + 5 * (x[3] == y[3]) >= 20
+    want = sum(hit(x, y) for x in kinds for y in kinds)
+    assert found.count() == found.distinct().count() == want * 2500
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan  # classes of rows, not rows, are compared
