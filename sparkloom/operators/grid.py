@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,20 +52,85 @@ def components(cells: DataFrame) -> DataFrame:
     """4-connected components of occupied cells: sheet, r, c1, c2 (a run of cells in a row) and component, its smallest run.
 
     Cells of a row form runs; runs of neighbouring rows are linked where they overlap. Labels are numbers
-    r * 2**20 + c1, and the smallest spreads along the links, twice as far in each round by taking the
-    label of the label; each round is written, so that plans do not grow.
+    r * 2**20 + c1. Bands of rows are linked first; between them the smallest label spreads along the links, twice
+    as far in each round by taking the label of the label; each round is written, so that plans do not grow.
     """
     filled = cells.filter(F.trim("value") != "").select("sheet", "r", "c").distinct()
     return linked_runs(_islands(filled, ["sheet", "r"], "c", "c1").groupBy("sheet", "r", "c1").agg(F.max("c").alias("c2")))
 
 
+#: Rows of a sheet whose runs are linked in one task; runs of neighbouring bands are linked after, by their components.
+BAND = 64
+
+
+def _band_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs, sorted by band (``key``), row and column, with ``component``, the smallest run that they are linked with inside their band."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+        starts = _starts(table["key"])
+        yield from _linked(table.slice(0, starts[-1]), starts[:-1])
+        rest = table.slice(starts[-1])  # the last band may go on
+    if rest is not None:
+        yield from _linked(rest, _starts(rest["key"]))
+
+
+def _starts(key: pa.ChunkedArray) -> np.ndarray:
+    """Where another key begins."""
+    other = pc.not_equal(key.slice(1), key.slice(0, len(key) - 1))
+    return np.append(0, np.flatnonzero(other.to_numpy()) + 1) if len(key) else np.zeros(1, np.int64)
+
+
+def _linked(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if not len(table):
+        return
+    r, c1, c2 = (table[c].to_numpy() for c in ("r", "c1", "c2"))
+    ends = np.append(starts[1:], len(r))
+    height = r[ends - 1] - r[starts] + 2  # a row between bands stays empty
+    row = (r + np.repeat(np.cumsum(height) - height - r[starts], ends - starts)) << 24  # labels have 20 bits for columns
+    low = np.searchsorted(row + c2, row - (1 << 24) + c1)
+    high = np.searchsorted(row + c1, row - (1 << 24) + c2, side="right")
+    n = np.maximum(high - low, 0)
+    here = np.repeat(np.arange(len(r)), n)
+    above = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+    label, moved = np.arange(len(r)), True  # runs are in order, so that the smallest place is the smallest run
+    while moved:
+        before, least = label, np.minimum(label[here], label[above])
+        label = label.copy()
+        for end in (here, above, before[here], before[above]):
+            np.minimum.at(label, end, least)
+        label = label[label]
+        moved = (label != before).any()
+    found = table.drop_columns(["key"]).append_column("component", pa.array(r[label] * (1 << 20) + c1[label]))
+    yield from found.combine_chunks().to_batches()
+
+
 def linked_runs(runs: DataFrame) -> DataFrame:
-    """Runs (sheet, r, c1, c2, apart in their row) with the smallest run of their component."""
-    runs = runs.withColumn("run", F.col("r").cast("long") * (1 << 20) + F.col("c1"))
-    above = runs.select("sheet", (F.col("r") + 1).alias("r"), F.col("c1").alias("a1"), F.col("c2").alias("a2"), F.col("run").alias("other"))
-    links = runs.join(above, ["sheet", "r"]).filter("c1 <= a2 and a1 <= c2").select("sheet", "run", "other")
-    links = written(links.unionByName(links.select("sheet", F.col("other").alias("run"), F.col("run").alias("other"))))
-    labels = written(runs.select("sheet", "run", F.col("run").alias("component")))
+    """Runs (sheet, r, c1, c2, apart in their row) with the smallest run of their component.
+
+    Runs of a band of rows are linked in one task, so that only components that touch the edge of a band go through
+    the rounds in which labels spread.
+    """
+    given = [F.col(c).cast(runs.schema[c].dataType) for c in ("r", "c1", "c2")]
+    runs = runs.filter("sheet is not null").select("sheet", F.col("r").cast("long").alias("r"), F.col("c1").cast("long").alias("c1"), F.col("c2").cast("long").alias("c2"))
+    shape = runs.withColumn("component", F.lit(0).cast("long")).schema
+    bands_ = runs.withColumn("band", F.floor(F.col("r") / BAND)).repartition("sheet", "band").sortWithinPartitions("sheet", "band", "r", "c1")
+    found = written(bands_.select(*runs.columns, F.to_json(F.struct("sheet", "band")).alias("key")).mapInArrow(_band_components, shape))
+    edge = lambda at, r, c: found.filter(F.pmod("r", F.lit(BAND)) == at).select("sheet", r.alias("r"), F.col("c1").alias(f"{c}1"), F.col("c2").alias(f"{c}2"), F.col("component").alias(c))
+    links = edge(0, F.col("r"), "a").join(edge(BAND - 1, F.col("r") + 1, "b"), ["sheet", "r"]).filter("a1 <= b2 and b1 <= a2")
+    links = written(links.select("sheet", "a", "b").distinct())
+    if links.isEmpty():
+        return found.select("sheet", *given, "component")
+    both = links.select("sheet", F.col("a").alias("run"), F.col("b").alias("other"))
+    both = written(both.unionByName(links.select("sheet", F.col("b").alias("run"), F.col("a").alias("other"))))
+    labels = _spread(both)
+    return found.withColumnRenamed("component", "run").join(labels, ["sheet", "run"], "left").withColumn("component", F.coalesce("component", "run")).select("sheet", *given, "component")
+
+
+def _spread(links: DataFrame) -> DataFrame:
+    """sheet, run, component: the smallest number that a run is linked with; links go both ways."""
+    labels = written(links.select("sheet", "run", F.col("run").alias("component")).distinct())
     moved = True
     while moved:
         near = links.join(labels.select("sheet", F.col("run").alias("other"), "component"), ["sheet", "other"]).groupBy("sheet", "run").agg(F.min("component").alias("near"))
@@ -69,7 +139,7 @@ def linked_runs(runs: DataFrame) -> DataFrame:
         after = written(lower.join(of_low, ["sheet", "low"]).select("sheet", "run", F.least("low", "jump").alias("component"), (F.least("low", "jump") < F.col("component")).alias("moved")))
         labels = after.select("sheet", "run", "component")
         moved = not after.filter("moved").isEmpty()
-    return runs.join(labels, ["sheet", "run"]).select("sheet", "r", "c1", "c2", "component")
+    return labels
 
 
 def dilated(cells: DataFrame, rows: int = 0, cols: int = 1, first: int = 1) -> DataFrame:
@@ -97,6 +167,7 @@ def layout_boxes(cells: DataFrame, merged: DataFrame | None = None, rows: int =
 
     merged: sheet, r1, r2, c1, c2. A range counts whole for each component with a place in it, but does not link components.
     """
+    cells = written(cells.filter(F.trim("value") != "").select("sheet", "r", "c", "value"))  # read several times
     runs = linked_runs(dilated(cells, rows, cols, first))
     edges = runs.select("sheet", "component", F.col("r").alias("r1"), F.col("r").alias("r2"), "c1", "c2")
     if merged is not None:
@@ -114,10 +185,12 @@ def absorbed(found: DataFrame) -> DataFrame:
 
     Of equal boxes the one with the smallest component stays. A box inside several that stay goes to the first of them.
     """
+    found = written(found)  # read several times
     at = F.struct((-(F.col("r2") - F.col("r1") + 1) * (F.col("c2") - F.col("c1") + 1)).alias("size"), "r1", "c1", "component")
     placed = found.withColumn("at", at)
     outer = placed.select("sheet", F.col("at").alias("o_at"), F.col("r2").alias("o_r2"), F.col("c1").alias("o_c1"), F.col("c2").alias("o_c2"), F.explode(F.sequence("r1", "r2")).alias("r1"))
     held = placed.join(outer, ["sheet", "r1"]).filter("o_at < at and r2 <= o_r2 and c1 >= o_c1 and c2 <= o_c2").select("sheet", "component", "at", "o_at")
+    held = written(held)
     inner = held.select("sheet", F.col("component").alias("gone")).distinct()
     kept = held.join(inner.withColumnRenamed("gone", "o_component"), (held["sheet"] == inner["sheet"]) & (F.col("o_at.component") == F.col("o_component")), "left_anti")
     first = kept.groupBy("sheet", "component", "at").agg(F.min("o_at").alias("parent"))
@@ -134,7 +207,7 @@ def numeric_bodies(cells: DataFrame, blocks: DataFrame) -> DataFrame:
     the cells, where they have them).
     """
     key = ["sheet", "r1", "r2", "c1", "c2"]
-    b = blocks.select(*key).distinct()
+    b = written(blocks.select(*key).distinct())
     within = cells.filter(F.trim("value") != "").join(b.withColumn("r", F.explode(F.sequence("r1", "r2"))), ["sheet", "r"]).filter("c between c1 and c2")
     block = F.struct(*key)
     bodies = boxes(components(within.filter(percent_number(F.col("value")) != "").select(block.alias("sheet"), "r", "c", "value")))

@@ -174,3 +174,42 @@ def test_column_context_equals_plain_walks(spark):
         got = {tuple(x) for x in G.column_context(cells, df).collect()}
         assert got == {(s, *x) for s in sheets for x in _context(sheets[s], m[s])}
     assert G.column_context(cells.limit(0), ranges).count() == 0
+
+
+def _plain_components(places):
+    """(sheet, r, c) -> smallest place of its component, by a walk over the grid."""
+    out = {}
+    for start in sorted(places):
+        todo = [start]
+        while todo:
+            at = todo.pop()
+            if at in places and at not in out:
+                out[at] = start[1] * (1 << 20) + start[2]
+                s, r, c = at
+                todo += [(s, r + 1, c), (s, r - 1, c), (s, r, c + 1), (s, r, c - 1)]
+    return out
+
+
+def test_components_within_and_across_bands(spark, monkeypatch):
+    r = random.Random(3)
+    places = {(s, y, x) for s in range(6) for y in range(1, 26) for x in range(1, 20) if r.random() < (0.45, 0.6, 0.75)[s % 3]}
+    places |= {(9, y, 5 if y % 4 < 2 else 6) for y in range(1, 120)} | {(9, y, x) for y in range(2, 120, 2) for x in (5, 6)}  # one component over many bands
+    cells = spark.createDataFrame([(*p, "v") for p in sorted(places)], "sheet int, r int, c int, value string")
+    want = _plain_components(places)
+    spread, rounds = G._spread, []
+    monkeypatch.setattr(G, "_spread", lambda links: rounds.append(1) or spread(links))
+
+    def found():
+        runs = G.components(cells)
+        assert dict(runs.dtypes) == {"sheet": "int", "r": "int", "c1": "int", "c2": "int", "component": "bigint"}
+        return {(x.sheet, x.r, c): x.component for x in runs.collect() for c in range(x.c1, x.c2 + 1)}
+
+    monkeypatch.setattr(G, "BAND", 1 << 10)
+    assert found() == want and not rounds  # whole sheets in a band: no label goes through a round
+    monkeypatch.setattr(G, "BAND", 4)
+    assert found() == want and rounds
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert found() == want  # bands that go on in the next batch
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
