@@ -41,6 +41,8 @@ def value_rows(df: DataFrame, value_column: str, source: str, row: str, mapped:
     names = _named(inside, VALUE_COLUMNS)
     context = _row_text(df, {source, row})
     own = item_key(names[0], context, F.lit(" | ".join(inside.columns)), F.col(source))
+    df = df.withColumn("_own", own)  # told once a row, and not again for each column that names it
+    own = F.col("_own")
     key = own if mapped is None else F.coalesce(F.nullif(mapped, F.lit("")), own)
     text = given(F.col(f"`{value_column}`"))
     payload = F.create_map(*[x for c in inside.columns for x in (F.lit(c), given(F.col(f"`{c}`")))])

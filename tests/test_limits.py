@@ -76,3 +76,10 @@ def test_table_spans_end_where_text_begins(spark):
     out = {r["item"]: (r.is_table, r.snippet) for r in A.table_spans(lines, hits, F.col("line").startswith("|"), F.col("line").rlike("^(#|Table [0-9])")).collect()}
     assert out["table 1"] == (True, "Table 1. A\n\n| a | b |\n| 1 | 2 |\none line")
     assert out["table 2"][0] is False and "no rows" in out["table 2"][1]
+
+
+def test_a_value_rows_key_is_told_once_a_row(spark):
+    df = spark.createDataFrame([("Fig. 2b", "1", "f.csv", 1)], "Figure string, Value string, src string, row long")
+    rows = C.value_rows(df, "Value", "src", "row").select("item_id", "figure_key", "partition_key")
+    plan, one = (x._jdf.queryExecution().optimizedPlan().toString() for x in (rows, rows.select("item_id")))
+    assert tuple(rows.first()) == ("figure 2b",) * 3 and plan.count("transform(") == one.count("transform(") > 0
