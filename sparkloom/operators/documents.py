@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import document_priority, document_type, item_hint, sentence_kind, sentence_text, useful_line
+from ..sources.stage import written
 
 #: Abbreviations whose stops end no sentence, and how they are masked while sentences are cut.
 PROTECTED = (("Fig.", "Fig§"), ("fig.", "fig§"), ("Dr.", "Dr§"), ("e.g.", "e§g§"), ("i.e.", "i§e§"), ("et al.", "et al§"))
@@ -24,8 +25,9 @@ def marked_lines(docs: DataFrame) -> DataFrame:
     stripped = F.trim("line")
     heading = stripped.startswith("#")
     useful = useful_line(F.col("line")) & ~heading
-    lines = lines.withColumn("stripped", stripped).withColumn("is_heading", heading).withColumn("useful", useful)
-    lines = lines.withColumn("start", F.sum(F.char_length("line") + 1).over(upto) - F.char_length("line") - 1)
+    # the length goes through the windows by itself, so that a line is sorted once and not as it is and stripped
+    lines = lines.withColumn("stripped", stripped).withColumn("is_heading", heading).withColumn("useful", useful).withColumn("_size", F.char_length("line") + 1)
+    lines = lines.withColumn("start", F.sum("_size").over(upto) - F.col("_size")).drop("_size")
     own = F.when(F.col("useful"), item_hint(F.col("stripped"), F.lit(None).cast("string")))
     lines = lines.withColumn("hint", F.last(own, ignorenulls=True).over(upto))
     name = F.when(F.col("is_heading"), F.trim(F.regexp_replace("stripped", "^#+", "")))
@@ -55,10 +57,11 @@ def sentences(rows: DataFrame) -> DataFrame:
     for plain, mask in PROTECTED:
         masked = F.replace(masked, F.lit(plain), F.lit(mask))
     pieces, gaps = F.split(masked, BREAK), F.regexp_extract_all(masked, F.lit(BREAK), F.lit(0))
-    cut = rows.withColumn("gaps", gaps).select("*", F.posexplode(pieces).alias("i", "piece"))
+    cut = rows.withColumn("gaps", F.transform(gaps, lambda g: F.char_length(g))).select("*", F.posexplode(pieces).alias("i", "piece"))
     w = Window.partitionBy("doc_id", "seg").orderBy("i")
-    gap = F.coalesce(F.char_length(F.get("gaps", F.col("i"))), F.lit(0))
-    cut = cut.withColumn("end", F.sum(F.char_length("piece") + gap).over(w.rowsBetween(Window.unboundedPreceding, 0)) - gap)
+    # a piece goes through the windows with the length of its own gap, without those of the whole text
+    cut = cut.withColumn("_gap", F.coalesce(F.get("gaps", F.col("i")), F.lit(0))).withColumn("_reach", F.char_length("piece") + F.col("_gap")).drop("gaps")
+    cut = cut.withColumn("end", F.sum("_reach").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_gap")).drop("_gap", "_reach")
     cut = cut.withColumn("begin", F.col("end") - F.char_length("piece")).withColumn("raw", F.trim("piece")).filter("raw <> ''")
     opens = F.when((F.char_length("raw") >= SHORT) | (F.row_number().over(w) == 1), 1).otherwise(0)
     cut = cut.withColumn("chunk", F.sum(opens).over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -70,11 +73,17 @@ def sentences(rows: DataFrame) -> DataFrame:
 
 def sentence_index(docs: DataFrame, stem: Column | None = None) -> DataFrame:
     """doc_id, sentence_no, heading, hint, kind, sentence, char_start, char_end; sentences under 8 characters are left out."""
-    found = sentences(segments(docs)).filter(F.char_length("sentence") >= LEAST)
+    of_docs = written(segments(docs))
+    # a heading may be as long as its document, and each sentence has it: it joins last, and goes through no sort of sentences
+    none = F.lit("")
+    found = sentences(of_docs.select("doc_id", "seg", "start", "text", none.alias("heading"), none.alias("hint"))).filter(F.char_length("sentence") >= LEAST)
     number = F.row_number().over(Window.partitionBy("doc_id").orderBy("seg", "chunk"))
+    found = found.select("doc_id", "seg", "start", "b", "e", "sentence", number.alias("sentence_no"))
+    heads = of_docs.select(F.col("doc_id").alias("_doc"), F.col("seg").alias("_seg"), "heading", "hint")
+    found = found.join(heads.hint("merge"), found["doc_id"].eqNullSafe(heads["_doc"]) & (found["seg"] == heads["_seg"]))
     kind = sentence_kind(F.col("sentence"), F.col("heading"), F.lit("") if stem is None else stem)
     return found.select(
-        "doc_id", number.alias("sentence_no"), "heading", "hint", kind.alias("kind"), "sentence", (F.col("start") + F.col("b")).alias("char_start"), (F.col("start") + F.col("e")).alias("char_end")
+        "doc_id", "sentence_no", "heading", "hint", kind.alias("kind"), "sentence", (F.col("start") + F.col("b")).alias("char_start"), (F.col("start") + F.col("e")).alias("char_end")
     )
 
 

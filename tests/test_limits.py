@@ -83,3 +83,17 @@ def test_a_value_rows_key_is_told_once_a_row(spark):
     rows = C.value_rows(df, "Value", "src", "row").select("item_id", "figure_key", "partition_key")
     plan, one = (x._jdf.queryExecution().optimizedPlan().toString() for x in (rows, rows.select("item_id")))
     assert tuple(rows.first()) == ("figure 2b",) * 3 and plan.count("transform(") == one.count("transform(") > 0
+
+
+def test_sentences_are_sorted_without_lines_and_gaps_twice(spark):
+    from sparkloom.operators.documents import sentence_index
+
+    docs = spark.createDataFrame([(1, "# A heading\n  A first sentence that is long enough.  Another one that is long too. ")], "doc_id long, text string")
+    found = sentence_index(docs).select("doc_id", "sentence_no", "sentence")
+    assert [r.sentence for r in found.orderBy("sentence_no").collect()] == ["A heading", "A first sentence that is long enough.", "Another one that is long too."]
+    plan = found._jdf.queryExecution().optimizedPlan()
+    windows = [x for x in plan.toString().split("\n") if "Window [" in x]
+    assert windows and not any("gaps#" in x for x in windows)
+    joined = plan.toString().index("Join Inner")
+    whole = sentence_index(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert joined >= 0 and whole.index("Join Inner") < whole.index("Window [")  # headings join after all windows
