@@ -196,6 +196,40 @@ def test_trusted_text_has_a_bound_of_its_own(spark):
     assert sizes[0] == [] and 4500 < sum(sizes[5000]) <= 5000 and sorted(sizes[total]) == list(range(50, 250))
 
 
+def test_all_trusted_text_of_its_half_trains(spark):
+    """A trusted text of over a MB is learnt from, and so are more than 6,000 documents."""
+    half = F.pmod(F.xxhash64(F.lit("half"), "id"), F.lit(2))
+    ids = [r.id for r in spark.range(14_000).filter(half == 0).collect()]
+    other = "".join(chr(ord("a") + (i * i + i // 7) % 26) + chr(ord("A") + i % 3) for i in range(20))
+    rows = [(ids[0], other * 30_000, "en"), (20_001, other * 3, "en")] + [(i, f"{i * 7919 % 100_003:05d}" * 3, "en") for i in ids[1:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = {r.doc_id: r.perplexity for r in quality.quality(docs, docs.filter("doc_id <> 20001").select("doc_id", F.lit(1).alias("quality"))).collect()}
+    assert len(ids) > 6500 and out[20_001] < 1.5
+    seen = quality._of_ids(docs.select("doc_id", "text"), spark.createDataFrame([(i,) for i in ids], "doc_id long"))
+    assert seen.count() == len(ids) and seen.agg(F.sum(F.length("text"))).first()[0] == sum(len(r[1]) for r in rows[:1] + rows[2:])
+
+
+def test_a_model_in_shards_judges_alike(spark, odd_docs, monkeypatch):
+    docs = odd_docs.select("doc_id", "text", "lang").withColumn("judged", quality._judged_by("lang", "text"))
+    grams, contexts = quality.kneser_ney(spark.createDataFrame([(prose(60, i),) for i in range(6)], "text string"))
+    one = sorted((str(r.doc_id), r.judged, r.n_bytes, r.nats) for r in quality.perplexities(docs, grams, contexts).collect())
+    monkeypatch.setattr(quality, "SHARD_KEYS", 1500)
+    monkeypatch.setattr(quality, "_SLICE", 1000)
+    shards = quality._shards(grams, contexts)
+    more = sorted((str(r.doc_id), r.judged, r.n_bytes, r.nats) for r in quality.perplexities(docs, grams, contexts).collect())
+    assert len(shards) > 1 and [s[2] for s in shards[1:]] == [s[3] + 1 for s in shards[:-1]] and len(one) == odd_docs.count()
+    assert [x[:3] for x in one] == [x[:3] for x in more] and [x[3] for x in one] == pytest.approx([x[3] for x in more])
+
+
+def test_slices_of_bytes_have_the_same_keys(monkeypatch):
+    texts = [b"", b"ab", b"some words", b"", b"x" * 40, b"end"]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    monkeypatch.setattr(quality, "_SLICE", 7)
+    parts = list(quality.key_slices(data, offsets, 6))
+    assert np.concatenate([k for _, k in parts]).tolist() == quality.gram_keys(data, offsets, 6).tolist()
+    assert np.concatenate([of for of, _ in parts]).tolist() == np.repeat(np.arange(len(texts)), np.diff(offsets)).tolist()
+
+
 def test_kneser_ney_equals_its_definition(spark):
     """Counts, discounts and interpolation in plain Python, over bytes with padding before each text."""
     texts = [prose(30, i) for i in range(4)] + ["alpha", "", "é"]
