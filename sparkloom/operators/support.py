@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from ..sources.stage import written
 
@@ -13,6 +19,10 @@ LONG, LONG_SCORE, SHORT_SCORE, ITEM_SCORE = 5, 3, 1, 8
 FIRST = 20
 #: Rarest words of a row whose sentences give a first bound of its scores.
 PROBES = 4
+#: Rows, and words of all rows together, up to which rows are sent to where the sentences lie.
+FEW_ROWS, FEW_WORDS = 4096, 1 << 18
+#: Scores of a task at a time, and words met by rows at a time.
+_CELLS, _MET = 1 << 20, 1 << 21
 _KNOWN = "array<struct<word:string,common:boolean,place:int,score:int,rest:int>>"
 
 
@@ -79,6 +89,89 @@ def _word_pairs(rows: DataFrame, words: DataFrame, counts: DataFrame, least: int
     return asked.join(held, "key").select("id", "sid")
 
 
+def _postings(rows: list, tiers: list[int]) -> dict:
+    """Of rows (id, item, words): the words, and for each the rows that hold it, with its score and whether it is one of the row's first."""
+    at: dict[str, list[tuple[int, int, bool]]] = {}
+    for n, row in enumerate(rows):
+        for place, word in enumerate(row["words"]):
+            at.setdefault(word, []).append((n, LONG_SCORE if len(word) >= LONG else SHORT_SCORE, place < FIRST))
+    entries = np.array([x for found in at.values() for x in found], np.int64).reshape(-1, 3)
+    return {"words": list(at), "ptr": np.cumsum([0, *map(len, at.values())]), "row": entries[:, 0], "score": entries[:, 1], "front": entries[:, 2], "items": [row["item"] for row in rows], "tier": np.array(tiers, np.int64)}
+
+
+def _scores(part: pa.RecordBatch, p: dict) -> np.ndarray:
+    """Scores of sentences (hint, s_words) for all rows; -1 where the row's tier leaves the sentence out."""
+    n, m = len(part), len(p["items"])
+    lists = part.column("s_words")
+    flat = lists.flatten()
+    of = np.repeat(np.arange(n), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    word = pc.fill_null(pc.index_in(flat, value_set=pa.array(p["words"], flat.type)), -1).to_numpy(zero_copy_only=False)
+    of, word = of[word >= 0], word[word >= 0].astype(np.int64)
+    met = p["ptr"][word + 1] - p["ptr"][word]
+    upto = np.append(0, np.cumsum(met))
+    score, front = np.zeros(n * m), np.zeros(n * m)
+    a = 0
+    while a < len(word):
+        b = max(a + 1, int(np.searchsorted(upto, upto[a] + _MET, "right")) - 1)
+        at = np.repeat(p["ptr"][word[a:b]] - (upto[a:b] - upto[a]), met[a:b]) + np.arange(upto[b] - upto[a])
+        cell = np.repeat(of[a:b], met[a:b]) * m + p["row"][at]
+        score += np.bincount(cell, p["score"][at], n * m)
+        if (p["tier"] == 2).any():
+            front += np.bincount(cell, p["front"][at], n * m)
+        a = b
+    names = list(dict.fromkeys(x for x in p["items"] if x != ""))
+    code = {x: k for k, x in enumerate(names)}
+    hint = part.column("hint")
+    hint = pc.fill_null(pc.index_in(hint, value_set=pa.array(names, hint.type)), -1).to_numpy(zero_copy_only=False)
+    has = hint[:, None] == np.array([code.get(x, -2) for x in p["items"]])[None, :]
+    out = score.reshape(n, m) + ITEM_SCORE * has
+    out[~has & (p["tier"] == 1)] = -1
+    out[(front.reshape(n, m) == 0) & (p["tier"] == 2)] = -1
+    return out
+
+
+def _first(found: pa.Table, most: int) -> pa.Table:
+    """The best ``most`` of each row; equals by sid."""
+    found = found.take(pc.sort_indices(found, [("row", "ascending"), ("score", "descending"), ("sid", "ascending")]))
+    row = found.column("row").to_numpy()
+    start = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
+    nth = np.arange(len(row)) - np.repeat(start, np.diff(np.append(start, len(row))))
+    return found.filter(pa.array(nth < most))
+
+
+def _of_few(r: DataFrame, s: DataFrame, most: int, least: int, tiers: bool) -> DataFrame:
+    """supporting_sentences of few rows: tasks score their sentences for all rows and hand on the best of each row only."""
+    rows = r.filter("id is not null").collect()  # FEW_ROWS and FEW_WORDS at most
+    tier = [0] * len(rows)
+    if tiers:
+        named = s.select(F.col("hint").alias("item")).join(F.broadcast(r.filter("item <> ''").select("item").distinct()), "item", "left_semi").distinct()
+        asked = r.select(F.explode(F.slice("words", 1, FIRST)).alias("word")).distinct()
+        seen = s.select(F.explode("s_words").alias("word")).join(F.broadcast(asked), "word", "left_semi").distinct()
+        named, seen = {x[0] for x in named.collect()}, {x[0] for x in seen.collect()}
+        tier = [1 if x["item"] in named else 2 if x["item"] != "" and not seen.isdisjoint(x["words"][:FIRST]) else 3 for x in rows]
+    shared = s.sparkSession.sparkContext.broadcast(_postings(rows, tier))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = shared.value
+        m = len(p["items"])
+        best, floor = None, np.full(m, least)
+        for batch in batches:
+            for part in (batch.slice(a, max(1, _CELLS // m)) for a in range(0, len(batch) if m else 0, max(1, _CELLS // max(1, m)))):
+                scores = _scores(part, p)
+                if len(part) > most:
+                    floor = np.maximum(floor, np.partition(scores, len(part) - most, axis=0)[len(part) - most])  # so many reach it
+                at, row = np.nonzero(scores >= floor)
+                found = pa.table([pa.array(row.astype(np.int32)), part.column("sid").take(pa.array(at)), pa.array(scores[at, row].astype(np.int64))], ["row", "sid", "score"])
+                best = _first(found if best is None else pa.concat_tables([best, found]), most)
+        if best is not None:
+            yield from best.to_batches()
+
+    sid = s.schema["sid"].dataType.simpleString()
+    found = s.filter("sid is not null").select("sid", "hint", "s_words").mapInArrow(run, f"row int, sid {sid}, score long")
+    ids = s.sparkSession.createDataFrame([(n, x["id"], t) for n, (x, t) in enumerate(zip(rows, tier))], f"row int, id {r.schema['id'].dataType.simpleString()}, tier int")
+    return _best(found.join(F.broadcast(ids), "row").select("id", "sid", "score", "tier"), most).select("id", "sid", "score", "rank", "tier")
+
+
 def supporting_sentences(rows: DataFrame, sentences: DataFrame, most: int = 3, least: int = 6, tiers: bool = False, common: float = 0.01) -> DataFrame:
     """Per row (id, item, words) its best sentences (sid, hint, words): 8 for the item in the hint, 3 or 1 for each shared word.
 
@@ -88,13 +181,18 @@ def supporting_sentences(rows: DataFrame, sentences: DataFrame, most: int = 3, l
     that repeat count once. id, sid, score, rank, tier (1, 2, 3; 0 where tiers are off).
 
     Words that stand in more than the share ``common`` of the sentences are never join keys by themselves (but where such
-    a word alone reaches ``least``). Of the sentences that only name an item, the first few by sid are enough.
+    a word alone reaches ``least``). Of the sentences that only name an item, the first few by sid are enough. Up to FEW_ROWS rows of
+    FEW_WORDS words together need no keys: they are sent to the sentences, and no pair of a row and a sentence is shuffled.
     """
     clean = lambda c: F.coalesce(F.trim(c.cast("string")), F.lit(""))
     bag = lambda c: F.array_distinct(F.array_compact(F.coalesce(c, F.array().cast("array<string>"))))
     r = rows.select("id", clean(F.col("item")).alias("item"), bag(F.col("words")).alias("words"))
     s = sentences.select("sid", clean(F.col("hint")).alias("hint"), bag(F.col("words")).alias("s_words"))
-    s, r = written(s), written(r)  # each is read several times
+    r = written(r)
+    size = r.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("words")).first()
+    if size["rows"] <= FEW_ROWS and size["words"] <= FEW_WORDS and not isinstance(s.schema["sid"].dataType, (ArrayType, MapType, StructType, VariantType)):
+        return _of_few(r, written(s) if tiers else s, most, least, tiers)
+    s = written(s)  # read several times
     words = s.select("sid", F.explode("s_words").alias("word"))
     counts = written(word_counts(r, words, common))
     hinted = s.filter("hint <> ''").select(F.col("hint").alias("item")).distinct().withColumn("named", F.lit(True))

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from sparkloom.operators import support
 from sparkloom.operators.support import supporting_sentences
 
 ROWS, TURNS = "id int, item string, words array<string>", "sid int, hint string, words array<string>"
@@ -50,6 +51,29 @@ def test_equals_plain_loops(spark, tables, tiers, common, least):
     assert {tuple(x) for x in got.collect()} == _plain(rows, turns, tiers, least=least)
 
 
+@pytest.mark.parametrize("tiers", [False, True])
+@pytest.mark.parametrize("common", [0.0, 0.05, 1.0])
+@pytest.mark.parametrize("least", [6, 2])
+def test_many_rows_meet_by_keys(spark, tables, tiers, common, least, monkeypatch):
+    monkeypatch.setattr(support, "FEW_ROWS", 10)
+    rows, turns = tables
+    got = supporting_sentences(spark.createDataFrame(rows, ROWS), spark.createDataFrame(turns, TURNS), least=least, tiers=tiers, common=common)
+    assert {tuple(x) for x in got.collect()} == _plain(rows, turns, tiers, least=least)
+
+
+@pytest.mark.parametrize("tiers", [False, True])
+def test_parts_of_sentences_and_words(spark, tables, tiers, monkeypatch):
+    """Few rows are scored in tasks, a few sentences and words at a time; what a task hands on does not grow with the sentences."""
+    monkeypatch.setattr(support, "_CELLS", 500)
+    monkeypatch.setattr(support, "_MET", 50)
+    rows, turns = tables
+    some = spark.createDataFrame(turns, TURNS).repartition(3)
+    got = supporting_sentences(spark.createDataFrame(rows, ROWS), some, tiers=tiers)
+    assert {tuple(x) for x in got.collect()} == _plain(rows, turns, tiers)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Generate" not in plan
+
+
 def test_empty_tables(spark, tables):
     rows, turns = tables
     none = spark.createDataFrame([], TURNS)
