@@ -159,22 +159,37 @@ def table_spans(lines: DataFrame, hits: DataFrame, is_table: Column, stops: Colu
 
     lines: doc_id, line_no, line. The span ends before the first later line that ``stops`` holds for, before
     text after a blank line after table rows, and before the second line of text right after rows with bars.
-    Spans of under two table lines and 500 characters are no tables.
+    Spans of under two table lines and 500 characters are no tables. A document's lines and hits are gathered once, as
+    one row, and each hit goes through the lines by itself; nothing is sorted or joined after that.
     """
+    blank, table = F.trim("line") == "", is_table
     bars = F.char_length("line") - F.char_length(F.replace("line", F.lit("|"), F.lit(""))) >= 2
-    blank = F.trim("line") == ""
-    w = Window.partitionBy("item", "doc_id").orderBy("line_no")
-    upto, past = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
-    from_hit = hits.select("item", "doc_id", F.col("line_no").alias("hit")).join(lines, "doc_id").filter("line_no >= hit")
-    seen = from_hit.withColumn("table", is_table & (F.col("line_no") > F.col("hit"))).withColumn("blanks", F.sum(blank.cast("int")).over(upto)).withColumn("texts", F.sum((~blank & ~F.col("table")).cast("int")).over(upto))
-    last = F.last(F.when(F.col("table"), F.struct(bars.alias("bars"), "blanks", "texts")), ignorenulls=True).over(past)
-    seen = seen.withColumn("last", last)
-    text = ~blank & ~F.col("table") & F.col("last").isNotNull()
-    ends = (stops & ~blank) | (text & (F.col("blanks") > F.col("last.blanks"))) | (text & F.col("last.bars") & (F.col("texts") - F.col("last.texts") >= 2))
-    marked = seen.withColumn("after", F.max((ends & (F.col("line_no") > F.col("hit"))).cast("int")).over(upto)).filter("after = 0")
-    join_lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n")
-    spans = marked.groupBy("item", "doc_id", "hit").agg(F.btrim(join_lines, F.lit(" \n\t\r")).alias("span"), F.count_if("table").alias("table_lines"))
-    near = hits.withColumn("line", F.explode(F.sequence(F.col("line_no") - window // 3, F.col("line_no") + 2 * window // 3))).select("item", "doc_id", F.col("line").alias("line_no"))
-    around = near.join(lines, ["doc_id", "line_no"]).groupBy("item", "doc_id").agg(F.btrim(join_lines, F.lit(" \n\t\r")).alias("local"))
+    kind = sum((F.when(c, bit).otherwise(0) for bit, c in ((1, blank), (2, table), (4, ~blank & ~table), (8, stops & ~blank), (16, bars))), F.lit(0))
+    own = lines.select("doc_id", F.struct("line_no", kind.alias("kind"), "line").alias("l"))
+    asked = hits.select("doc_id", F.struct("item", F.col("line_no").alias("hit")).alias("h"))
+    own, asked = own.withColumn("h", F.lit(None).cast(asked.schema["h"].dataType)), asked.withColumn("l", F.lit(None).cast(own.schema["l"].dataType))
+    docs = own.unionByName(asked).filter("doc_id is not null").groupBy("doc_id").agg(F.array_sort(F.collect_list("l")).alias("lines"), F.collect_set("h").alias("hits"))
+    each = docs.select("doc_id", F.explode("hits").alias("h"), "lines").select("doc_id", "h.item", "h.hit", "lines")
+
+    def step(at: Column, line: Column) -> Column:
+        blank, table, text, stop, bars = (line["kind"].bitwiseAND(F.lit(bit)) != 0 for bit in (1, 2, 4, 8, 16))
+        gap = ~table & (at["gap"] | blank)
+        texts = F.when(table, 0).otherwise(at["texts"] + text.cast("int"))
+        over = at["over"] | stop | (text & at["seen"] & (gap | (at["bars"] & (texts >= 2))))
+        one = lambda c: (c & ~over).cast("int")
+        return F.struct(
+            over.alias("over"), (at["seen"] | table).alias("seen"), F.when(table, bars).otherwise(at["bars"]).alias("bars"), gap.alias("gap"), texts.alias("texts"),
+            (at["lines"] + one(F.lit(True))).alias("lines"), (at["tables"] + one(table)).alias("tables"),
+        )
+
+    start = F.struct(*[F.lit(False).alias(c) for c in ("over", "seen", "bars", "gap")], *[F.lit(0).alias(c) for c in ("texts", "lines", "tables")])
+    later = F.filter("lines", lambda x: x["line_no"] > F.col("hit"))
+    walked = each.withColumn("end", F.aggregate(later, start, step))
+    first = F.size(F.filter("lines", lambda x: x["line_no"] == F.col("hit")))
+    span = F.slice(F.filter("lines", lambda x: x["line_no"] >= F.col("hit")), F.lit(1), first + F.col("end.lines"))
+    local = F.filter("lines", lambda x: x["line_no"].between(F.col("hit") - window // 3, F.col("hit") + 2 * window // 3))
+    found = walked.select("item", "doc_id", span.alias("span"), local.alias("local"), F.col("end.tables").alias("table_lines")).filter((F.size("span") > 0) & (F.size("local") > 0))
+    text = lambda c: F.btrim(F.array_join(F.transform(c, lambda x: x["line"]), "\n"), F.lit(" \n\t\r"))
+    found = found.select("item", "doc_id", "table_lines", text("span").alias("span"), text("local").alias("local"))
     good = (F.col("table_lines") >= 2) | (F.char_length("span") >= 500)
-    return spans.join(around, ["item", "doc_id"]).select("item", "doc_id", good.alias("is_table"), F.left(F.when(good, F.col("span")).otherwise(F.col("local")), F.lit(most)).alias("snippet"))
+    return found.select("item", "doc_id", good.alias("is_table"), F.left(F.when(good, F.col("span")).otherwise(F.col("local")), F.lit(most)).alias("snippet"))

@@ -1,5 +1,7 @@
 """Inputs beyond what the small tables hold: long numbers, deep sheets, short needles, and edge cases of assembly."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from sparkloom.operators import assembly as A
@@ -78,6 +80,38 @@ def test_table_spans_end_where_text_begins(spark):
     assert out["table 2"][0] is False and "no rows" in out["table 2"][1]
 
 
+def _plain_span(lines, hit):
+    """What a hit's span and surroundings are, line by line, and how many table lines are in the span."""
+    span, last, tables = [], None, 0
+    for no, line in ((n, x) for n, x in lines if n >= hit):
+        blank, table = line.strip(" ") == "", line.startswith("|") and no > hit
+        text = not blank and not table and no > hit
+        if last and not table:
+            last = (last[0], last[1] + blank, last[2] + text)
+        if no > hit and ((line.startswith("#") and not blank) or (text and last and (last[1] > 0 or (last[0] and last[2] >= 2)))):
+            break
+        if table:
+            last, tables = (line.count("|") >= 2, 0, 0), tables + 1
+        span.append(line)
+    near = [x for n, x in lines if hit - 20 // 3 <= n <= hit + 40 // 3]
+    whole = "\n".join(span).strip(" \n\t\r")
+    good = tables >= 2 or len(whole) >= 500
+    return good, whole if good else "\n".join(near).strip(" \n\t\r")
+
+
+def test_table_spans_equal_plain_loops_and_sort_nothing(spark):
+    """Each hit by itself, also where an item has two in one document; no window and no join carries the lines."""
+    r = random.Random(5)
+    docs = {d: [(n, r.choice(["| a | b |", "| a | b |", "|c", "", "", "text", "more text", "# Head", "x" * 300])) for n in range(40)] for d in range(60)}
+    lines = spark.createDataFrame([(d, n, x) for d, found in docs.items() for n, x in found], "doc_id long, line_no int, line string")
+    hits = [("one", d, r.randrange(40)) for d in docs] + [("two", d, n) for d in docs for n in r.sample(range(40), 2)]
+    got = A.table_spans(lines, spark.createDataFrame(hits, "item string, doc_id long, line_no int"), F.col("line").startswith("|"), F.col("line").startswith("#"))
+    want = sorted((item, d, *_plain_span(docs[d], n)) for item, d, n in hits)
+    assert sorted(tuple(x) for x in got.collect()) == want and {x[2] for x in want} == {True, False}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+
+
 def test_a_value_rows_key_is_told_once_a_row(spark):
     df = spark.createDataFrame([("Fig. 2b", "1", "f.csv", 1)], "Figure string, Value string, src string, row long")
     rows = C.value_rows(df, "Value", "src", "row").select("item_id", "figure_key", "partition_key")
