@@ -11,13 +11,13 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .scratch import held
+from .scratch import held, tidy
+from .words import chunks
 
 #: Fixed by the vocabulary's format: how a byte-level vocabulary cuts texts before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces whose encoding a worker keeps. Beyond it the older half is forgotten and made anew when met.
 KEPT_PIECES = 150_000
-_CHUNK_CHARS = 1 << 20
 
 
 def byte_symbols() -> dict[str, int]:
@@ -150,17 +150,6 @@ def _model(shared) -> PairIndexBpe:
     return held(("bpe", hash(shared.value)), lambda: PairIndexBpe(shared.value))
 
 
-def _in_chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    a = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= _CHUNK_CHARS:
-            yield a, i + 1
-            a, size = i + 1, 0
-    if a < len(texts):
-        yield a, len(texts)
-
-
 def _share(docs: DataFrame, path: str):
     with open(path, encoding="utf-8") as f:  # a vocabulary file: of fixed size, whatever the corpus
         return docs.sparkSession.sparkContext.broadcast(f.read())
@@ -173,12 +162,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in _in_chunks(texts):
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(model.encode(texts[a:b]), pa.list_(pa.int32()))], ["doc_id", "ids"])
+            for part in chunks(batch, batch.schema.names[1]):
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.encode(texts), pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return docs.select(id_col, text_col).mapInArrow(tidy(run, model=True), f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -191,7 +180,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.decode(x or ()) for x in batch.column(1).to_pylist()], pa.string())], ["doc_id", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(run, model=True), f"doc_id {kind}, text string")
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -207,17 +196,16 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         model = _model(shared)
         name = list(map(str, range(len(model.bytes_of)))).__getitem__
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            counts, of_ids, of_text = [], [], []
-            for a, b in _in_chunks(texts):
-                for ids in model.encode(texts[a:b]):
+            for part in chunks(batch, batch.schema.names[1]):
+                counts, of_ids, of_text = [], [], []
+                for ids in model.encode([t or "" for t in part.column(1).to_pylist()]):
                     counts.append(len(ids))
                     of_ids.append(hashlib.sha256(",".join(map(name, ids)).encode()).hexdigest())
                     of_text.append(hashlib.sha256(model.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(id_col, text_col).mapInArrow(tidy(run, model=True), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def vocabulary_path() -> str:

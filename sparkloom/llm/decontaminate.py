@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import save
+from .scratch import save, tidy
 from .words import Words, chunks, grams, words
 
 K1, B = 1.2, 0.75
@@ -94,7 +94,7 @@ def postings(items: DataFrame) -> DataFrame:
             at = pairs[0].astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(pairs[1].view(np.int64)), pa.array(tf, pa.int64()), pa.array(np.diff(w.ptr)[at])], ["key", "term", "tf", "len"])
 
-    return items.select("key", "text").mapInArrow(run, "key long, term long, tf long, len long")
+    return items.select("key", "text").mapInArrow(tidy(run), "key long, term long, tf long, len long")
 
 
 def indexes(items: DataFrame, shard_words: int = SHARD_WORDS) -> Iterator[list[Index]]:
@@ -247,7 +247,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                         d, i, *rest = zip(*hits)
                         yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(d)), pa.array(i, item_type), *(pa.array(x, pa.float64()) for x in rest)], names)
 
-        out = out.unionByName(flat.mapInArrow(run, shape))
+        out = out.unionByName(flat.mapInArrow(tidy(run), shape))
     hit = out.filter((F.col("question_overlap") >= QUESTION) & (F.col("answer_overlap") >= ANSWER))
     return hit.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.max("question_overlap").alias("question_overlap"), F.max("answer_overlap").alias("answer_overlap"))
 

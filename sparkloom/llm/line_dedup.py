@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from . import bloom
 from .components import connected
-from .scratch import join_counted, save
+from .scratch import join_counted, save, tidy
 from .words import chunks, mix, powers
 
 #: Edits (insert, delete, replace one character) that two lines may differ by.
@@ -158,7 +158,7 @@ def occurrences(flat: DataFrame) -> DataFrame:
                 doc, number, begin, end, spans = _cut(part, LEAST)
                 yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(doc)), pa.array(number.astype(np.int32)), pa.array((spans.hash(begin, end) & U(_MASK)).view(np.int64)), pa.array((end - begin).astype(np.int32))], ["id", "line", "l1", "size"])
 
-    return flat.mapInArrow(run, f"id {flat.schema['id'].dataType.simpleString()}, line int, l1 long, size int")
+    return flat.mapInArrow(tidy(run), f"id {flat.schema['id'].dataType.simpleString()}, line int, l1 long, size int")
 
 
 def _segment_rows(flat: DataFrame, edits: int, table=None) -> DataFrame:
@@ -191,7 +191,7 @@ def _segment_rows(flat: DataFrame, edits: int, table=None) -> DataFrame:
                         kinds.append(np.zeros(int(may.sum()), bool))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(lines)), pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(np.concatenate(kinds))], ["key", "l1", "size", "indexed"])
 
-    return flat.select("text").mapInArrow(run, "key long, l1 long, size int, indexed boolean")
+    return flat.select("text").mapInArrow(tidy(run), "key long, l1 long, size int, indexed boolean")
 
 
 def _texts(flat: DataFrame, table) -> DataFrame:
@@ -214,7 +214,7 @@ def _texts(flat: DataFrame, table) -> DataFrame:
                     lines.append(split[d][k])
                 yield pa.RecordBatch.from_arrays([pa.array(own[may].view(np.int64)), pa.array(lines, pa.string())], ["l1", "line"])
 
-    return flat.select("text").mapInArrow(run, "l1 long, line string").dropDuplicates(["l1"])
+    return flat.select("text").mapInArrow(tidy(run), "l1 long, line string").dropDuplicates(["l1"])
 
 
 def _character_counts(texts: DataFrame) -> DataFrame:
@@ -242,7 +242,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     both = pairs.join(texts.select(F.col("l1").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("l1").alias("b"), F.col("line").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
 def _texts_of(flat: DataFrame, members: DataFrame) -> DataFrame:
@@ -355,7 +355,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count, pa.int64()), pa.array(lost, pa.int64()), links, removed, pa.array(kept, pa.string()), *batch.columns[4:]], ["doc_id", "n_lines", "n_removed", "n_links", "removed", "text", *batch.schema.names[4:]])
 
     carried = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[5:])
-    return joined.mapInArrow(run, f"doc_id {kind}, n_lines long, n_removed long, n_links long, removed array<int>, text string, classes array<struct<line:int,first_id:{kind},first_line:int,links:long>>{carried}")
+    return joined.mapInArrow(tidy(run), f"doc_id {kind}, n_lines long, n_removed long, n_links long, removed array<int>, text string, classes array<struct<line:int,first_id:{kind},first_line:int,links:long>>{carried}")
 
 
 def without_repeated_lines(spark, docs: DataFrame) -> DataFrame:

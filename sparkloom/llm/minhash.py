@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from . import bloom
 from .components import connected
-from .scratch import join_counted, save
+from .scratch import join_counted, save, tidy
 from .words import U, chunks, grams, mix, words
 
 SHINGLE = 5
@@ -122,7 +122,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, n_shingles long, p1 long, p2 long, bands array<long>, b1 long, b2 long")
+    return docs.select("id", "text").mapInArrow(tidy(run), f"id {kind}, n_shingles long, p1 long, p2 long, bands array<long>, b1 long, b2 long")
 
 
 def _sets_of(docs: DataFrame, table) -> DataFrame:
@@ -136,7 +136,7 @@ def _sets_of(docs: DataFrame, table) -> DataFrame:
                 sets, ptr = shingle_sets(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("id"), _lists(sets, ptr)], ["id", "shingles"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, shingles array<long>")
+    return docs.select("id", "text").mapInArrow(tidy(run), "id long, shingles array<long>")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
@@ -329,7 +329,7 @@ def _hashed_ids(ids: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(mix(batch.column(0).to_numpy().view(np.uint64)).view(np.int64))], ["h"])
 
-    return ids.mapInArrow(run, "h long")
+    return ids.mapInArrow(tidy(run), "h long")
 
 
 def one_of_each(spark, docs: DataFrame) -> DataFrame:

@@ -7,10 +7,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.llm import bpe, decontaminate, lm_score, pii, quality, toxicity
+from sparkloom.llm import bpe, decontaminate, lm_score, pii, quality, scratch, toxicity
 
 from .conftest import prose
 
@@ -413,3 +414,24 @@ def test_spans_of_a_text_of_many_matches(spark):
         text = " é ".join(f"a{i}@b{i % 7}.ex" for i in range(n))
         got = spark.createDataFrame([(text,)], "t string").select(pii.found_spans(F.col("t"), pii.PATTERNS["email"]).alias("s")).first().s
         assert [(x.start, x.end, x.value) for x in got] == [(m.start(), m.end(), m[0]) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text)]
+
+
+def test_steps_give_memory_back_and_let_go_of_models(spark, odd_docs, monkeypatch, vocabulary):
+    given = []
+    monkeypatch.setattr(scratch, "give_back", lambda: given.append(1))
+    scratch.held("a model", lambda: 1)
+    run = lambda batches: (b for b in batches)
+    assert list(scratch.tidy(run, model=True)(iter("ab"))) == ["a", "b"]
+    assert len(given) == 3 and "a model" in scratch._held
+    assert list(scratch.tidy(run)(iter("ab"))) == ["a", "b"]
+    assert len(given) == 6 and not scratch._held
+
+    # a worker that has encoded holds no vocabulary once it counts n-grams
+    def held_now(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(scratch._held)] * len(b), pa.int64())], ["n"])
+
+    docs = odd_docs.select("doc_id", "text").coalesce(1)
+    bpe.round_trip(docs, vocabulary).collect()
+    quality.counted_grams(docs, 3).collect()
+    assert {r.n for r in docs.mapInArrow(scratch.tidy(held_now), "n long").collect()} == {0}
