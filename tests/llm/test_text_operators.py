@@ -286,6 +286,40 @@ def test_language_model_scores(spark, odd_docs, no_docs):
     assert lm_score.lm_scores(no_docs).count() == 0
 
 
+def test_language_model_step_matches_plain_loops(monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = np.minimum(rng.zipf(1.4, (5000, lm_score.FEATURES)), lm_score.ROWS - 1).astype(np.int32)
+    rows[:, 1] = rng.integers(0, lm_score.ROWS, 5000)
+    label = rng.integers(0, 7, 5000)
+    g = rng.normal(size=(5000, 7)).astype(np.float32)
+    for f in (0, 1):
+        own, times, total = lm_score.summed_by_row(g, rows[:, f])
+        want = np.zeros((lm_score.ROWS, 7))
+        np.add.at(want, rows[:, f], g.astype(float))
+        assert sorted(own) == sorted(set(rows[:, f])) and (times == np.bincount(rows[:, f])[own]).all()
+        assert total == pytest.approx(want[own], abs=1e-3)
+
+    monkeypatch.setattr(lm_score, "BATCH", 2000)
+    tokens = type("T", (), {"rows": rows, "label": label})()
+    prior = np.log(np.full(7, 1 / 7)).astype(np.float32)
+    got, met = lm_score.train_on(iter([tokens]), np.zeros((lm_score.ROWS, 7), np.float32), prior)
+    w, power, seen = np.zeros((lm_score.ROWS, 7)), np.full(lm_score.ROWS, 1e-2), np.zeros(lm_score.ROWS)
+    for a in range(0, 5000, 2000):
+        r, y = rows[a : a + 2000], label[a : a + 2000]
+        p = np.exp(w[r].sum(axis=1) + prior)
+        p = p / p.sum(axis=1, keepdims=True) - np.eye(7)[y]
+        for f in range(lm_score.FEATURES):
+            for row in set(r[:, f]):
+                mine = p[r[:, f] == row]
+                step = mine.sum(axis=0) / math.sqrt(len(mine))
+                power[row] += (step * step).mean()
+                w[row] -= lm_score.RATE * step / math.sqrt(power[row])
+                seen[row] += len(mine)
+    assert got == pytest.approx(w, abs=1e-3) and (met == seen).all()
+    own = lm_score.log_classes(got, prior, rows)[np.arange(5000), label]
+    assert lm_score.log_labels(got, prior, rows, label) == pytest.approx(own, abs=1e-5)
+
+
 def test_rare_words_are_joined_when_they_do_not_fit(spark, monkeypatch):
     docs = labelled(spark, 60).select("doc_id", "text")
     want = {r.doc_id: r.base_score for r in lm_score.lm_scores(docs).collect()}
