@@ -320,6 +320,50 @@ def test_language_model_step_matches_plain_loops(monkeypatch):
     assert lm_score.log_labels(got, prior, rows, label) == pytest.approx(own, abs=1e-5)
 
 
+def test_words_of_a_class_are_learnt_from_the_words_before(spark, monkeypatch):
+    """Words that one class holds, each told by the word before it: counts alone leave them even, decisions do not."""
+    batch = lambda texts: pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    r = random.Random(4)
+    text = lambda n: " ".join(f"go{i} sam{i}" for i in (r.randrange(8) for _ in range(n)))
+    tokens = lm_score.Tokens(batch([text(3000) for _ in range(4)]), np.zeros(0, np.int64))  # a single class beside the ends
+    mass = np.zeros((1, 1 << lm_score.LEVELS))
+    words_ = tokens.hash[~tokens.is_end]
+    for h, c in zip(*np.unique(words_, return_counts=True)):
+        mass[0, lm_score.leaf_codes(np.array([h]))[0]] += c + 0.1
+    inside = lm_score.Inside(np.zeros(lm_score.PLACES, np.float32), mass)
+    assert inside.gains(tokens) == pytest.approx(0, abs=1e-4)  # nothing learnt: as counts say
+    assert inside.log_leaves(tokens)[~tokens.is_end] == pytest.approx(np.log(mass[0, tokens.code[~tokens.is_end]] / mass.sum()), abs=1e-4)
+    before = inside.weights.copy()
+    lm_score.train_on(iter([tokens] * 6), np.zeros((lm_score.ROWS, 2), np.float32), np.log([0.9, 0.1]).astype(np.float32), inside)
+    assert (inside.weights != before).any() and inside.met.sum() == 6 * lm_score.FEATURES * lm_score.LEVELS * (~tokens.is_end).sum()
+    fresh = lm_score.Tokens(batch([text(500)]), np.zeros(0, np.int64))
+    named = np.arange(1, 1000, 2)  # the words that the one before tells
+    assert inside.gains(fresh)[named].mean() > 0.5 * math.log(8)
+
+    # leaves of a class add up to 1 after any history
+    at = np.full(1 << lm_score.LEVELS, 5)
+    every = type("T", (), {"label": np.zeros(len(at), np.int64), "code": np.arange(len(at), dtype=np.int32), "places": fresh.places[at]})()
+    assert np.exp(inside.log_leaves(every)).sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_language_model_scores_what_the_word_before_tells(spark, monkeypatch):
+    """Held-out texts whose words follow one another gain over the same words in another order; rare words as common ones do."""
+    r = random.Random(8)
+    order = lambda n: " ".join(f"go{i} sam{i}" for i in (r.randrange(8) for _ in range(n)))
+    mixed = lambda n: " ".join(f"{x}{i}" for x, i in zip(["go", "sam"] * n, (r.randrange(8) for _ in range(2 * n))))
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rows = [(i, mixed(60) if i in held[::2] else order(60)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(lm_score, "CLASSES", 1)
+    monkeypatch.setattr(lm_score.class_bounds, "__defaults__", (1,))
+    out = {x.doc_id: x for x in lm_score.lm_scores(docs).collect()}
+    gain = lambda ids: sum(out[i].score - out[i].base_score for i in ids) / len(ids)
+    assert gain(held[1::2]) > gain(held[::2]) + 5
+    monkeypatch.setattr(lm_score, "COMMON", 4)
+    rare = {x.doc_id: x.score for x in lm_score.lm_scores(docs).collect()}
+    assert rare == pytest.approx({i: x.score for i, x in out.items()}, abs=1e-6)
+
+
 def test_rare_words_are_joined_when_they_do_not_fit(spark, monkeypatch):
     docs = labelled(spark, 60).select("doc_id", "text")
     want = {r.doc_id: r.base_score for r in lm_score.lm_scores(docs).collect()}
